@@ -1,8 +1,9 @@
-"""Session settings and reliable checkpoints."""
+"""Session settings and tables that cut lineage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,26 +18,30 @@ def local_session(app: str = "cadenza", cpus: int | str = "*", memory: str = "8g
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    own = tempfile.mkdtemp(prefix="cadenza-")
+    spark.sparkContext.setCheckpointDir(own)
+    return own
 
-    The files outlive any executor, so a frame that several later jobs read is
-    computed once and always reads back the same rows.
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a table in the shared folder and read it back.
+
+    The table outlives any executor.  A frame that several later steps read is
+    computed once, loses its lineage, and its reads prune columns.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if named:
-            sc.setCheckpointDir(named)
-        elif sc.master.startswith("local"):
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="cadenza-checkpoint-"))
-        else:
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/cadenza/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
