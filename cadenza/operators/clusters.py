@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, MinMaxScaler, StandardScaler, VectorAssembler
@@ -79,10 +81,18 @@ def silhouette(vectors: DataFrame, model: KMeansModel) -> DataFrame:
     return vectors.sparkSession.createDataFrame([(model.getK(), float(value))], "k int, silhouette double")
 
 
-def elbow(vectors: DataFrame, ks: Sequence[int] = range(2, 12), seed: int = 42, max_iter: int = 20) -> DataFrame:
-    """Within-cluster sum of squares for each number of clusters."""
-    rows = [(k, float(fit_clusters(vectors, k, seed, max_iter).summary.trainingCost)) for k in ks]
-    return vectors.sparkSession.createDataFrame(rows, "k int, inertia double")
+def elbow(
+    vectors: DataFrame, ks: Sequence[int] = range(2, 12), seed: int = 42, max_iter: int = 20, parallelism: int = 4
+) -> DataFrame:
+    """Within-cluster sum of squares for each number of clusters, several fits at a time."""
+    spark = vectors.sparkSession
+
+    def cost(k: int) -> tuple[int, float]:
+        return k, float(fit_clusters(vectors, k, seed, max_iter).summary.trainingCost)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(cost), ks))
+    return spark.createDataFrame(rows, "k int, inertia double")
 
 
 def principal_components(vectors: DataFrame, k: int = 2) -> tuple[DataFrame, DataFrame]:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import ceil
 
+import numpy as np
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
+from pyspark.mllib.linalg.distributed import CoordinateMatrix, IndexedRowMatrix, MatrixEntry
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +19,9 @@ from cadenza.operators.plays import implicit_ratings, most_active, restricted_to
 from cadenza.operators.topk import top_k_dot
 from cadenza.session import shared_folder, stored
 
+RATINGS_PER_BLOCK = 500_000
+GRAM_TRACKS = 4096
+
 
 @dataclass(frozen=True)
 class Factorisation:
@@ -32,7 +37,12 @@ class Factorisation:
 
 
 def _unpacked(frame: DataFrame, key: str, vector: str, dims: Sequence[str]) -> DataFrame:
-    return frame.select(key, *[F.element_at(vector, i + 1).cast("double").alias(d) for i, d in enumerate(dims)])
+    return frame.selectExpr(key, *[f"cast({vector}[{i}] as double) as {d}" for i, d in enumerate(dims)])
+
+
+def _blocks(spark, ratings: int) -> int:
+    """ALS blocks: enough to hold a block in memory, and no more tasks than small data is worth."""
+    return max(ceil(ratings / RATINGS_PER_BLOCK), min(spark.sparkContext.defaultParallelism, ceil(ratings / 10_000)), 1)
 
 
 def fit_als(
@@ -48,11 +58,11 @@ def fit_als(
     spark = plays.sparkSession
     shared_folder(spark)
     ratings = stored(implicit_ratings(plays))
-    user_ids = stored(dense_ids(ratings, "user_id", "user_idx"))
-    track_ids = stored(dense_ids(ratings, "track_id", "track_idx"))
+    user_ids = dense_ids(ratings, "user_id", "user_idx")
+    track_ids = dense_ids(ratings, "track_id", "track_idx")
     coded = stored(encode(ratings, user_ids, track_ids))
     train, test = hash_split(coded)
-    blocks = blocks or max(10, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = blocks or _blocks(spark, coded.count())
     als = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True,
         userCol="user_idx", itemCol="track_idx", ratingCol="implicit_rating",
@@ -69,6 +79,19 @@ def fit_als(
     )
 
 
+def _right_singular_vectors(matrix: IndexedRowMatrix, rank: int, columns: int) -> np.ndarray:
+    """Columns of V for the largest singular values.
+
+    Up to ``GRAM_TRACKS`` columns one pass over the rows sums the Gram matrix,
+    whose eigenvectors they are.  Wider matrices take one pass per Lanczos step.
+    """
+    if columns > GRAM_TRACKS:
+        return matrix.computeSVD(rank, computeU=False).V.toArray()
+    values, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
+    largest = np.argsort(-values, kind="stable")[:rank]
+    return vectors[:, largest[values[largest] > 1e-9 * max(values.max(), 0.0)]]
+
+
 def fit_svd(
     plays: DataFrame, rank: int = 50, most_active_users: int = 3000, most_played_tracks: int = 2000
 ) -> Factorisation:
@@ -94,8 +117,7 @@ def fit_svd(
     n_users, n_tracks = user_ids.count(), track_ids.count()
     entries = train.select("user_idx", "track_idx", F.col("implicit_rating").cast("double")).rdd
     matrix = CoordinateMatrix(entries.map(lambda r: MatrixEntry(r[0], r[1], r[2])), n_users, n_tracks)
-    svd = matrix.toIndexedRowMatrix().computeSVD(min(rank, n_users, n_tracks), computeU=False)
-    right = svd.V.toArray()
+    right = _right_singular_vectors(matrix.toIndexedRowMatrix(), min(rank, n_users, n_tracks), n_tracks)
     dims = [f"f{i}" for i in range(right.shape[1])]
     rows = [(i, *map(float, right[i])) for i in range(n_tracks)]
     by_index = spark.createDataFrame(rows, ", ".join(["track_idx int", *[f"{d} double" for d in dims]]))

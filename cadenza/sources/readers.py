@@ -62,7 +62,8 @@ def parse_play_lines(lines: DataFrame, column: str = "value") -> Ingested:
     text = F.trim(F.col(column))
     kept = lines.where((text != "") & ~text.startswith("user_id"))
     parsed = F.from_csv(text, _with_corrupt(PLAYS).simpleString()[len("struct<"):-1].replace(":", " "), _OPTIONS)
-    return _checked(kept.select(parsed.alias("p")).select("p.*"))
+    # Unfolding a one-entry array parses each line once; filters stay above it.
+    return _checked(kept.select(F.inline(F.array(parsed))))
 
 
 def read_play_lines(spark: SparkSession, path: str) -> Ingested:

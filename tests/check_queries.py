@@ -31,6 +31,9 @@ def _key(row):
     return tuple((v is None, str(type(v)), v if v is not None else 0) for v in row)
 
 
+KINDS = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 def differences(spark_df, con, sql: str) -> list[str]:
     """What differs between a Spark frame and the SQL's result; empty when equal."""
     result = con.execute(sql)
@@ -38,6 +41,9 @@ def differences(spark_df, con, sql: str) -> list[str]:
     theirs = result.fetchall()
     if sorted(names) != sorted(spark_df.columns):
         return [f"columns {sorted(spark_df.columns)} != {sorted(names)}"]
+    kinds = {c[0]: KINDS.get(str(c[1]), str(c[1])) for c in result.description}
+    if kinds != dict(spark_df.dtypes):
+        return [f"types {sorted(set(dict(spark_df.dtypes).items()) ^ set(kinds.items()))}"]
     order = sorted(names)
     ours = [tuple(r) for r in spark_df.select(*order).collect()]
     place = [names.index(c) for c in order]
