@@ -53,7 +53,9 @@ def _checked(raw: DataFrame) -> Ingested:
 
 def read_plays(spark: SparkSession, path: str) -> Ingested:
     """Plays from CSV files with header; quoted fields may hold commas."""
-    raw = spark.read.options(header=True, **_OPTIONS).schema(_with_corrupt(PLAYS)).csv(path)
+    # Every column is parsed whatever a query selects, so a row is bad for all queries or for none.
+    options = {"header": True, "columnPruning": False, **_OPTIONS}
+    raw = spark.read.options(**options).schema(_with_corrupt(PLAYS)).csv(path)
     return _checked(raw)
 
 
