@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import scalars as S
 from cadenza.operators.joins import lookup_join
-from cadenza.operators.plays import completed, genre_affinity, most_active, restricted_to, track_engagement
+from cadenza.operators.plays import completed, genre_counts, restricted_to, track_engagement
 
 
 def kpis(plays: DataFrame, tracks: DataFrame, users: DataFrame, premium: str = "premium") -> DataFrame:
@@ -141,10 +141,9 @@ def pivot_user_genre(
 ) -> DataFrame:
     """Completed plays of the ``n`` most active users, one column per genre."""
     genres = genres_of(tracks) if genres is None else list(genres)
-    done = completed(plays)
-    known = lookup_join(done.select("user_id", "track_id"), tracks.select("track_id", "genre"), "track_id", ["user_id"])
-    chosen = restricted_to(done, most_active(known, "user_id", n), "user_id")
-    table = genre_affinity(chosen, tracks).groupBy("user_id").pivot("genre", genres).agg(F.sum("plays"))
+    counts = genre_counts(plays, tracks)
+    top = counts.groupBy("user_id").agg(F.sum("plays").alias("n")).orderBy(F.desc("n"), "user_id").limit(n)
+    table = restricted_to(counts, top, "user_id").groupBy("user_id").pivot("genre", genres).agg(F.sum("plays"))
     return table.select("user_id", *[F.coalesce(F.col(f"`{g}`"), F.lit(0)).cast("bigint").alias(g) for g in genres])
 
 

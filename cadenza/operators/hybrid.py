@@ -12,7 +12,7 @@ from cadenza.functions import scalars as S
 from cadenza.operators.content import with_metadata
 from cadenza.operators.features import CONTENT_FEATURES, content_features, taste_profiles, unit_vectors
 from cadenza.operators.joins import lookup_join
-from cadenza.operators.plays import implicit_ratings, play_counts
+from cadenza.operators.plays import implicit_ratings, per_pair, play_counts
 from cadenza.operators.topk import top_k_dot
 from cadenza.session import stored
 
@@ -103,7 +103,8 @@ def hybrid_recommendations(
 
 def cold_users(users: DataFrame, plays: DataFrame, tracks: DataFrame) -> DataFrame:
     """Users without a play of a known track, who have no taste profile."""
-    known = lookup_join(plays.select("user_id", "track_id"), tracks.select("track_id"), "track_id", ["user_id"])
+    ids = tracks.select("track_id")
+    known = lookup_join(per_pair(plays, ids), ids, "track_id", ["user_id"])
     return users.join(known.select("user_id").distinct(), "user_id", "left_anti")
 
 

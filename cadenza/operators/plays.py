@@ -76,19 +76,23 @@ def per_pair(plays: DataFrame, dim: DataFrame) -> DataFrame:
     return plays.groupBy("user_id", "track_id").agg(F.count(F.lit(1)).alias("plays"))
 
 
-def genre_affinity(plays: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Completed plays per user and genre, ranked within the user.
+def genre_counts(plays: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Completed plays per user and genre.
 
     Plays of unknown tracks and of tracks without a genre are left out.
     """
     genres = tracks.where("genre <> ''").select("track_id", "genre")
-    counts = (
+    return (
         lookup_join(per_pair(completed(plays), genres), genres, "track_id", ["user_id"])
         .groupBy("user_id", "genre")
         .agg(F.sum("plays").alias("plays"))
     )
+
+
+def genre_affinity(plays: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Completed plays per user and genre, ranked within the user."""
     order = W.partitionBy("user_id").orderBy(F.desc("plays"), "genre")
-    return counts.withColumn("genre_rank", F.row_number().over(order))
+    return genre_counts(plays, tracks).withColumn("genre_rank", F.row_number().over(order))
 
 
 def hourly_activity(plays: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ A task holds one block as a matrix, streams that block's queries past it and
 keeps only the best k unseen items of each, so pairs never leave a task.
 
 A small catalogue is one cell, and every query visits all its blocks.  A larger
-one is divided into cells around items drawn from it.  With p a cell's centre
-and r the distance of its farthest item, no item of the cell can score above
-``q.p + |q| r``.  Each query first visits the cells of highest bound that hold k
+one is divided into cells around items drawn from it.  With p a cell's centre, r the
+distance of its farthest item and w the widest angle of an item to p, no item v
+of the cell can score above ``q.p + |q| r``, nor above ``|q| |v| cos(angle(q, p) - w)``.
+Each query first visits the cells of highest bound that hold k
 unseen items, which gives a floor for its k-th score, and then only those other
 cells whose bound reaches that floor.  The bound is exact: it skips work, never
 results.
@@ -36,10 +37,12 @@ from cadenza.operators.joins import lookup_join
 from cadenza.session import stored
 
 BLOCK_ITEMS = 4096
-SINGLE_CELL_ITEMS = 5 * BLOCK_ITEMS
-MAX_CELLS = 1024
+SINGLE_CELL_ITEMS = 100_000
+CELL_ITEMS = 400
+MAX_CELLS = 4096
 QUERIES_PER_COPY = 100_000
-SCORES_AT_ONCE = 4_000_000
+SCORES_AT_ONCE = 250_000
+ANGLE_SLACK = 1e-7  # more than arccos loses near 0
 
 # Executors get the functions below with the task; they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -68,7 +71,7 @@ def top_k_dot(
     items = items.select("track_id", *dims)
     n = items.count()
     if cells is None:
-        cells = 1 if n <= SINGLE_CELL_ITEMS else min(MAX_CELLS, ceil(n / block_items))
+        cells = 1 if n <= SINGLE_CELL_ITEMS else min(MAX_CELLS, ceil(n / CELL_ITEMS))
     if n == 0 or cells <= 1:
         hits = _visit_all(queries, items, seen, spec, max(1, ceil(n / block_items)))
     else:
@@ -95,7 +98,9 @@ def _visit_all(queries, items, seen, spec: _Spec, chunks: int) -> DataFrame:
     partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunk = F.pmod(F.xxhash64("track_id"), F.lit(chunks)).cast("int")
     blocks = items.withColumns({"cell": F.lit(0), "chunk": chunk})
-    requests = queries.withColumns({"cell": F.lit(0), "chunk": _each(F.lit(chunks))})
+    requests = queries.withColumns(
+        {"cell": F.lit(0), "chunk": _each(F.lit(chunks)), "floor": F.lit(None).cast("double")}
+    )
     copies = F.lit(max(1, partitions // chunks))
     return _scored(
         _with_seen(requests, _seen_by_block(seen, blocks)).withColumn("copies", copies),
@@ -132,12 +137,12 @@ def _scored(requests: DataFrame, blocks: DataFrame, spec: _Spec) -> DataFrame:
     item_rows = blocks.select(
         "cell", "chunk", _each(F.col("copies")).alias("salt"), F.lit(0).alias("kind"), "track_id",
         F.lit(None).cast(spec.user_type).alias("user_id"), F.lit(None).cast("int").alias("probe"),
-        *spec.dims, F.lit(None).cast(seen_type).alias("seen"),
+        *spec.dims, F.lit(None).cast(seen_type).alias("seen"), F.lit(None).cast("double").alias("floor"),
     )
     request_rows = requests.select(
         "cell", "chunk", F.pmod(F.xxhash64("user_id", "probe"), F.col("copies")).cast("int").alias("salt"),
         F.lit(1).alias("kind"), F.lit(None).cast(spec.track_type).alias("track_id"),
-        "user_id", "probe", *spec.dims, F.col("seen").cast(seen_type).alias("seen"),
+        "user_id", "probe", *spec.dims, F.col("seen").cast(seen_type).alias("seen"), "floor",
     )
     schema = T.StructType([
         T.StructField("user_id", spec.user_type),
@@ -160,29 +165,46 @@ def _matrix(batch: pa.RecordBatch, dims: Sequence[str]) -> np.ndarray:
 def _block_scorer(spec: _Spec):
     dims, k, digits = spec.dims, spec.k, spec.digits
 
-    def best(batch: pa.RecordBatch, ids: pa.Array, vectors: np.ndarray) -> pa.RecordBatch:
-        scores = _matrix(batch, dims) @ vectors.T
-        ranking = scores if digits is None else np.round(scores, digits)
-        lists = batch.column("seen")
-        if lists.null_count < len(lists):
-            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            places = pc.index_in(lists.flatten(), value_set=ids)
-            known = pc.is_valid(places).to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(len(lists)), lengths)[known]
-            ranking[rows, pc.drop_null(places).to_numpy()] = -np.inf
-        if k < len(ids):
-            floor = np.partition(ranking, len(ids) - k, axis=1)[:, len(ids) - k]
-        else:
-            floor = np.full(len(batch), -np.inf)
-        rows, columns = np.nonzero((ranking >= floor[:, None]) & (ranking > -np.inf))
-        order = np.lexsort((columns, -ranking[rows, columns], rows))
-        rows, columns = rows[order], columns[order]
-        first = np.searchsorted(rows, rows, side="left")
-        kept = np.arange(len(rows)) - first < k
-        rows, columns = rows[kept], columns[kept]
+    slack = 0.0 if digits is None else 10.0 ** -digits
+
+    def best(run: pa.RecordBatch, ids: pa.Array, vectors: np.ndarray) -> pa.RecordBatch:
+        """The best unseen items of one block for a run of its queries, a few queries at a time."""
+        queries, n = _matrix(run, dims), len(ids)
+        lists = run.column("seen")
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        places = pc.index_in(lists.flatten(), value_set=ids)
+        known = pc.is_valid(places).to_numpy(zero_copy_only=False)
+        seen_rows = np.repeat(np.arange(len(lists)), lengths)[known]
+        seen_columns = pc.drop_null(places).to_numpy()
+        brought = pc.fill_null(run.column("floor"), -np.inf).to_numpy(zero_copy_only=False)
+        some = min(n, max(4 * k, n // 4))
+        step = max(1, SCORES_AT_ONCE // n)
+        found_rows, found_columns, found_scores = [], [], []
+        for start in range(0, len(run), step):
+            scores = queries[start : start + step] @ vectors.T
+            first, last = np.searchsorted(seen_rows, [start, start + step])
+            scores[seen_rows[first:last] - start, seen_columns[first:last]] = -np.inf
+            # The k-th best of some of the items bounds the k-th best of all from below,
+            # so whatever is under it, or under the floor a query brings along, is out.
+            floor = brought[start : start + step]
+            if k < some:
+                floor = np.maximum(floor, np.partition(scores[:, :some], some - k, axis=1)[:, some - k])
+            flat = np.flatnonzero(scores >= floor[:, None] - slack)
+            kept = scores.ravel()[flat]
+            unseen = kept > -np.inf
+            flat, kept = flat[unseen], kept[unseen]
+            rows = flat // n
+            order = np.lexsort((flat, -(kept if digits is None else np.round(kept, digits)), rows))
+            rows = rows[order]
+            top = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+            chosen = order[top]
+            found_rows.append(rows[top] + start)
+            found_columns.append(flat[chosen] % n)
+            found_scores.append(kept[chosen])
+        rows = pa.array(np.concatenate(found_rows))
         return pa.RecordBatch.from_arrays(
-            [batch.column("user_id").take(pa.array(rows)), batch.column("probe").take(pa.array(rows)),
-             ids.take(pa.array(columns)), pa.array(scores[rows, columns])],
+            [run.column("user_id").take(rows), run.column("probe").take(rows),
+             ids.take(pa.array(np.concatenate(found_columns))), pa.array(np.concatenate(found_scores))],
             names=["user_id", "probe", "track_id", "score"],
         )
 
@@ -207,9 +229,7 @@ def _block_scorer(spec: _Spec):
                     continue
                 if vectors is None:
                     vectors, block_ids = np.concatenate(parts), pa.concat_arrays(ids)
-                step = max(1, SCORES_AT_ONCE // len(vectors))
-                for at in range(0, len(run), step):
-                    yield best(run.slice(at, step), block_ids, vectors)
+                yield best(run, block_ids, vectors)
 
     return score
 
@@ -219,17 +239,20 @@ def _visit_promising(queries, items, seen, spec: _Spec, cells: int, block_items:
     dims = spec.dims
     drawn = items.orderBy(F.xxhash64("track_id"), "track_id").limit(cells).select(*dims).collect()
     centres = np.unique(np.array([list(r) for r in drawn], dtype=float), axis=0)
+    extent = [T.StructField(c, T.DoubleType()) for c in ("distance", "angle", "length")]
     placed = stored(items.mapInArrow(
-        _cell_finder(dims, centres),
-        T.StructType([*items.schema.fields, T.StructField("cell", T.IntegerType()),
-                      T.StructField("distance", T.DoubleType())]),
+        _cell_finder(dims, centres), T.StructType([*items.schema.fields, T.StructField("cell", T.IntegerType()), *extent])
     ))
-    stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("r")).collect()
-    radius = np.full(len(centres), -np.inf)
-    size = np.zeros(len(centres), dtype=np.int64)
+    stats = placed.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("size"), F.max("distance").alias("radius"), F.max("angle").alias("angle"),
+        F.min("length").alias("shortest"), F.max("length").alias("longest"),
+    ).collect()
+    measured = {name: np.zeros(len(centres)) for name in ("size", "radius", "angle", "shortest", "longest")}
     for row in stats:
-        radius[row["cell"]], size[row["cell"]] = row["r"], row["n"]
-    chunks = {r["cell"]: max(1, ceil(r["n"] / block_items)) for r in stats}
+        for name, values in measured.items():
+            values[row["cell"]] = row[name]
+    layout = _Cells(centres, **measured | {"size": measured["size"].astype(np.int64)})
+    chunks = {r["cell"]: max(1, ceil(r["size"] / block_items)) for r in stats}
 
     def per_cell(name: str, values: dict[int, int]) -> DataFrame:
         return F.broadcast(spark.createDataFrame(list(values.items()), f"cell int, {name} int"))
@@ -254,11 +277,11 @@ def _visit_promising(queries, items, seen, spec: _Spec, cells: int, block_items:
                     *[T.StructField(d, T.DoubleType()) for d in dims]]
     picks = T.StructField("picks", T.ArrayType(T.IntegerType()))
     first = stored(counted.mapInArrow(
-        _first_cells(dims, spec.k, centres, radius, size), T.StructType([*query_fields, picks])
+        _first_cells(dims, spec.k, layout), T.StructType([*query_fields, picks])
     ))
 
     def visit(requests: DataFrame) -> DataFrame:
-        to_cell = requests.select("user_id", "probe", *dims, F.explode("picks").alias("cell"))
+        to_cell = requests.select("user_id", "probe", *dims, "floor", F.explode("picks").alias("cell"))
         load = to_cell.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
         copies = {c: 1 for c in chunks} | {r["cell"]: ceil(r["n"] / QUERIES_PER_COPY) for r in load}
         copy_counts = per_cell("copies", copies)
@@ -269,11 +292,12 @@ def _visit_promising(queries, items, seen, spec: _Spec, cells: int, block_items:
             _with_seen(routed, seen_lists).join(copy_counts, "cell"), blocks.join(copy_counts, "cell"), spec
         )
 
-    near = stored(_ranked(visit(first), spec))
+    near = stored(_ranked(visit(first.withColumn("floor", F.lit(None).cast("double"))), spec))
     floor = near.where(F.col("rank") == spec.k).select("user_id", "probe", F.col("score").alias("floor"))
     second = stored(
         first.join(floor, ["user_id", "probe"], "left").mapInArrow(
-            _further_cells(dims, centres, radius), T.StructType([*query_fields, picks])
+            _further_cells(dims, layout),
+            T.StructType([*query_fields, picks, T.StructField("floor", T.DoubleType())]),
         )
     )
     far = visit(second)
@@ -287,21 +311,47 @@ def _cell_finder(dims: Sequence[str], centres: np.ndarray):
         for batch in batches:
             vectors = _matrix(batch, dims)
             cell = (squares - 2 * vectors @ centres.T).argmin(axis=1)
-            distance = np.sqrt(((vectors - centres[cell]) ** 2).sum(axis=1))
+            near = centres[cell]
+            distance = np.linalg.norm(vectors - near, axis=1)
+            length = np.linalg.norm(vectors, axis=1)
+            both = length * np.linalg.norm(near, axis=1)
+            cosine = np.divide((vectors * near).sum(axis=1), both, out=np.ones_like(both), where=both > 0)
+            angle = np.arccos(np.clip(cosine, -1.0, 1.0))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(distance)],
-                names=[*batch.schema.names, "cell", "distance"],
+                [*batch.columns, pa.array(cell.astype(np.int32)), *map(pa.array, (distance, angle, length))],
+                names=[*batch.schema.names, "cell", "distance", "angle", "length"],
             )
 
     return assign
 
 
-def _bounds(vectors: np.ndarray, centres: np.ndarray, radius: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class _Cells:
+    """Centre, item count and extent of each cell; empty cells have count 0."""
+
+    centres: np.ndarray
+    size: np.ndarray
+    radius: np.ndarray
+    angle: np.ndarray
+    shortest: np.ndarray
+    longest: np.ndarray
+
+
+def _angles(vectors: np.ndarray, centres: np.ndarray, products: np.ndarray) -> np.ndarray:
+    """Angle of each vector and centre, 0 where either has no length."""
+    lengths = np.linalg.norm(vectors, axis=1)[:, None] * np.linalg.norm(centres, axis=1)[None, :]
+    cosine = np.divide(products, lengths, out=np.ones_like(products), where=lengths > 0)
+    return np.arccos(np.clip(cosine, -1.0, 1.0))
+
+
+def _bounds(vectors: np.ndarray, cells: _Cells) -> np.ndarray:
     """Largest score a query can reach in each cell; -inf for empty cells."""
-    length = np.sqrt((vectors ** 2).sum(axis=1, keepdims=True))
-    with np.errstate(invalid="ignore"):
-        reach = np.where(np.isinf(radius), -np.inf, length * np.where(np.isinf(radius), 0.0, radius))
-    return vectors @ centres.T + reach
+    length = np.linalg.norm(vectors, axis=1)[:, None]
+    products = vectors @ cells.centres.T
+    ball = products + length * cells.radius
+    gap = np.cos(np.clip(_angles(vectors, cells.centres, products) - cells.angle - ANGLE_SLACK, 0.0, None))
+    cone = length * gap * np.where(gap > 0, cells.longest, cells.shortest)
+    return np.where(cells.size > 0, np.minimum(ball, cone), -np.inf)
 
 
 def _list_column(chosen: np.ndarray) -> pa.Array:
@@ -310,50 +360,53 @@ def _list_column(chosen: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(chosen)[1].astype(np.int32)))
 
 
-def _with_picks(batch: pa.RecordBatch, dims: Sequence[str], chosen: np.ndarray) -> pa.RecordBatch:
+def _with_picks(
+    batch: pa.RecordBatch, dims: Sequence[str], chosen: np.ndarray, more: Sequence[str] = ()
+) -> pa.RecordBatch:
     names = ["user_id", "probe", *dims]
     return pa.RecordBatch.from_arrays(
-        [*[batch.column(c) for c in names], _list_column(chosen)], names=[*names, "picks"]
+        [*[batch.column(c) for c in names], _list_column(chosen), *[batch.column(c) for c in more]],
+        names=[*names, "picks", *more],
     )
 
 
-def _first_cells(dims, k: int, centres: np.ndarray, radius: np.ndarray, size: np.ndarray):
+def _first_cells(dims, k: int, cells: _Cells):
     """Cells of highest bound until they hold ``k`` unseen items."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch) == 0:
                 continue
-            bounds = _bounds(_matrix(batch, dims), centres, radius)
-            unseen = np.repeat(size[None, :], len(batch), axis=0)
-            cells, counts = batch.column("seen_cells"), batch.column("seen_counts")
-            lengths = pc.fill_null(pc.list_value_length(cells), 0).to_numpy(zero_copy_only=False)
+            bounds = _bounds(_matrix(batch, dims), cells)
+            unseen = np.repeat(cells.size[None, :], len(batch), axis=0)
+            places, counts = batch.column("seen_cells"), batch.column("seen_counts")
+            lengths = pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False)
             rows = np.repeat(np.arange(len(batch)), lengths)
-            unseen[rows, cells.flatten().to_numpy()] -= counts.flatten().to_numpy()
+            unseen[rows, places.flatten().to_numpy()] -= counts.flatten().to_numpy()
             order = np.argsort(-bounds, axis=1, kind="stable")
             held = np.cumsum(np.take_along_axis(unseen, order, axis=1), axis=1)
             before = np.concatenate([np.zeros((len(batch), 1), dtype=held.dtype), held[:, :-1]], axis=1)
             chosen = np.zeros(bounds.shape, dtype=bool)
             np.put_along_axis(chosen, order, before < k, axis=1)
-            yield _with_picks(batch, dims, chosen & (size > 0))
+            yield _with_picks(batch, dims, chosen & (cells.size > 0))
 
     return pick
 
 
-def _further_cells(dims, centres: np.ndarray, radius: np.ndarray):
+def _further_cells(dims, cells: _Cells):
     """Cells not yet visited whose bound reaches the k-th score found so far."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch) == 0:
                 continue
-            bounds = _bounds(_matrix(batch, dims), centres, radius)
+            bounds = _bounds(_matrix(batch, dims), cells)
             floor = pc.fill_null(batch.column("floor"), -np.inf).to_numpy(zero_copy_only=False)[:, None]
             slack = 1e-8 * np.maximum(1.0, np.where(np.isinf(floor), 1.0, np.abs(floor)))
-            chosen = (bounds >= floor - slack) & ~np.isinf(radius)
+            chosen = (bounds >= floor - slack) & (cells.size > 0)
             visited = batch.column("picks")
             lengths = pc.list_value_length(visited).to_numpy(zero_copy_only=False)
             chosen[np.repeat(np.arange(len(batch)), lengths), visited.flatten().to_numpy()] = False
-            yield _with_picks(batch, dims, chosen)
+            yield _with_picks(batch, dims, chosen, ["floor"])
 
     return pick

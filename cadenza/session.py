@@ -26,14 +26,15 @@ def local_session(app: str = "cadenza", cpus: int | str = "*", memory: str = "8g
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="cadenza-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="cadenza-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 def stored(df: DataFrame) -> DataFrame:
