@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import scalars as S
 from cadenza.operators.joins import lookup_join, null_safe_join
 from cadenza.operators.plays import completed, per_pair
+from cadenza.session import stored
 
 
 def _track_totals(plays: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,12 +43,13 @@ def _listeners(plays: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFra
     )
 
 
-def genre_popularity(plays: DataFrame, tracks: DataFrame) -> DataFrame:
+def genre_popularity(plays: DataFrame, tracks: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Plays, listeners, tracks, completion and share of all plays per genre."""
     dim = tracks.select("track_id", "genre")
-    totals = _track_totals(plays, dim, ["genre"])
+    counted = plays if counted is None else counted
+    totals = _track_totals(counted, dim, ["genre"])
     listeners = _listeners(plays, dim, ["genre"])
-    all_plays = plays.agg(F.count(F.lit(1))).scalar()
+    all_plays = counted.agg(F.count(F.lit(1))).scalar()
     return (
         null_safe_join(totals, listeners, ["genre"])
         .select(
@@ -62,10 +64,10 @@ def genre_popularity(plays: DataFrame, tracks: DataFrame) -> DataFrame:
     )
 
 
-def genre_skips(plays: DataFrame, tracks: DataFrame) -> DataFrame:
+def genre_skips(plays: DataFrame, tracks: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Skip rate per genre; the share is of plays of known tracks."""
     dim = tracks.select("track_id", "genre")
-    totals = _track_totals(plays, dim, ["genre"])
+    totals = _track_totals(plays if counted is None else counted, dim, ["genre"])
     listeners = _listeners(plays, dim, ["genre"])
     known = totals.agg(F.sum("total_plays")).scalar()
     skipped = F.col("total_plays") - F.col("done")
@@ -82,17 +84,19 @@ def genre_skips(plays: DataFrame, tracks: DataFrame) -> DataFrame:
     )
 
 
-def artist_leaderboard(plays: DataFrame, tracks: DataFrame, n: int = 30) -> DataFrame:
+def artist_leaderboard(
+    plays: DataFrame, tracks: DataFrame, n: int = 30, counted: DataFrame | None = None
+) -> DataFrame:
     """The ``n`` artists with most completed plays.
 
-    The board comes from per-track sums; listeners are then counted for the
-    tracks of those ``n`` artists only.
+    The board comes from per-track sums and is stored, ``n`` rows; listeners are
+    then counted for the tracks of those ``n`` artists only.
     """
     keys = ["artist_id", "artist_name", "genre"]
     done = completed(plays)
     dim = tracks.select("track_id", *keys)
-    board = (
-        _track_totals(done, dim, keys)
+    board = stored(
+        _track_totals(completed(plays if counted is None else counted), dim, keys)
         .orderBy(F.desc("total_plays"), *keys)
         .limit(n)
     )

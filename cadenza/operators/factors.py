@@ -8,7 +8,8 @@ from math import ceil
 
 import numpy as np
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.mllib.linalg.distributed import CoordinateMatrix, IndexedRowMatrix, MatrixEntry
+from pyspark.mllib.common import callMLlibFunc
+from pyspark.mllib.linalg.distributed import CoordinateMatrix, IndexedRowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -115,22 +116,23 @@ def fit_svd(
     )
     train, test = hash_split(coded)
     n_users, n_tracks = user_ids.count(), track_ids.count()
-    entries = train.select("user_idx", "track_idx", F.col("implicit_rating").cast("double")).rdd
-    matrix = CoordinateMatrix(entries.map(lambda r: MatrixEntry(r[0], r[1], r[2])), n_users, n_tracks)
+    entries = train.selectExpr(
+        "cast(user_idx as bigint) as i", "cast(track_idx as bigint) as j", "cast(implicit_rating as double) as value"
+    )
+    # The JVM builds the matrix from the frame; no rating passes through Python.
+    matrix = CoordinateMatrix(callMLlibFunc("createCoordinateMatrix", entries, n_users, n_tracks))
     right = _right_singular_vectors(matrix.toIndexedRowMatrix(), min(rank, n_users, n_tracks), n_tracks)
     dims = [f"f{i}" for i in range(right.shape[1])]
     rows = [(i, *map(float, right[i])) for i in range(n_tracks)]
     by_index = spark.createDataFrame(rows, ", ".join(["track_idx int", *[f"{d} double" for d in dims]]))
-    tracks = stored(by_index.join(track_ids, "track_idx").select("track_id", "track_idx", *dims))
-    users = stored(
+    tracks = by_index.join(track_ids, "track_idx").select("track_id", "track_idx", *dims)
+    users = (
         train.join(F.broadcast(tracks.drop("track_id")), "track_idx")
         .groupBy("user_id")
-        .agg(*[F.sum(F.col("implicit_rating") * F.col(d)).alias(d) for d in dims])
+        .agg(*[F.expr(f"sum(implicit_rating * {d})").alias(d) for d in dims])
     )
     mine = users.withColumnsRenamed({d: f"u_{d}" for d in dims})
-    product = F.lit(0.0)
-    for d in dims:
-        product = product + F.coalesce(F.col(f"u_{d}"), F.lit(0.0)) * F.col(d)
+    product = F.expr(" + ".join(f"coalesce(u_{d}, 0D) * {d}" for d in dims))
     predictions = (
         test.join(F.broadcast(tracks.drop("track_id")), "track_idx")
         .join(F.broadcast(mine), "user_id", "left")

@@ -191,12 +191,14 @@ def queries() -> dict[str, Query]:
         "track_engagement": lambda s, d: plays.track_engagement(no_users(s, d)),
         "engagement_leaderboard": lambda s, d: plays.engagement_with_tracks(E(s, d), T(s, d)),
         "hourly_activity": lambda s, d: plays.hourly_activity(E(s, d)),
-        "genre_popularity": lambda s, d: boards.genre_popularity(L(s, d), P(s, d)),
-        "genre_skips": lambda s, d: boards.genre_skips(L(s, d), P(s, d)),
+        "genre_popularity": lambda s, d: boards.genre_popularity(L(s, d), P(s, d), no_users(s, d)),
+        "genre_skips": lambda s, d: boards.genre_skips(L(s, d), P(s, d), no_users(s, d)),
         "known_track_coverage": lambda s, d: plays.known_track_coverage(
             L(s, d), P(s, d).where("popularity <= 25")
         ),
-        "artist_leaderboard": lambda s, d: boards.artist_leaderboard(L(s, d), P(s, d)),
+        "artist_leaderboard": lambda s, d: boards.artist_leaderboard(
+            L(s, d), P(s, d), counted=no_users(s, d)
+        ),
         "artist_names": lambda s, d: boards.artist_names(no_users(s, d), P(s, d)),
         "cohort_subscription": lambda s, d: boards.cohort_subscription(L(s, d), U(s, d)),
         "cohort_gap": lambda s, d: boards.cohort_gap(L(s, d), U(s, d), PREMIUM, FREE),
