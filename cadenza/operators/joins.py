@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 16 << 20
 SALTS = 32
 
 

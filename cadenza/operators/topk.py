@@ -61,14 +61,15 @@ def top_k_dot(
     """(user_id, probe, track_id, score, rank) of the best ``k`` items per query.
 
     ``queries`` has user_id, probe and ``dims``; a user may have several probes.
-    ``items`` has track_id and ``dims``.  Pairs in ``seen`` (user_id, track_id;
+    ``items`` has track_id and ``dims``; rows with a null or NaN in ``dims`` are
+    left out.  Pairs in ``seen`` (user_id, track_id;
     repeats allowed) are left out.  Items rank by score rounded to ``digits``,
     then by track_id, so that floating-point noise does not order equal scores.
     """
     dims = list(dims)
     spec = _Spec(dims, k, digits, queries.schema["user_id"].dataType, items.schema["track_id"].dataType)
-    queries = queries.select("user_id", F.col("probe").cast("int").alias("probe"), *dims)
-    items = items.select("track_id", *dims)
+    queries = queries.select("user_id", F.col("probe").cast("int").alias("probe"), *dims).na.drop(subset=dims)
+    items = items.select("track_id", *dims).na.drop(subset=dims)
     n = items.count()
     if cells is None:
         cells = 1 if n <= SINGLE_CELL_ITEMS else min(MAX_CELLS, ceil(n / CELL_ITEMS))

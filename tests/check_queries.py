@@ -5,7 +5,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -52,10 +51,7 @@ def differences(spark_df, con, sql: str) -> list[str]:
         return [f"rows {len(ours)} != {len(theirs)}"]
     out = []
     for a, b in zip(sorted(ours, key=_key), sorted(theirs, key=_key), strict=True):
-        if a != b and not all(
-            x == y or (isinstance(x, float) and isinstance(y, float) and math.isclose(x, y, rel_tol=0, abs_tol=1e-12))
-            for x, y in zip(a, b, strict=True)
-        ):
+        if repr(a) != repr(b):  # to the last bit and the sign of zero
             out.append(f"{dict(zip(order, a, strict=True))} != {dict(zip(order, b, strict=True))}")
     return out
 
