@@ -12,7 +12,7 @@ from cadenza.functions import scalars as S
 from cadenza.operators.content import with_metadata
 from cadenza.operators.features import CONTENT_FEATURES, content_features, taste_profiles, unit_vectors
 from cadenza.operators.joins import lookup_join
-from cadenza.operators.plays import implicit_ratings, per_pair, play_counts
+from cadenza.operators.plays import pair_counts, per_pair, play_counts
 from cadenza.operators.topk import top_k_dot
 from cadenza.session import stored
 
@@ -41,14 +41,14 @@ def hybrid_recommendations(
     Each signal's smallest and largest value over a user's unheard tracks is a
     best-of-one query; the blend is one more query over both signals' vectors.
     """
-    ratings = stored(implicit_ratings(plays))
+    ratings = stored(pair_counts(plays))
     vectors = content_features(tracks, features)
     own = [f"x{i}" for i in range(len(features))]
     profiles = unit_vectors(taste_profiles(ratings, vectors, features), "user_id", features, own)
     items = unit_vectors(vectors, "track_id", features, own)
     if factors is None:
         cf = ["popularity_part"]
-        counts = stored(play_counts(plays))
+        counts = stored(ratings.groupBy("track_id").agg(F.sum("completed").alias("play_count")))
         most = counts.agg(F.max("play_count")).first()[0] or 1
         signal = counts.select("track_id", (F.col("play_count") / F.lit(float(most))).alias(cf[0]))
         users = profiles.withColumn(cf[0], F.lit(float(most)))

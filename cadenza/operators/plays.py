@@ -150,6 +150,14 @@ def implicit_ratings(plays: DataFrame) -> DataFrame:
     )
 
 
+def pair_counts(plays: DataFrame) -> DataFrame:
+    """Completed plays and summed play weight per (user, track): all that recommendations need of the plays."""
+    return plays.groupBy("user_id", "track_id").agg(
+        S.count_where(S.is_completed()).alias("completed"),
+        F.sum(S.play_weight()).cast("bigint").alias("implicit_rating"),
+    )
+
+
 def heard_pairs(plays: DataFrame) -> DataFrame:
     """Every (user, track) pair with a play, skipped ones included."""
     return plays.select("user_id", "track_id").distinct()

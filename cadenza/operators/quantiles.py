@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,22 @@ def _number(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _placed(df: DataFrame, column: str, intervals: list[tuple[int, float, float]]) -> DataFrame:
+    """The column's values that lie in an open interval, with interval and bin."""
+    values = df.select(_number(column).alias("value"))
+    value, interval, bin_ = F.col("value"), F.lit(None).cast("int"), F.lit(None).cast("int")
+    for i, low, high in intervals:
+        inside = value.between(low, high)
+        place = F.lit(0)
+        if high > low:
+            step = (value / 2 - low / 2) / (high / 2 - low / 2) * BINS
+            place = F.least(F.floor(step), F.lit(BINS - 1)).cast("int")
+        interval = F.when(inside, i).otherwise(interval)
+        bin_ = F.when(inside, place).otherwise(bin_)
+    placed = values.select(interval.alias("interval"), bin_.alias("bin"), "value")
+    return placed.where("interval is not null")
+
+
 def order_statistics(
     df: DataFrame, ranks: dict[str, Sequence[int]], bounds: dict[str, tuple[float, float]]
 ) -> dict[tuple[str, int], float]:
@@ -30,20 +47,15 @@ def order_statistics(
     found: dict[tuple[str, int], float] = {}
     open_intervals = [(c, *bounds[c], 0, sorted(set(r))) for c, r in ranks.items() if r]
     while open_intervals:
-        cells = []
+        by_column = defaultdict(list)
         for i, (column, low, high, _, _) in enumerate(open_intervals):
-            value = _number(column)
-            if high > low:
-                place = (value / 2 - low / 2) / (high / 2 - low / 2) * BINS
-                bin_ = F.least(F.floor(place), F.lit(BINS - 1))
-            else:
-                bin_ = F.lit(0)
-            cell = F.struct(F.lit(i).alias("interval"), bin_.cast("int").alias("bin"), value.alias("value"))
-            cells.append(F.when(value.between(low, high), cell))
+            by_column[column].append((i, low, high))
+        # One narrow scan per column; the open intervals of a column do not overlap.
+        parts = [_placed(df, column, intervals) for column, intervals in by_column.items()]
         binned = (
-            df.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
-            .groupBy("c.interval", "c.bin")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("c.value").alias("low"), F.max("c.value").alias("high"))
+            reduce(DataFrame.unionByName, parts)
+            .groupBy("interval", "bin")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         )
         rows = defaultdict(list)
         for row in binned.collect():
