@@ -13,8 +13,8 @@ unseen items, which gives a floor for its k-th score, and then only those other
 cells whose bound reaches that floor.  The bound is exact: it skips work, never
 results.
 
-Hot blocks are copied once per ``salt`` and their queries divided over the
-copies.  All that reaches the driver is one small row per cell.
+Seen pairs travel to the block of their item, beside the queries of their user.
+Hot blocks are copied once per ``salt`` and users are divided over the copies.  All that reaches the driver is one small row per cell.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ MAX_CELLS = 4096
 QUERIES_PER_COPY = 100_000
 SCORES_AT_ONCE = 250_000
 ANGLE_SLACK = 1e-7  # more than arccos loses near 0
+PLACE = ("track_id", "cell", "chunk", "copies")
+ITEM, SEEN, REQUEST = 0, 1, 2  # kinds of rows in a block, in their order
 
 # Executors get the functions below with the task; they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -62,13 +64,13 @@ def top_k_dot(
 
     ``queries`` has user_id, probe and ``dims``; a user may have several probes.
     ``items`` has track_id and ``dims``; rows with a null or NaN in ``dims`` are
-    left out.  Pairs in ``seen`` (user_id, track_id;
-    repeats allowed) are left out.  Items rank by score rounded to ``digits``,
+    left out.  Pairs in ``seen`` (user_id, track_id; each pair best once) are
+    left out.  Items rank by score rounded to ``digits``,
     then by track_id, so that floating-point noise does not order equal scores.
     """
     dims = list(dims)
     spec = _Spec(dims, k, digits, queries.schema["user_id"].dataType, items.schema["track_id"].dataType)
-    queries = queries.select("user_id", F.col("probe").cast("int").alias("probe"), *dims).na.drop(subset=dims)
+    queries = queries.select("user_id", F.col("probe").cast("int").alias("probe"), *dims).na.drop(subset=["user_id", *dims])
     items = items.select("track_id", *dims).na.drop(subset=dims)
     n = items.count()
     if cells is None:
@@ -98,53 +100,51 @@ def _ranked(hits: DataFrame, spec: _Spec) -> DataFrame:
 def _visit_all(queries, items, seen, spec: _Spec, chunks: int) -> DataFrame:
     partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunk = F.pmod(F.xxhash64("track_id"), F.lit(chunks)).cast("int")
-    blocks = items.withColumns({"cell": F.lit(0), "chunk": chunk})
-    requests = queries.withColumns(
-        {"cell": F.lit(0), "chunk": _each(F.lit(chunks)), "floor": F.lit(None).cast("double")}
-    )
-    copies = F.lit(max(1, partitions // chunks))
-    return _scored(
-        _with_seen(requests, _seen_by_block(seen, blocks)).withColumn("copies", copies),
-        blocks.withColumn("copies", copies),
-        spec,
-    )
+    blocks = items.withColumns({"cell": F.lit(0), "chunk": chunk, "copies": F.lit(max(1, partitions // chunks))})
+    requests = queries.withColumns({
+        "cell": F.lit(0), "chunk": _each(F.lit(chunks)), "copies": F.lit(max(1, partitions // chunks)),
+        "floor": F.lit(None).cast("double"),
+    })
+    return _scored(requests, blocks, _located(seen, blocks), spec)
 
 
 def _each(n: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
 
 
-def _seen_by_block(seen: DataFrame | None, blocks: DataFrame) -> DataFrame | None:
-    """Seen items per user and block: no list is longer than its block."""
+def _located(seen: DataFrame | None, blocks: DataFrame) -> DataFrame | None:
+    """Seen pairs with the block of their item; pairs outside the catalogue drop out."""
     if seen is None:
         return None
-    place = blocks.select("track_id", "cell", "chunk")
-    return (
-        lookup_join(seen.select("user_id", "track_id"), place, "track_id", ["user_id"])
-        .groupBy("user_id", "cell", "chunk")
-        .agg(F.collect_set("track_id").alias("seen"))
-    )
+    pairs = seen.where("user_id is not null").select("user_id", "track_id")
+    return lookup_join(pairs, blocks.drop(*[c for c in blocks.columns if c not in PLACE]), "track_id", ["user_id"])
 
 
-def _with_seen(requests: DataFrame, seen_lists: DataFrame | None) -> DataFrame:
-    if seen_lists is None:
-        return requests.withColumn("seen", F.lit(None))
-    return requests.join(seen_lists, ["user_id", "cell", "chunk"], "left")
+def _scored(requests: DataFrame, blocks: DataFrame, seen: DataFrame | None, spec: _Spec) -> DataFrame:
+    """Best k per request and block.
 
+    In a block the items come first, then each user's seen items, then the
+    user's requests.
+    """
+    empty = {
+        "track_id": F.lit(None).cast(spec.track_type), "user_id": F.lit(None).cast(spec.user_type),
+        "probe": F.lit(None).cast("int"), "floor": F.lit(None).cast("double"),
+        "vector": F.lit(None).cast("array<double>"),
+    }
+    packed = F.array(*spec.dims).alias("vector")
+    blocks, requests = blocks.select("*", packed), requests.select("*", packed)
+    salt = F.pmod(F.xxhash64("user_id"), F.col("copies")).cast("int")
+
+    def rows(frame: DataFrame, kind: int, salted: Column) -> DataFrame:
+        present = set(frame.columns)
+        return frame.select(
+            "cell", "chunk", salted.alias("salt"), F.lit(kind).alias("kind"),
+            *[F.col(c) if c in present else v.alias(c) for c, v in empty.items()],
+        )
 
-def _scored(requests: DataFrame, blocks: DataFrame, spec: _Spec) -> DataFrame:
-    """Best k per request and block.  Items sort before the requests of their block."""
-    seen_type = T.ArrayType(spec.track_type)
-    item_rows = blocks.select(
-        "cell", "chunk", _each(F.col("copies")).alias("salt"), F.lit(0).alias("kind"), "track_id",
-        F.lit(None).cast(spec.user_type).alias("user_id"), F.lit(None).cast("int").alias("probe"),
-        *spec.dims, F.lit(None).cast(seen_type).alias("seen"), F.lit(None).cast("double").alias("floor"),
-    )
-    request_rows = requests.select(
-        "cell", "chunk", F.pmod(F.xxhash64("user_id", "probe"), F.col("copies")).cast("int").alias("salt"),
-        F.lit(1).alias("kind"), F.lit(None).cast(spec.track_type).alias("track_id"),
-        "user_id", "probe", *spec.dims, F.col("seen").cast(seen_type).alias("seen"), "floor",
-    )
+    everything = rows(blocks, ITEM, _each(F.col("copies"))).unionByName(rows(requests, REQUEST, salt))
+    if seen is not None:
+        everything = everything.unionByName(rows(seen, SEEN, salt))
     schema = T.StructType([
         T.StructField("user_id", spec.user_type),
         T.StructField("probe", T.IntegerType()),
@@ -152,9 +152,8 @@ def _scored(requests: DataFrame, blocks: DataFrame, spec: _Spec) -> DataFrame:
         T.StructField("score", T.DoubleType()),
     ])
     return (
-        item_rows.unionByName(request_rows)
-        .repartition("cell", "chunk", "salt")
-        .sortWithinPartitions("cell", "chunk", "salt", "kind", "track_id")
+        everything.repartition("cell", "chunk", "salt")
+        .sortWithinPartitions("cell", "chunk", "salt", "user_id", "kind", "track_id")
         .mapInArrow(_block_scorer(spec), schema)
     )
 
@@ -168,15 +167,29 @@ def _block_scorer(spec: _Spec):
 
     slack = 0.0 if digits is None else 10.0 ** -digits
 
-    def best(run: pa.RecordBatch, ids: pa.Array, vectors: np.ndarray) -> pa.RecordBatch:
-        """The best unseen items of one block for a run of its queries, a few queries at a time."""
-        queries, n = _matrix(run, dims), len(ids)
-        lists = run.column("seen")
-        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        places = pc.index_in(lists.flatten(), value_set=ids)
-        known = pc.is_valid(places).to_numpy(zero_copy_only=False)
-        seen_rows = np.repeat(np.arange(len(lists)), lengths)[known]
-        seen_columns = pc.drop_null(places).to_numpy()
+    def unpacked(rows_: pa.RecordBatch) -> np.ndarray:
+        return rows_.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(rows_), len(dims))
+
+    def best(rows_: pa.RecordBatch, ids: pa.Array, vectors: np.ndarray) -> pa.RecordBatch | None:
+        """The best unseen items of one block for whole users, a few requests at a time."""
+        kind = rows_.column("kind").to_numpy()
+        asked = np.flatnonzero(kind == REQUEST)
+        if len(asked) == 0:
+            return None
+        run = rows_.take(pa.array(asked))
+        queries, n = unpacked(run), len(ids)
+        user = rows_.column("user_id").dictionary_encode().indices.to_numpy()
+        seen = np.flatnonzero(kind == SEEN)
+        places = pc.index_in(rows_.column("track_id").take(pa.array(seen)), value_set=ids)
+        seen = seen[pc.is_valid(places).to_numpy(zero_copy_only=False)]
+        places = pc.drop_null(places).to_numpy()
+        # A user's requests lie side by side; every one of them leaves out the user's seen items.
+        first, last = (np.searchsorted(user[asked], user[seen], side=side) for side in ("left", "right"))
+        times = last - first
+        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        seen_rows, seen_columns = np.repeat(first, times) + within, np.repeat(places, times)
+        order = np.argsort(seen_rows, kind="stable")
+        seen_rows, seen_columns = seen_rows[order], seen_columns[order]
         brought = pc.fill_null(run.column("floor"), -np.inf).to_numpy(zero_copy_only=False)
         some = min(n, max(4 * k, n // 4))
         step = max(1, SCORES_AT_ONCE // n)
@@ -210,27 +223,52 @@ def _block_scorer(spec: _Spec):
         )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, ids, parts, vectors = None, [], [], None
+        block, ids, parts, vectors, waiting = None, [], [], None, []
+
+        def flush(hold_last_user: bool) -> pa.RecordBatch | None:
+            """Score the waiting rows; the last user may go on in the next batch."""
+            nonlocal ids, parts, vectors, waiting
+            if not waiting:
+                return None
+            rows_ = pa.concat_batches(waiting)
+            cut = len(rows_)
+            if hold_last_user:
+                users = rows_.column("user_id").dictionary_encode().indices.to_numpy()
+                cut = int(np.searchsorted(users, users[-1], side="left"))
+            waiting = [rows_.slice(cut)] if cut < len(rows_) else []
+            if not parts or cut == 0:
+                return None
+            if vectors is None:
+                vectors, ids = np.concatenate(parts), pa.concat_arrays(ids)
+            return best(rows_.slice(0, cut), ids, vectors)
+
         for batch in batches:
-            keys = np.column_stack([batch.column(c).to_numpy() for c in ("cell", "chunk", "salt", "kind")])
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("cell", "chunk", "salt")])
+            is_item = batch.column("kind").to_numpy() == ITEM
+            keys = np.column_stack([keys, is_item])
             edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             bounds = [0, *edges.tolist(), len(keys)]
             for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
                 if start == stop:
                     continue
-                run = batch.slice(start, stop - start)
                 here = tuple(keys[start][:3])
                 if here != block:
-                    block, ids, parts, vectors = here, [], [], None
-                if keys[start][3] == 0:
+                    done = flush(hold_last_user=False)
+                    if done is not None:
+                        yield done
+                    block, ids, parts, vectors, waiting = here, [], [], None, []
+                run = batch.slice(start, stop - start)
+                if is_item[start]:
                     ids.append(run.column("track_id"))
-                    parts.append(_matrix(run, dims))
-                    continue
-                if not parts:
-                    continue
-                if vectors is None:
-                    vectors, block_ids = np.concatenate(parts), pa.concat_arrays(ids)
-                yield best(run, block_ids, vectors)
+                    parts.append(unpacked(run))
+                else:
+                    waiting.append(run)
+            done = flush(hold_last_user=True)
+            if done is not None:
+                yield done
+        done = flush(hold_last_user=False)
+        if done is not None:
+            yield done
 
     return score
 
@@ -262,13 +300,13 @@ def _visit_promising(queries, items, seen, spec: _Spec, cells: int, block_items:
     blocks = placed.join(chunk_counts, "cell").select(
         "track_id", *dims, "cell", F.pmod(F.xxhash64("track_id"), F.col("chunks")).cast("int").alias("chunk")
     )
-    seen_lists = None if seen is None else stored(_seen_by_block(seen, blocks))
-    if seen_lists is None:
+    placed_seen = None if seen is None else stored(_located(seen, blocks))
+    if placed_seen is None:
         counted = queries.withColumns({"seen_cells": F.lit(None).cast("array<int>"),
                                        "seen_counts": F.lit(None).cast("array<bigint>")})
     else:
         per_user = (
-            seen_lists.groupBy("user_id", "cell").agg(F.sum(F.size("seen")).alias("n"))
+            placed_seen.groupBy("user_id", "cell").agg(F.countDistinct("track_id").alias("n"))
             .groupBy("user_id").agg(F.collect_list(F.struct("cell", "n")).alias("s"))
             .select("user_id", F.col("s.cell").alias("seen_cells"), F.col("s.n").alias("seen_counts"))
         )
@@ -286,12 +324,9 @@ def _visit_promising(queries, items, seen, spec: _Spec, cells: int, block_items:
         load = to_cell.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
         copies = {c: 1 for c in chunks} | {r["cell"]: ceil(r["n"] / QUERIES_PER_COPY) for r in load}
         copy_counts = per_cell("copies", copies)
-        routed = (
-            to_cell.join(chunk_counts, "cell").withColumn("chunk", _each(F.col("chunks"))).drop("chunks")
-        )
-        return _scored(
-            _with_seen(routed, seen_lists).join(copy_counts, "cell"), blocks.join(copy_counts, "cell"), spec
-        )
+        routed = to_cell.join(chunk_counts, "cell").withColumn("chunk", _each(F.col("chunks"))).drop("chunks")
+        with_copies = [None if f is None else f.join(copy_counts, "cell") for f in (routed, blocks, placed_seen)]
+        return _scored(*with_copies, spec)
 
     near = stored(_ranked(visit(first.withColumn("floor", F.lit(None).cast("double"))), spec))
     floor = near.where(F.col("rank") == spec.k).select("user_id", "probe", F.col("score").alias("floor"))

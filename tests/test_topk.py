@@ -66,6 +66,20 @@ def test_hot_blocks_are_copied(spark, monkeypatch):
     assert got == {u: w for u, w in brute(queries, items, seen, 3).items() if w}
 
 
+def test_users_may_span_batches(spark):
+    queries, items, seen = data(6)
+    q, t, s = frames(spark, queries, items, sorted(seen))
+    both = q.unionByName(q.selectExpr("user_id", "1 as probe", "a", "b", "c"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for cells in (1, 12):
+            hits = topk.top_k_dot(both, t, 5, DIMS, s, cells=cells, block_items=100).cache()
+            for probe in (0, 1):
+                assert result(hits.where(f"probe = {probe}")) == {u: w for u, w in brute(queries, items, seen, 5).items() if w}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_without_seen_and_with_more_wanted_than_items(spark):
     queries, items, _ = data(7, users=5, items=30)
     q, t, _ = frames(spark, queries, items)
