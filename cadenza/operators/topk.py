@@ -39,11 +39,13 @@ from cadenza.session import stored
 BLOCK_ITEMS = 4096
 SINGLE_CELL_ITEMS = 100_000
 CELL_ITEMS = 400
-MAX_CELLS = 4096
+MAX_CELLS = 4096  # at most 1 << CELL_BITS
 QUERIES_PER_COPY = 100_000
 SCORES_AT_ONCE = 250_000
 ANGLE_SLACK = 1e-7  # more than arccos loses near 0
 PLACE = ("track_id", "cell", "chunk", "copies")
+# A row's place packs cell, chunk, salt and some bits of its user's hash, 0 for items.
+CELL_BITS, CHUNK_BITS, SALT_BITS, USER_BITS = 12, 20, 14, 17
 ITEM, SEEN, REQUEST = 0, 1, 2  # kinds of rows in a block, in their order
 
 # Executors get the functions below with the task; they need no copy of this package.
@@ -64,9 +66,9 @@ def top_k_dot(
 
     ``queries`` has user_id, probe and ``dims``; a user may have several probes.
     ``items`` has track_id and ``dims``; rows with a null or NaN in ``dims`` are
-    left out.  Pairs in ``seen`` (user_id, track_id; each pair best once) are
-    left out.  Items rank by score rounded to ``digits``,
-    then by track_id, so that floating-point noise does not order equal scores.
+    left out.  So are the pairs in ``seen`` (user_id, track_id; each best given
+    once).  Items rank by score rounded to ``digits``, then by track_id, so that
+    floating-point noise does not order equal scores.
     """
     dims = list(dims)
     spec = _Spec(dims, k, digits, queries.schema["user_id"].dataType, items.schema["track_id"].dataType)
@@ -74,7 +76,8 @@ def top_k_dot(
     items = items.select("track_id", *dims).na.drop(subset=dims)
     n = items.count()
     if cells is None:
-        cells = 1 if n <= SINGLE_CELL_ITEMS else min(MAX_CELLS, ceil(n / CELL_ITEMS))
+        cells = 1 if n <= SINGLE_CELL_ITEMS else ceil(n / CELL_ITEMS)
+    cells = min(cells, MAX_CELLS)
     if n == 0 or cells <= 1:
         hits = _visit_all(queries, items, seen, spec, max(1, ceil(n / block_items)))
     else:
@@ -100,9 +103,10 @@ def _ranked(hits: DataFrame, spec: _Spec) -> DataFrame:
 def _visit_all(queries, items, seen, spec: _Spec, chunks: int) -> DataFrame:
     partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunk = F.pmod(F.xxhash64("track_id"), F.lit(chunks)).cast("int")
-    blocks = items.withColumns({"cell": F.lit(0), "chunk": chunk, "copies": F.lit(max(1, partitions // chunks))})
+    copies = F.lit(_fits(max(1, min(partitions // chunks, 1 << SALT_BITS)), chunks))
+    blocks = items.withColumns({"cell": F.lit(0), "chunk": chunk, "copies": copies})
     requests = queries.withColumns({
-        "cell": F.lit(0), "chunk": _each(F.lit(chunks)), "copies": F.lit(max(1, partitions // chunks)),
+        "cell": F.lit(0), "chunk": _each(F.lit(chunks)), "copies": copies,
         "floor": F.lit(None).cast("double"),
     })
     return _scored(requests, blocks, _located(seen, blocks), spec)
@@ -120,6 +124,18 @@ def _located(seen: DataFrame | None, blocks: DataFrame) -> DataFrame | None:
     return lookup_join(pairs, blocks.drop(*[c for c in blocks.columns if c not in PLACE]), "track_id", ["user_id"])
 
 
+def _fits(copies: int, chunks: int) -> int:
+    if copies > 1 << SALT_BITS or chunks > 1 << CHUNK_BITS:
+        raise ValueError(f"{chunks} blocks of a cell or {copies} copies of a block are too many: use larger blocks")
+    return copies
+
+
+def _packed_block(cell: Column, chunk: Column, salt: Column) -> Column:
+    """Cell, chunk and salt in one number, so that rows sort on a single long."""
+    high = F.shiftleft(cell.cast("bigint"), CHUNK_BITS).bitwiseOR(chunk.cast("bigint"))
+    return F.shiftleft(high, SALT_BITS).bitwiseOR(salt.cast("bigint"))
+
+
 def _scored(requests: DataFrame, blocks: DataFrame, seen: DataFrame | None, spec: _Spec) -> DataFrame:
     """Best k per request and block.
 
@@ -133,18 +149,22 @@ def _scored(requests: DataFrame, blocks: DataFrame, seen: DataFrame | None, spec
     }
     packed = F.array(*spec.dims).alias("vector")
     blocks, requests = blocks.select("*", packed), requests.select("*", packed)
-    salt = F.pmod(F.xxhash64("user_id"), F.col("copies")).cast("int")
+    salt = F.pmod(F.xxhash64("user_id"), F.col("copies"))
+    user_bits = 1 + F.pmod(F.xxhash64("user_id", F.lit(1)), F.lit((1 << USER_BITS) - 1))
 
-    def rows(frame: DataFrame, kind: int, salted: Column) -> DataFrame:
+    def rows(frame: DataFrame, kind: int, salted: Column, low_bits: Column) -> DataFrame:
         present = set(frame.columns)
-        return frame.select(
-            "cell", "chunk", salted.alias("salt"), F.lit(kind).alias("kind"),
+        block = _packed_block(F.col("cell"), F.col("chunk"), F.col("salt"))
+        return frame.withColumn("salt", salted).select(
+            F.shiftleft(block, USER_BITS).bitwiseOR(low_bits.cast("bigint")).alias("place"), F.lit(kind).alias("kind"),
             *[F.col(c) if c in present else v.alias(c) for c, v in empty.items()],
         )
 
-    everything = rows(blocks, ITEM, _each(F.col("copies"))).unionByName(rows(requests, REQUEST, salt))
+    everything = rows(blocks, ITEM, _each(F.col("copies")), F.lit(0)).unionByName(
+        rows(requests, REQUEST, salt, user_bits)
+    )
     if seen is not None:
-        everything = everything.unionByName(rows(seen, SEEN, salt))
+        everything = everything.unionByName(rows(seen, SEEN, salt, user_bits))
     schema = T.StructType([
         T.StructField("user_id", spec.user_type),
         T.StructField("probe", T.IntegerType()),
@@ -152,8 +172,8 @@ def _scored(requests: DataFrame, blocks: DataFrame, seen: DataFrame | None, spec
         T.StructField("score", T.DoubleType()),
     ])
     return (
-        everything.repartition("cell", "chunk", "salt")
-        .sortWithinPartitions("cell", "chunk", "salt", "user_id", "kind", "track_id")
+        everything.repartition(F.shiftright("place", USER_BITS))
+        .sortWithinPartitions("place", "user_id", "kind", "track_id")
         .mapInArrow(_block_scorer(spec), schema)
     )
 
@@ -243,20 +263,18 @@ def _block_scorer(spec: _Spec):
             return best(rows_.slice(0, cut), ids, vectors)
 
         for batch in batches:
-            keys = np.column_stack([batch.column(c).to_numpy() for c in ("cell", "chunk", "salt")])
+            blocks = batch.column("place").to_numpy() >> USER_BITS
             is_item = batch.column("kind").to_numpy() == ITEM
-            keys = np.column_stack([keys, is_item])
-            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            bounds = [0, *edges.tolist(), len(keys)]
+            edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | (is_item[1:] != is_item[:-1])) + 1
+            bounds = [0, *edges.tolist(), len(blocks)]
             for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
                 if start == stop:
                     continue
-                here = tuple(keys[start][:3])
-                if here != block:
+                if blocks[start] != block:
                     done = flush(hold_last_user=False)
                     if done is not None:
                         yield done
-                    block, ids, parts, vectors, waiting = here, [], [], None, []
+                    block, ids, parts, vectors, waiting = blocks[start], [], [], None, []
                 run = batch.slice(start, stop - start)
                 if is_item[start]:
                     ids.append(run.column("track_id"))
@@ -322,7 +340,9 @@ def _visit_promising(queries, items, seen, spec: _Spec, cells: int, block_items:
     def visit(requests: DataFrame) -> DataFrame:
         to_cell = requests.select("user_id", "probe", *dims, "floor", F.explode("picks").alias("cell"))
         load = to_cell.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
-        copies = {c: 1 for c in chunks} | {r["cell"]: ceil(r["n"] / QUERIES_PER_COPY) for r in load}
+        copies = {c: 1 for c in chunks} | {
+            r["cell"]: _fits(min(ceil(r["n"] / QUERIES_PER_COPY), 1 << SALT_BITS), chunks[r["cell"]]) for r in load
+        }
         copy_counts = per_cell("copies", copies)
         routed = to_cell.join(chunk_counts, "cell").withColumn("chunk", _each(F.col("chunks"))).drop("chunks")
         with_copies = [None if f is None else f.join(copy_counts, "cell") for f in (routed, blocks, placed_seen)]
