@@ -100,13 +100,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def table(spark_path: str):
-    """Read one of the given tables."""
-
-    def read(spark, folder: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{spark_path}.parquet")
-
-    return read
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Batches of whole groups and the edges of these; rows of a group lie together and are held together."""
+
+    def joined(parts: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, list[int]]:
+        block = pa.concat_batches(parts)
+        values = block.column(column).to_numpy()
+        return block, [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(block)]
+
+    waiting: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if len(batch) == 0:
+            continue
+        values = batch.column(column).to_numpy()
+        if waiting and last != values[0]:
+            yield joined(waiting)
+            waiting = []
+        others = np.flatnonzero(values != values[-1])
+        cut = int(others[-1]) + 1 if len(others) else 0
+        if cut:
+            yield joined([*waiting, batch.slice(0, cut)])
+            waiting = []
+        waiting.append(batch.slice(cut))
+        last = values[-1]
+    if waiting:
+        yield joined(waiting)
 
 
 ship(__name__)

@@ -3,9 +3,9 @@
 A page is a sequence of tags and words.  Words score positive and tags negative; the run of
 highest sum, found in one scan, is the content region.  The weights are log-odds learnt from
 pages whose author marked the article (``<article>`` or ``<main>``): for a word by the kind of
-element it stands in, for a tag by its name.  A word in an element that learning shows to be
-boilerplate, or whose name or class says so, has the score of a tag.  Blocks of such elements
-that lie within the region (an advert or a form between paragraphs) are left out of its text.
+element it stands in, for a tag by its name.  An element whose name, class, id or role says that
+it is no part of an article (an advert or a form between paragraphs) scores as one tag, and what
+is in it is left out of the text.
 
 Learning is a Spark count over all pages; what reaches the driver is one row per tag name and
 kind of element, both from fixed lists.
@@ -58,7 +58,9 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+", re.I)
 
-WORD_WEIGHT, TAG_WEIGHT, LEAST_TAG = 1.0, -1.0, -0.05
+# Log-odds are cut to these, so that no single tag outweighs a sentence; elements never seen take the first two.
+WORD_WEIGHT, TAG_WEIGHT, WEAKEST_TAG, STRONGEST_TAG = 1.0, -1.0, -0.05, -3.0
+INLINE_WEIGHT = -0.25
 BOILER = "boilerplate"
 
 
@@ -140,6 +142,8 @@ def learn(pages: DataFrame) -> dict[str, float]:
                 for page in texts:
                     own: Counter[tuple[str, bool]] = Counter()
                     for tag, text, element, article in tokens(page):
+                        if element == BOILER:
+                            continue
                         if not tag:
                             own["w:" + element, article] += len(text.split())
                         elif tag.strip("/") in SPLITTING or tag.strip("/") in INLINE:
@@ -156,26 +160,32 @@ def learn(pages: DataFrame) -> dict[str, float]:
     seen: dict[str, list[int]] = {}
     for row in rows:
         seen.setdefault(row["key"], [0, 0])[int(row["article"])] = row["n"]
-    total = {g + side: sum(n[i] for key, n in seen.items() if key.startswith(g)) for g in "wt" for i, side in enumerate("oi")}
     weights = {}
     for key, (outside, inside) in seen.items():
-        odds = math.log((inside + 1) / (total[key[0] + "i"] + 2)) - math.log((outside + 1) / (total[key[0] + "o"] + 2))
-        # Tags are negative whatever their odds; a word is so only in elements that hold boilerplate.
-        weights[key] = odds if key[0] == "w" else min(odds, LEAST_TAG)
+        odds = math.log(inside + 1) - math.log(outside + 1)
+        # Tags are negative whatever their odds; a word is so only in elements that articles do not hold.
+        limits = (-WORD_WEIGHT, WORD_WEIGHT) if key[0] == "w" else (STRONGEST_TAG, WEAKEST_TAG)
+        weights[key] = min(max(odds, limits[0]), limits[1])
     return weights
 
 
+def score(token: tuple[str, str, str, bool], weights: dict[str, float]) -> float:
+    """What a token adds to a run; an element of boilerplate costs its closing tag, whatever is in it."""
+    tag, text, element, _ = token
+    if element == BOILER:
+        return 0.0
+    if tag:
+        name = tag.strip("/")
+        return min(weights.get("t:" + name, INLINE_WEIGHT if name in INLINE else TAG_WEIGHT), 0.0)
+    return weights.get("w:" + element, WORD_WEIGHT) * len(text.split())
+
+
 def region(page: str, weights: dict[str, float]) -> list[tuple[str, str, str, bool]]:
     """The tokens of the best run, by one scan; empty if no run scores above 0."""
     run = list(tokens(page))
     best, best_span, total, start = 0.0, (0, 0), 0.0, 0
-    for place, (tag, text, element, _) in enumerate(run):
-        if tag:
-            total += min(weights.get("t:" + tag.strip("/"), TAG_WEIGHT), 0.0)
-        elif element == BOILER:
-            total += min(weights.get("w:" + BOILER, TAG_WEIGHT), TAG_WEIGHT) * len(text.split())
-        else:
-            total += weights.get("w:" + element, WORD_WEIGHT) * len(text.split())
+    for place, token in enumerate(run):
+        total += score(token, weights)
         if total <= 0:
             total, start = 0.0, place + 1
         elif total > best:
