@@ -217,7 +217,7 @@ class Index:
             own = (inside >= window.start) & (inside <= window.start + window.length - self.q)
             if own.sum() < window.least:
                 continue
-            spots, diagonals = place[own], diagonal[own]
+            spots, diagonals, within = place[own], diagonal[own], inside[own]
             # The same item may lie on the band more than once: take runs with enough hits.
             reach = np.searchsorted(spots, spots + window.length + window.edits) - np.arange(len(spots))
             last = -1
@@ -226,9 +226,16 @@ class Index:
                 if b <= last:
                     continue
                 last = b
+                # Every q-gram kept has its own place in the window and in the text.
+                if min(len(np.unique(within[a:b])), len(np.unique(spots[a:b]))) < window.least:
+                    continue
                 low = max(int(heads[n]), int(diagonals[a:b].min()) + window.start - window.edits)
                 high = min(int(heads[n + 1]), int(diagonals[a:b].max()) + window.start + window.length + window.edits)
-                got = align(self.texts[item][window.start : window.start + window.length], chars[low:high], window.edits)
+                pattern, region = self.texts[item][window.start : window.start + window.length], chars[low:high]
+                at = region.tobytes().find(pattern.tobytes())
+                exact = at >= 0 and at % region.itemsize == 0
+                start = at // region.itemsize
+                got = (0, start, start + len(pattern)) if exact else align(pattern, region, window.edits)
                 if got is not None:
                     found = (got[0], low + got[1], low + got[2])
                     best = found if best is None or found < best else best
@@ -246,27 +253,31 @@ def align(pattern: np.ndarray, text: np.ndarray, edits: int) -> tuple[int, int,
     if width <= 0:
         return None
     # Row i, offset o: the text up to i + o - edits.  Cost and start are one number, cost first.
+    # Places before the text stay far; past its end a character costs what leaving it out does.
     unit = len(text) + 2 * edits + 2
     far = (size + len(text) + 2) * unit
     padded = np.concatenate([np.zeros(edits, np.int64), text.astype(np.int64), np.zeros(edits + 1, np.int64)])
+    letters = pattern.astype(np.int64).tolist()
     steps = np.arange(width) * unit
     offsets = np.arange(width) - edits
-    row = np.where((offsets >= 0) & (offsets <= len(text)), offsets, far)
-    for i in range(1, size + 1):
-        ends = offsets + i
-        across = row + np.where(padded[i - 1 : i - 1 + width] == int(pattern[i - 1]), 0, unit)
-        across[(ends < 1) | (ends > len(text))] = far
-        up = np.append(row[1:], far) + unit
-        row = np.minimum(across, up)
-        row[(ends < 0) | (ends > len(text))] = far
-        row = np.minimum.accumulate(row - steps) + steps
-        row[(ends < 0) | (ends > len(text))] = far
-    at = int(row.argmin())
+    row = np.full(width + 1, far, dtype=np.int64)
+    row[:width] = np.where((offsets >= 0) & (offsets <= len(text)), offsets, far)
+    most = (edits + 1) * unit
+    for i, letter in enumerate(letters):
+        across = row[:width] + (padded[i : i + width] != letter) * unit
+        np.minimum(across, row[1:] + unit, out=across)
+        across -= steps
+        np.minimum.accumulate(across, out=across)
+        across += steps
+        row[:width] = across
+        if i % 8 == 7 and across.min() >= most:
+            return None
+    at = int(row[:width].argmin())
     cost, start = divmod(int(row[at]), unit)
     if cost > edits:
         return None
     # Of equal rows the first end.
-    return cost, start, size + at - edits
+    return cost, min(start, len(text)), min(size + at - edits, len(text))
 
 
 def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int | None, str]]]:
