@@ -146,7 +146,7 @@ def learn(pages: DataFrame) -> dict[str, float]:
                             continue
                         if not tag:
                             own["w:" + element, article] += len(text.split())
-                        elif tag.strip("/") in SPLITTING or tag.strip("/") in INLINE:
+                        elif tag.strip("/") in SPLITTING | INLINE | VOID:
                             own["t:" + tag.strip("/"), article] += 1
                     if any(article for _, article in own):
                         held.update(own)

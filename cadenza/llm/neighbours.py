@@ -1,10 +1,11 @@
 """Approximate nearest neighbours: a graph by NN-descent, searched greedily.
 
 Every node keeps its ``DEGREE`` nearest nodes known so far.  The first lists come from random
-splits of slices of the data.  Then, round by round, joins bring the neighbours of each node
+tilings of the space.  Then, round by round, joins bring the neighbours of each node
 together, forward and backward: the nodes near one node are compared with each other where at
 least one of the two is new to it, and every node keeps the best of what it had and heard.
-Lists travel with one byte per component; only the search computes in double precision.
+Nodes travel with one byte per component; the nearest found are scored again in double precision
+on the original vectors.
 
 A query starts at its own node, or at sampled entries, and joins by joins expands the nearest
 nodes not yet expanded until none of its ``BEAM`` best is left.
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import ship, whole_groups
 from cadenza.session import stored
 
-DEGREE, SAMPLE, TREES, LEAF, SLICE = 24, 12, 4, 96, 4096
+DEGREE, SAMPLE = 32, 16
+TILINGS, CELL, PIVOTS, SPILL, LEAF, SLICE = 4, 192, 4096, 2, 512, 8192
 ROUNDS, SETTLED = 8, 0.01
-BEAM, HOPS, ENTRIES = 48, 12, 64
+BEAM, HOPS, ENTRIES, RERANKED = 128, 12, 64, 2
 _SEED = 0x5EED
 
 
@@ -86,53 +88,59 @@ def _squares(x: np.ndarray) -> np.ndarray:
 
 
 def _first_lists(coded: DataFrame, dims: int, count: int, degree: int) -> DataFrame:
-    """(node, nbr, dist) from ``TREES`` random forests over slices of random projections."""
-    parts = max(1, ceil(count / SLICE))
+    """(node, nbr, dist) from ``TILINGS`` random tilings: nodes near the same pivots are compared.
 
-    def tree(seed: int) -> DataFrame:
-        direction = np.random.default_rng([_SEED, seed]).standard_normal(dims).astype(np.float32)
-
-        def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if len(batch):
-                    along = (_decoded(batch.column("code"), dims) @ direction).astype(np.float64)
-                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(along)], names=[*batch.schema.names, "along"])
-
-        def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = [b for b in batches if len(b)]
-            if not held:
-                return
-            block = pa.concat_batches(held)
-            names, x = block.column("node").to_numpy(), _decoded(block.column("code"), dims)
-            order = np.argsort(names)
-            names, x = names[order], x[order]
-            rng = np.random.default_rng([_SEED, seed, 1])
-            groups = [np.arange(len(names))]
-            while groups:
-                rows = groups.pop()
-                if len(rows) > LEAF:
-                    a, b = x[rows[rng.choice(len(rows), 2, replace=False)]]
-                    side = np.argsort(x[rows] @ (a - b), kind="stable")
-                    groups += [rows[side[: len(rows) // 2]], rows[side[len(rows) // 2 :]]]
-                    continue
-                if len(rows) < 2:
-                    continue
-                dist = _squares(x[rows])
-                np.fill_diagonal(dist, np.inf)
-                k = min(degree, len(rows) - 1)
-                near = np.argpartition(dist, k - 1, axis=1)[:, :k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(names[rows], k)), pa.array(names[rows[near]].ravel()), pa.array(np.take_along_axis(dist, near, 1).ravel().astype(np.float32))],
-                    names=["node", "nbr", "dist"],
-                )
+    Pivots are sampled nodes, at most ``PIVOTS``.  Nodes are dealt out in order of their cell, so
+    a cell of any size is divided over tasks; within a task one too large is split by planes.
+    """
+    wanted = int(min(PIVOTS, max(1, count // CELL)))
+    parts = max(1, ceil(count * SPILL / SLICE))
+    kept = max(1, degree // 2)
 
-        placed = coded.mapInArrow(project, "node bigint, code binary, along double")
-        placed = placed.repartitionByRange(parts, "along") if parts > 1 else placed.coalesce(1)
-        return placed.mapInArrow(leaves, "node bigint, nbr bigint, dist float")
+    def tiling(seed: int) -> DataFrame:
+        drawn = coded.orderBy(F.xxhash64("node", F.lit(_SEED + seed)), "node").limit(wanted).collect()
+        pivots = np.frombuffer(b"".join(bytes(r["code"]) for r in drawn), dtype=np.int8).reshape(len(drawn), -1).astype(np.float32)
+        spill = min(SPILL, len(drawn))
 
-    found = tree(0)
-    for seed in range(1, TREES):
-        found = found.unionByName(tree(seed))
+        def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            half = 0.5 * (pivots * pivots).sum(axis=1)
+            for batch in batches:
+                for start in range(0, len(batch), 1024):
+                    part = batch.slice(start, 1024)
+                    close = np.argpartition(half - _decoded(part.column("code"), dims) @ pivots.T, spill - 1, axis=1)[:, :spill]
+                    rows = pa.array(np.repeat(np.arange(len(part)), spill))
+                    yield pa.RecordBatch.from_arrays([part.column("node").take(rows), part.column("code").take(rows), pa.array(close.ravel().astype(np.int32))], names=["node", "code", "cell"])
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rng = np.random.default_rng([_SEED, seed])
+            for block, edges in whole_groups(batches, "cell"):
+                names, x = block.column("node").to_numpy(), _decoded(block.column("code"), dims)
+                groups = [np.arange(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                while groups:
+                    rows = groups.pop()
+                    if len(rows) > LEAF:
+                        a, b = x[rows[rng.choice(len(rows), 2, replace=False)]]
+                        side = np.argsort(x[rows] @ (a - b), kind="stable")
+                        groups += [rows[side[: len(rows) // 2]], rows[side[len(rows) // 2 :]]]
+                        continue
+                    k = min(kept, len(rows) - 1)
+                    if k < 1:
+                        continue
+                    dist = _squares(x[rows])
+                    np.fill_diagonal(dist, np.inf)
+                    near = np.argpartition(dist, k - 1, axis=1)[:, :k]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(names[rows], k)), pa.array(names[rows[near]].ravel()), pa.array(np.take_along_axis(dist, near, 1).ravel().astype(np.float32))],
+                        names=["node", "nbr", "dist"],
+                    )
+
+        placed = coded.mapInArrow(assign, "node bigint, code binary, cell int")
+        dealt = placed.repartitionByRange(parts, "cell", F.xxhash64("node")).sortWithinPartitions("cell", "node")
+        return dealt.mapInArrow(compare, "node bigint, nbr bigint, dist float")
+
+    found = tiling(0)
+    for seed in range(1, TILINGS):
+        found = found.unionByName(tiling(seed))
     return found
 
 
@@ -198,8 +206,23 @@ def build_graph(coded: DataFrame, dims: int, degree: int = DEGREE, sample: int =
     return graph
 
 
-def _distances(rows: DataFrame, dims: int) -> DataFrame:
-    """(query_id, node, score) of rows (query_id, node, query, vector), in double precision."""
+def _measured(pairs: DataFrame, coded: DataFrame, asked: DataFrame, dims: int) -> DataFrame:
+    """(query_id, node, far): squared distances of pairs (query_id, node) between codes."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                gap = _decoded(batch.column("asked"), dims) - _decoded(batch.column("code"), dims)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("query_id"), batch.column("node"), pa.array((gap * gap).sum(axis=1))], names=["query_id", "node", "far"]
+                )
+
+    rows = pairs.join(coded, "node").join(asked, "query_id").select("query_id", "node", "asked", "code")
+    return rows.mapInArrow(measure, "query_id bigint, node bigint, far float")
+
+
+def _scored(pairs: DataFrame, nodes: DataFrame, queries: DataFrame, dims: int) -> DataFrame:
+    """(query_id, node, score): distances on the original vectors, in double precision."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,41 +232,39 @@ def _distances(rows: DataFrame, dims: int) -> DataFrame:
                     [batch.column("query_id"), batch.column("node"), pa.array(np.sqrt((gap * gap).sum(axis=1)))], names=["query_id", "node", "score"]
                 )
 
-    return rows.select("query_id", "node", "query", "vector").mapInArrow(measure, "query_id bigint, node bigint, score double")
+    rows = pairs.join(nodes, "node").join(queries, "query_id").select("query_id", "node", "query", "vector")
+    return rows.mapInArrow(measure, "query_id bigint, node bigint, score double")
 
 
-def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, dims: int, starts: DataFrame | None = None, beam: int = BEAM, hops: int = HOPS) -> DataFrame:
-    """(query_id, node, score) of every node that greedy search from ``starts`` has seen.
+def search(coded: DataFrame, graph: DataFrame, asked: DataFrame, dims: int, starts: DataFrame | None = None, beam: int = BEAM, hops: int = HOPS) -> DataFrame:
+    """(query_id, node, far): the nearest nodes that greedy search has seen, ``RERANKED`` times the beam and ties.
 
-    ``queries`` has (query_id, query), ``starts`` (query_id, node); every query also starts at the
-    ``ENTRIES`` nodes of least hash.
+    ``asked`` has (query_id, asked) with the query's code, ``starts`` (query_id, node); every query
+    also starts at the ``ENTRIES`` nodes of least hash.
     """
     near = F.row_number().over(W.partitionBy("node").orderBy("dist", "nbr"))
     back = graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "dist")
     links = stored(
         graph.select("node", "nbr").unionByName(back.withColumn("rank", near).where(F.col("rank") <= DEGREE).select("node", "nbr")).distinct()
     )
-    entries = nodes.select("node").orderBy(F.xxhash64("node", F.lit(_SEED)), "node").limit(ENTRIES)
+    entries = [r["node"] for r in coded.select("node").orderBy(F.xxhash64("node", F.lit(_SEED)), "node").limit(ENTRIES).collect()]
     # A fixed number of entries for each query: no cross join of tables.
-    first = queries.select("query_id", F.explode(F.lit([r["node"] for r in entries.collect()] or None).cast("array<bigint>")).alias("node"))
+    first = asked.select("query_id", F.explode(F.lit(entries or None).cast("array<bigint>")).alias("node"))
     if starts is not None:
         first = first.unionByName(starts.select("query_id", "node")).distinct()
-
-    def measured(pairs: DataFrame) -> DataFrame:
-        return _distances(pairs.join(nodes, "node").join(queries, "query_id"), dims)
-
-    seen = stored(measured(first).withColumn("open", F.lit(True)))
-    best = F.row_number().over(W.partitionBy("query_id").orderBy("score", "node"))
+    seen = stored(_measured(first, coded, asked, dims).withColumn("open", F.lit(True)))
+    best = F.row_number().over(W.partitionBy("query_id").orderBy("far", "node"))
     for _ in range(hops):
-        ranked = seen.withColumn("rank", best)
+        ranked = stored(seen.withColumn("rank", best))
         front = ranked.where((F.col("rank") <= beam) & F.col("open")).select("query_id", "node")
         if front.isEmpty():
             break
         heard = front.join(links, "node").select("query_id", F.col("nbr").alias("node")).distinct()
-        new = heard.join(seen.select("query_id", "node"), ["query_id", "node"], "left_anti")
+        new = heard.join(ranked.select("query_id", "node"), ["query_id", "node"], "left_anti")
         closed = ranked.withColumn("open", F.col("open") & (F.col("rank") > beam)).drop("rank")
-        seen = stored(closed.unionByName(measured(new).withColumn("open", F.lit(True))))
-    return seen.drop("open")
+        seen = closed.unionByName(_measured(new, coded, asked, dims).withColumn("open", F.lit(True)))
+    tied = F.rank().over(W.partitionBy("query_id").orderBy("far"))
+    return seen.withColumn("rank", tied).where(F.col("rank") <= RERANKED * beam).select("query_id", "node", "far")
 
 
 def nearest(rows: DataFrame, queries: Column, k: int = 10, vector_column: str = "embedding", degree: int = DEGREE, beam: int = BEAM) -> DataFrame:
@@ -271,8 +292,9 @@ def nearest(rows: DataFrame, queries: Column, k: int = 10, vector_column: str =
     )
     # Its own node: the one of its vector, whichever id names it.
     vector_nodes = nodes.select("node", F.xxhash64("vector").alias("h1"), F.xxhash64("vector", F.lit(1)).alias("h2"))
-    starts = named.join(vector_nodes, ["h1", "h2"]).select("query_id", "node")
-    found = search(nodes, graph, named.select("query_id", "query"), dims, starts, beam)
+    starts = stored(named.join(vector_nodes, ["h1", "h2"]).join(coded, "node").select("query_id", "node", F.col("code").alias("asked")))
+    near = search(coded, graph, starts.select("query_id", "asked"), dims, starts.select("query_id", "node"), beam)
+    found = stored(_scored(near.select("query_id", "node"), nodes, named.select("query_id", "query"), dims))
     # An id stands in as many nodes as it has vectors: so many nodes hold k others, with their ties.
     vectors_of_one = ids.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
     tied = F.rank().over(W.partitionBy("query_id").orderBy("score"))
