@@ -26,7 +26,6 @@ def content_recommendations(
     features: Sequence[str] = CONTENT_FEATURES,
     users: DataFrame | None = None,
     digits: int = 6,
-    cells: int | None = None,
 ) -> DataFrame:
     """The ``k`` unheard tracks closest by cosine to each user's taste profile.
 
@@ -37,10 +36,9 @@ def content_recommendations(
         plays = plays.join(users.select("user_id").distinct(), "user_id", "left_semi")
     ratings = stored(implicit_ratings(plays))
     vectors = content_features(tracks, features)
-    dims = [f"x{i}" for i in range(len(features))]
-    profiles = unit_vectors(taste_profiles(ratings, vectors, features), "user_id", features, dims)
-    items = unit_vectors(vectors, "track_id", features, dims)
-    best = top_k_dot(profiles.withColumn("probe", F.lit(0)), items, k, dims, seen=ratings, cells=cells)
+    profiles = unit_vectors(taste_profiles(ratings, vectors, features), "user_id", features)
+    items = unit_vectors(vectors, "track_id", features)
+    best = top_k_dot(profiles.withColumn("probe", F.lit(0)), items, k, seen=ratings)
     return with_metadata(best, tracks).select(
         "user_id", "rank", "track_id", "name", "artist_name", "genre",
         F.round("score", digits).alias("similarity_score"),

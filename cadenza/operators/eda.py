@@ -71,22 +71,22 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     around it.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    limits = values.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    flat = F.col("low") == F.col("high")
-    low = limits.select(F.when(flat, F.col("low") - 0.5).otherwise(F.col("low"))).scalar()
-    width = limits.select(F.when(flat, 1.0).otherwise(F.col("high") - F.col("low"))).scalar()
+    # One row of limits and the mean from one scan; the counts take the other.
+    limits = values.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.round(F.avg("v"), 6).alias("mean")).first()
+    flat = limits["low"] is not None and limits["low"] == limits["high"]
+    low = F.lit(limits["low"] - 0.5 if flat else limits["low"]).cast("double")
+    width = F.lit(1.0 if flat or limits["low"] is None else limits["high"] - limits["low"])
     place = F.floor((F.col("v") - low) / width * bins)
     counts = values.groupBy(F.least(place, F.lit(bins - 1)).cast("bigint").alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    mean = values.agg(F.round(F.avg("v"), 6)).scalar()
     every_bin = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return every_bin.join(counts, "bin", "left").select(
         "bin",
         F.round(low + F.col("bin") * width / bins, 6).alias("bin_low"),
         F.round(low + (F.col("bin") + 1) * width / bins, 6).alias("bin_high"),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-        mean.alias("mean"),
+        F.lit(limits["mean"]).cast("double").alias("mean"),
     )
 
 

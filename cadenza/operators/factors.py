@@ -2,48 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg.distributed import CoordinateMatrix, IndexedRowMatrix
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadenza.operators.content import with_metadata
 from cadenza.operators.ids import dense_ids, encode, hash_split
+from cadenza.operators.joins import lookup_join
 from cadenza.operators.plays import implicit_ratings, most_active, restricted_to
 from cadenza.operators.topk import top_k_dot
 from cadenza.session import shared_folder, stored
 
-RATINGS_PER_BLOCK = 500_000
-GRAM_TRACKS = 4096
+RATINGS_PER_BLOCK, LEAST_RATINGS_PER_BLOCK, SMALL_BLOCKS = 500_000, 10_000, 8
+OVERSAMPLED, MAX_STEPS, SETTLED = 10, 30, 1e-6
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass(frozen=True)
 class Factorisation:
     """User and track vectors with the ratings they were fitted and tested on."""
 
-    users: DataFrame  # user_id, f0 … f(rank-1)
-    tracks: DataFrame  # track_id, f0 … f(rank-1)
-    dims: Sequence[str]
+    users: DataFrame  # user_id, vector
+    tracks: DataFrame  # track_id, vector
     train: DataFrame  # user_id, track_id, user_idx, track_idx, implicit_rating
     test: DataFrame
     predictions: DataFrame  # test rows with a prediction
     model: ALSModel | None = None
 
 
-def _unpacked(frame: DataFrame, key: str, vector: str, dims: Sequence[str]) -> DataFrame:
-    return frame.selectExpr(key, *[f"cast({vector}[{i}] as double) as {d}" for i, d in enumerate(dims)])
-
-
-def _blocks(spark, ratings: int) -> int:
-    """ALS blocks: enough to hold a block in memory, and no more tasks than small data is worth."""
-    return max(ceil(ratings / RATINGS_PER_BLOCK), min(spark.sparkContext.defaultParallelism, ceil(ratings / 10_000)), 1)
+def _blocks(ratings: int) -> int:
+    """ALS blocks by the ratings alone, as blocks seed the factors: the same data give the same lists on any cluster."""
+    return max(ceil(ratings / RATINGS_PER_BLOCK), min(SMALL_BLOCKS, ceil(ratings / LEAST_RATINGS_PER_BLOCK)), 1)
 
 
 def fit_als(
@@ -55,7 +53,7 @@ def fit_als(
     seed: int = 42,
     blocks: int | None = None,
 ) -> Factorisation:
-    """Implicit-feedback ALS on 80 % of the rating pairs."""
+    """Implicit-feedback ALS on 80 % of the rating pairs; both factor frames are stored."""
     spark = plays.sparkSession
     shared_folder(spark)
     ratings = stored(implicit_ratings(plays))
@@ -63,94 +61,141 @@ def fit_als(
     track_ids = dense_ids(ratings, "track_id", "track_idx")
     coded = stored(encode(ratings, user_ids, track_ids))
     train, test = hash_split(coded)
-    blocks = blocks or _blocks(spark, coded.count())
+    blocks = blocks or _blocks(coded.count())
     als = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True,
         userCol="user_idx", itemCol="track_idx", ratingCol="implicit_rating",
         coldStartStrategy="drop", seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
     )
-    model = als.fit(train.select("user_idx", "track_idx", F.col("implicit_rating").cast("float").alias("implicit_rating")))
-    dims = [f"f{i}" for i in range(rank)]
-    users = model.userFactors.join(user_ids, F.col("id") == F.col("user_idx"))
-    tracks = model.itemFactors.join(track_ids, F.col("id") == F.col("track_idx"))
-    return Factorisation(
-        _unpacked(users, "user_id", "features", dims),
-        _unpacked(tracks, "track_id", "features", dims),
-        dims, train, test, model.transform(test), model,
-    )
+    fitted = train.select("user_idx", "track_idx", F.col("implicit_rating").cast("float").alias("implicit_rating"))
+    model = als.fit(fitted)
+    vector = F.col("features").cast("array<double>").alias("vector")
+    users = stored(model.userFactors.join(user_ids, F.col("id") == F.col("user_idx")).select("user_id", vector))
+    tracks = stored(model.itemFactors.join(track_ids, F.col("id") == F.col("track_idx")).select("track_id", vector))
+    return Factorisation(users, tracks, train, test, model.transform(test), model)
 
 
-def _right_singular_vectors(matrix: IndexedRowMatrix, rank: int, columns: int) -> np.ndarray:
-    """Columns of V for the largest singular values.
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
 
-    Up to ``GRAM_TRACKS`` columns one pass over the rows sums the Gram matrix,
-    whose eigenvectors they are.  Wider matrices take one pass per Lanczos step.
-    """
-    if columns > GRAM_TRACKS:
-        return matrix.computeSVD(rank, computeU=False).V.toArray()
-    values, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
-    largest = np.argsort(-values, kind="stable")[:rank]
-    return vectors[:, largest[values[largest] > 1e-9 * max(values.max(), 0.0)]]
+
+def _gram(vectors: DataFrame, width: int) -> np.ndarray:
+    """Sum of the outer products of all vectors: one row per task, ``width`` squared numbers in the end."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((width, width))
+        for batch in batches:
+            if len(batch):
+                x = _matrix(batch)
+                held += x.T @ x
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([held.ravel().tolist()], pa.list_(pa.float64()))})
+
+    sums = vectors.select("vector").mapInArrow(part, "sums array<double>").select(F.posexplode("sums").alias("place", "value"))
+    out = np.zeros(width * width)
+    for row in sums.groupBy("place").agg(F.sum("value").alias("value")).collect():
+        out[row["place"]] = row["value"]
+    return out.reshape(width, width)
+
+
+def _times(vectors: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
+    """Every vector times ``matrix``."""
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                product = _matrix(batch) @ matrix
+                offsets = np.arange(len(batch) + 1, dtype=np.int32) * matrix.shape[1]
+                values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(product.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(key), values], names=[key, "vector"])
+
+    kind = vectors.schema[key].dataType.simpleString()
+    return vectors.select(key, "vector").mapInArrow(multiply, f"{key} {kind}, vector array<double>")
+
+
+def _weighted_sums(ratings: DataFrame, vectors: DataFrame, by: str, to: str, width: int) -> DataFrame:
+    """(``to``, vector): the sum of rating times vector over each row's ratings."""
+    weight = F.col("implicit_rating").cast("double")
+    joined = lookup_join(ratings.select(by, to, weight.alias("w")), vectors, by, [to])
+    sums = joined.groupBy(to).agg(*[F.sum(F.col("w") * F.col("vector")[i]).alias(f"f{i}") for i in range(width)])
+    return sums.select(to, F.array(*[f"f{i}" for i in range(width)]).alias("vector"))
+
+
+def _whitener(gram: np.ndarray) -> np.ndarray:
+    """The matrix that makes vectors of this Gram matrix orthonormal; directions without length are dropped."""
+    values, vectors = np.linalg.eigh(gram)
+    some = values > 1e-12 * max(values.max(), 1e-300)
+    return vectors[:, some] / np.sqrt(values[some])
 
 
 def fit_svd(
-    plays: DataFrame, rank: int = 50, most_active_users: int = 3000, most_played_tracks: int = 2000
+    plays: DataFrame, rank: int = 50, most_active_users: int | None = None, most_played_tracks: int | None = None, seed: int = 42
 ) -> Factorisation:
-    """Truncated SVD of the ratings of the most active users and most played tracks.
+    """Truncated SVD of the ratings by subspace iteration; both factors stay frames.
 
-    Both cuts are part of the measure and bound the matrix whatever the number
-    of plays.  User vectors are the rating rows times the right singular vectors.
+    All users and tracks take part; the two counts limit them to the most active and most played
+    if given.  Every step multiplies the track vectors by the ratings and back and makes them
+    orthonormal; only matrices of rank times rank reach the driver.  Steps end when the sum of the
+    wanted squared singular values rises by less than ``SETTLED`` of itself.  User vectors are the
+    rating rows times the right singular vectors.
     """
-    spark = plays.sparkSession
-    top_users = most_active(plays, "user_id", most_active_users)
-    top_tracks = most_active(plays, "track_id", most_played_tracks)
-    kept = restricted_to(restricted_to(plays, top_users, "user_id"), top_tracks, "track_id")
-
-    def numbered(frame: DataFrame, key: str, index: str) -> DataFrame:
-        return frame.select(key, (F.row_number().over(W.orderBy(F.desc("plays"), key)) - 1).alias(index))
-
-    user_ids = stored(numbered(top_users, "user_id", "user_idx"))
-    track_ids = stored(numbered(top_tracks, "track_id", "track_idx"))
-    coded = stored(
-        implicit_ratings(kept).join(F.broadcast(user_ids), "user_id").join(F.broadcast(track_ids), "track_id")
-    )
+    kept = plays
+    if most_active_users is not None:
+        kept = restricted_to(kept, most_active(plays, "user_id", most_active_users), "user_id")
+    if most_played_tracks is not None:
+        kept = restricted_to(kept, most_active(plays, "track_id", most_played_tracks), "track_id")
+    ratings = stored(implicit_ratings(kept))
+    user_ids = dense_ids(ratings, "user_id", "user_idx")
+    track_ids = stored(dense_ids(ratings, "track_id", "track_idx"))
+    coded = stored(encode(ratings, user_ids, track_ids))
     train, test = hash_split(coded)
-    n_users, n_tracks = user_ids.count(), track_ids.count()
-    entries = train.selectExpr(
-        "cast(user_idx as bigint) as i", "cast(track_idx as bigint) as j", "cast(implicit_rating as double) as value"
-    )
-    # The JVM builds the matrix from the frame; no rating passes through Python.
-    matrix = CoordinateMatrix(callMLlibFunc("createCoordinateMatrix", entries, n_users, n_tracks))
-    right = _right_singular_vectors(matrix.toIndexedRowMatrix(), min(rank, n_users, n_tracks), n_tracks)
-    dims = [f"f{i}" for i in range(right.shape[1])]
-    rows = [(i, *map(float, right[i])) for i in range(n_tracks)]
-    by_index = spark.createDataFrame(rows, ", ".join(["track_idx int", *[f"{d} double" for d in dims]]))
-    tracks = by_index.join(track_ids, "track_idx").select("track_id", "track_idx", *dims)
-    users = (
-        train.join(F.broadcast(tracks.drop("track_id")), "track_idx")
-        .groupBy("user_id")
-        .agg(*[F.expr(f"sum(implicit_rating * {d})").alias(d) for d in dims])
-    )
-    mine = users.withColumnsRenamed({d: f"u_{d}" for d in dims})
-    product = F.expr(" + ".join(f"coalesce(u_{d}, 0D) * {d}" for d in dims))
-    predictions = (
-        test.join(F.broadcast(tracks.drop("track_id")), "track_idx")
-        .join(F.broadcast(mine), "user_id", "left")
-        .select("user_id", "track_id", "implicit_rating", product.alias("prediction"))
+    train = stored(train)
+    width = min(rank + OVERSAMPLED, max(track_ids.count(), 1))
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.random.default_rng([seed, i]).standard_normal(width) for i in batch.column("track_idx").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("track_idx"), pa.array([r.tolist() for r in rows], pa.list_(pa.float64()))], names=["track_idx", "vector"]
+            )
+
+    right = stored(track_ids.select("track_idx").mapInArrow(start, "track_idx int, vector array<double>"))
+    energy = 0.0
+    for _ in range(MAX_STEPS):
+        basis = _whitener(_gram(right, width))
+        right, width = stored(_times(right, "track_idx", basis)), basis.shape[1]
+        left = stored(_weighted_sums(train, right, "track_idx", "user_idx", width))
+        # With orthonormal columns the eigenvalues of the left Gram matrix are squared singular values.
+        values, turn = np.linalg.eigh(_gram(left, width))
+        turn = turn[:, np.argsort(-values, kind="stable")[:rank]]
+        reached = float(np.sort(values)[::-1][:rank].sum())
+        if reached <= energy * (1 + SETTLED):
+            break
+        energy = reached
+        before = right
+        right = stored(_weighted_sums(train, left, "user_idx", "track_idx", width))
+    else:
+        right = before
+    tracks = stored(_times(right, "track_idx", turn).join(track_ids, "track_idx").select("track_id", "track_idx", "vector"))
+    users = stored(_weighted_sums(train, tracks.select("track_idx", "vector"), "track_idx", "user_idx", turn.shape[1]).join(user_ids, "user_idx"))
+    product = F.aggregate(F.zip_with("u", "vector", lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+    pairs = lookup_join(test, tracks.select("track_idx", "vector"), "track_idx", ["user_id"])
+    mine = users.select("user_id", F.col("vector").alias("u"))
+    predictions = lookup_join(pairs, mine, "user_id", ["track_id"], how="left").select(
+        "user_id", "track_id", "implicit_rating", F.coalesce(product, F.lit(0.0)).alias("prediction")
     )
-    return Factorisation(users, tracks.drop("track_idx"), dims, train, test, predictions)
+    return Factorisation(users.select("user_id", "vector"), tracks.select("track_id", "vector"), train, test, predictions)
 
 
 def factor_recommendations(
     fit: Factorisation, tracks: DataFrame, k: int = 10, exclude: DataFrame | None = None,
-    digits: int = 6, cells: int | None = None,
+    digits: int = 6,
 ) -> DataFrame:
     """The ``k`` tracks of highest predicted score per user, with metadata.
 
     ``exclude`` (user_id, track_id) leaves out heard pairs.
     """
     queries = fit.users.withColumn("probe", F.lit(0))
-    best = top_k_dot(queries, fit.tracks, k, fit.dims, seen=exclude, cells=cells)
+    best = top_k_dot(queries, fit.tracks, k, seen=exclude)
     return with_metadata(best, tracks).select(
         "user_id", "rank", "track_id", "name", "artist_name", "genre",
         F.round("score", digits).alias("predicted_score"),

@@ -78,11 +78,11 @@ def taste_profiles(ratings: DataFrame, vectors: DataFrame, features: Sequence[st
     return sums.select("user_id", *[(F.col(f) / F.col("w")).alias(f) for f in features])
 
 
-def unit_vectors(df: DataFrame, key: str, features: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Feature columns divided by their length; rows without length are dropped."""
+def unit_vectors(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
+    """(``key``, vector): the features divided by their length; rows without length are dropped."""
     length = S.l2_norm([F.col(f) for f in features])
     return (
-        df.select(key, *features, length.alias("_length"))
+        df.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("_features"), length.alias("_length"))
         .where("_length > 0")
-        .select(key, *[(F.col(f) / F.col("_length")).alias(n) for f, n in zip(features, names, strict=True)])
+        .select(key, F.transform("_features", lambda x: x / F.col("_length")).alias("vector"))
     )

@@ -27,15 +27,14 @@ def hybrid_recommendations(
     cf_weight: float = 0.4,
     content_weight: float = 0.6,
     features: Sequence[str] = CONTENT_FEATURES,
-    factors: tuple[DataFrame, DataFrame, Sequence[str]] | None = None,
+    factors: tuple[DataFrame, DataFrame] | None = None,
     digits: int = 6,
-    cells: int | None = None,
 ) -> DataFrame:
     """Best ``k`` unheard tracks by two signals, each scaled to [0, 1] per user.
 
     The first signal is the completed plays of a track, 0 where there are none.
-    With ``factors`` (user frame, track frame, their factor columns) it is the
-    inner product of the two factor vectors instead, 0 for a track without one.
+    With ``factors`` (user_id, vector) and (track_id, vector) it is the inner
+    product of the two vectors instead, 0 for a track or user without one.
     The second is the cosine of taste profile and track.
 
     Each signal's smallest and largest value over a user's unheard tracks is a
@@ -43,38 +42,37 @@ def hybrid_recommendations(
     """
     ratings = stored(pair_counts(plays))
     vectors = content_features(tracks, features)
-    own = [f"x{i}" for i in range(len(features))]
-    profiles = unit_vectors(taste_profiles(ratings, vectors, features), "user_id", features, own)
-    items = unit_vectors(vectors, "track_id", features, own)
+    profiles = unit_vectors(taste_profiles(ratings, vectors, features), "user_id", features)
+    items = unit_vectors(vectors, "track_id", features)
     if factors is None:
-        cf = ["popularity_part"]
         counts = stored(ratings.groupBy("track_id").agg(F.sum("completed").alias("play_count")))
         most = counts.agg(F.max("play_count")).first()[0] or 1
-        signal = counts.select("track_id", (F.col("play_count") / F.lit(float(most))).alias(cf[0]))
-        users = profiles.withColumn(cf[0], F.lit(float(most)))
+        signal = counts.select("track_id", F.array(F.col("play_count") / F.lit(float(most))).alias("signal"))
+        users, width = profiles.withColumn("signal", F.array(F.lit(float(most)))), 1
     else:
-        user_factors, track_factors, names = factors
-        cf = [f"f{i}" for i in range(len(names))]
-        renamed = [F.col(a).cast("double").alias(b) for a, b in zip(names, cf, strict=True)]
-        signal = track_factors.select("track_id", *renamed)
-        users = profiles.join(user_factors.select("user_id", *renamed), "user_id", "left")
+        user_factors, track_factors = factors
+        signal = track_factors.select("track_id", F.col("vector").alias("signal"))
+        users = profiles.join(user_factors.select("user_id", F.col("vector").alias("signal")), "user_id", "left")
+        width = signal.select(F.coalesce(F.max(F.size("signal")), F.lit(1))).first()[0]
+    signal_or_none = F.coalesce("signal", F.array_repeat(F.lit(0.0), width))
+    one = F.array(F.lit(1.0))
     items = lookup_join(items, signal, "track_id", ["track_id"], how="left").select(
-        "track_id", *own, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cf], F.lit(1.0).alias("one")
+        "track_id", F.concat("vector", signal_or_none, one).alias("vector")
     )
-    users = stored(users.select("user_id", *own, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cf]))
+    users = stored(users.select("user_id", F.col("vector").alias("content"), signal_or_none.alias("signal")))
 
-    def probe(number: int, content: float, other: float):
-        return F.struct(
-            F.lit(number).alias("probe"),
-            *[(F.col(c) * content).alias(c) for c in own],
-            *[(F.col(c) * other).alias(c) for c in cf],
-            F.lit(0.0).alias("one"),
+    def blended(content, other, constant):
+        """One vector over both signals and the constant."""
+        return F.concat(
+            F.transform("content", lambda x: x * content), F.transform("signal", lambda x: x * other), F.array(constant)
         )
 
-    dims = [*own, *cf, "one"]
+    def probe(number: int, content: float, other: float):
+        return F.struct(F.lit(number).alias("probe"), blended(F.lit(content), F.lit(other), F.lit(0.0)).alias("vector"))
+
     ends = F.array(probe(0, 1.0, 0.0), probe(1, -1.0, 0.0), probe(2, 0.0, 1.0), probe(3, 0.0, -1.0))
     end_queries = users.select("user_id", F.explode(ends).alias("q")).select("user_id", "q.*")
-    extremes = top_k_dot(end_queries, items, 1, dims, seen=ratings, digits=None, cells=cells)
+    extremes = top_k_dot(end_queries, items, 1, seen=ratings, digits=None)
     value = lambda number: F.max(F.when(F.col("probe") == number, F.col("score")))
     scale = extremes.groupBy("user_id").agg(
         value(0).alias("high"), (-value(1)).alias("low"), value(2).alias("cf_high"), (-value(3)).alias("cf_low")
@@ -88,14 +86,11 @@ def hybrid_recommendations(
         "user_id", "low", "cf_low",
         factor(content_weight, "high", "low").alias("a"), factor(cf_weight, "cf_high", "cf_low").alias("b"),
     )
+    constant = -F.col("a") * F.col("low") - F.col("b") * F.col("cf_low")
     blend = users.join(scale, "user_id").select(
-        "user_id",
-        F.lit(0).alias("probe"),
-        *[(F.col(c) * F.col("a")).alias(c) for c in own],
-        *[(F.col(c) * F.col("b")).alias(c) for c in cf],
-        (-F.col("a") * F.col("low") - F.col("b") * F.col("cf_low")).alias("one"),
+        "user_id", F.lit(0).alias("probe"), blended(F.col("a"), F.col("b"), constant).alias("vector")
     )
-    best = top_k_dot(blend, items, k, dims, seen=ratings, cells=cells)
+    best = top_k_dot(blend, items, k, seen=ratings)
     return with_metadata(best, tracks, META).select(
         "user_id", "rank", "track_id", *META, F.round("score", digits).alias("hybrid_score")
     )

@@ -53,6 +53,15 @@ def hash_split(ratings: DataFrame, train_tenths: int = 8, seed: int = 42) -> tup
 
 
 def split_tenth(seed: int = 42):
-    user = F.col("user_idx").cast("bigint") * 7919
-    track = F.col("track_idx").cast("bigint") * 104729
-    return F.pmod(user + track + F.lit(seed), F.lit(10))
+    """0 to 9 by three rounds of multiply, fold and add on 31-bit integers; any engine can compute it."""
+
+    def stirred(x):
+        # Two different odd factors below 2^31; the fold brings the high bits down.
+        x = (x * 1103515245 + 12345) % (1 << 31)
+        x = x.bitwiseXOR(F.shiftright(x, 15))
+        x = (x * 1597334677) % (1 << 31)
+        return x.bitwiseXOR(F.shiftright(x, 13))
+
+    user, track = (F.col(c).cast("bigint") for c in ("user_idx", "track_idx"))
+    mark = stirred((stirred(user + F.lit(seed).cast("bigint")) + track) % (1 << 31))
+    return (mark % 10).cast("int")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 16 << 20
+# Parquet compresses: a file's bytes can be this many times as many in memory.
+INFLATION = 4
 SALTS = 32
 
 
@@ -18,7 +20,7 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return plan_bytes(df) <= limit
+    return plan_bytes(df) * INFLATION <= limit
 
 
 def lookup_join(
@@ -32,12 +34,15 @@ def lookup_join(
 ) -> DataFrame:
     """Join many ``facts`` rows to one ``dim`` row per ``key``.
 
-    A dimension whose estimated size is within ``limit`` is broadcast.  A larger
-    one is shuffled with every row repeated once per salt, and the rows of a
-    hot key spread over the salts by ``spread``, columns that vary within it.
+    A dimension whose estimated size is within ``limit`` is broadcast.  A larger one is
+    shuffled.  If the facts have one row per key already (``spread`` is the key itself), that is
+    a plain join: no key can be hot.  Otherwise its rows are repeated once per salt, and the rows
+    of a hot key spread over the salts by ``spread``, columns that vary within it.
     """
     if fits_broadcast(dim, limit):
         return facts.join(F.broadcast(dim), key, how)
+    if list(spread) == [key]:
+        return facts.join(dim, key, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")

@@ -193,6 +193,6 @@ def plays_of_user(plays: DataFrame, user_id) -> DataFrame:
 
 
 def sample_users(plays: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``n`` users drawn by a seeded hash; the same draw on any partitioning."""
+    """``n`` users drawn by a seeded digest; the same draw on any partitioning and in any engine."""
     users = plays.select("user_id").distinct()
-    return users.orderBy(F.xxhash64("user_id", F.lit(seed)), "user_id").limit(n)
+    return users.orderBy(F.md5(F.concat_ws(":", F.lit(seed), "user_id").cast("binary")), "user_id").limit(n)

@@ -1,26 +1,20 @@
 """The k items with the largest inner product for every query, exactly.
 
-Items are split into blocks and every query row is sent to the blocks it needs.
-A task holds one block as a matrix, streams that block's queries past it and
-keeps only the best k unseen items of each, so pairs never leave a task.
-
-A small catalogue is one cell, and every query visits all its blocks.  A larger
-one is divided into cells around items drawn from it.  With p a cell's centre, r the
-distance of its farthest item and w the widest angle of an item to p, no item v
-of the cell can score above ``q.p + |q| r``, nor above ``|q| |v| cos(angle(q, p) - w)``.
-Each query first visits the cells of highest bound that hold k
-unseen items, which gives a floor for its k-th score, and then only those other
-cells whose bound reaches that floor.  The bound is exact: it skips work, never
-results.
-
-Seen pairs travel to the block of their item, beside the queries of their user.
-Hot blocks are copied once per ``salt`` and users are divided over the copies.  All that reaches the driver is one small row per cell.
+Items are hashed to blocks of about ``BLOCK_ITEMS`` and every query row is sent to every block,
+so what is shuffled is queries times blocks.  A task holds one block as a matrix, longest
+vectors first, streams that block's queries past it and keeps only the best k unseen items of
+each; pairs never leave a task.  No item can score above the product of both lengths, so a query
+is done with a block as soon as that falls below the k-th score it has there.  The bound skips
+work, never results, and there is one way for every size.
+
+Seen pairs go to the block of their item, beside the queries of their user.  Where there are
+fewer blocks than partitions, blocks are copied and users divided over the copies.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil
 
@@ -33,61 +27,49 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.operators.joins import lookup_join
-from cadenza.session import stored
-
-BLOCK_ITEMS = 4096
-SINGLE_CELL_ITEMS = 100_000
-CELL_ITEMS = 400
-MAX_CELLS = 4096  # at most 1 << CELL_BITS
-QUERIES_PER_COPY = 100_000
-SCORES_AT_ONCE = 250_000
-ANGLE_SLACK = 1e-7  # more than arccos loses near 0
-PLACE = ("track_id", "cell", "chunk", "copies")
-# A row's place packs cell, chunk, salt and some bits of its user's hash, 0 for items.
-CELL_BITS, CHUNK_BITS, SALT_BITS, USER_BITS = 12, 20, 14, 17
+BLOCK_ITEMS = 65_536
+ITEMS_AT_ONCE, QUERIES_AT_ONCE = 4096, 256
+# A row's place packs its block, salt and some bits of its user's hash, 0 for items.
+SALT_BITS, USER_BITS = 14, 17
 ITEM, SEEN, REQUEST = 0, 1, 2  # kinds of rows in a block, in their order
 
 # Executors get the functions below with the task; they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def complete(vector: Column) -> Column:
+    """Not null and without null or NaN in it; one column, however many dimensions."""
+    return vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+
+
 def top_k_dot(
     queries: DataFrame,
     items: DataFrame,
     k: int,
-    dims: Sequence[str],
     seen: DataFrame | None = None,
     digits: int | None = 9,
     block_items: int = BLOCK_ITEMS,
-    cells: int | None = None,
 ) -> DataFrame:
     """(user_id, probe, track_id, score, rank) of the best ``k`` items per query.
 
-    ``queries`` has user_id, probe and ``dims``; a user may have several probes.
-    ``items`` has track_id and ``dims``; rows with a null or NaN in ``dims`` are
+    ``queries`` has user_id, probe and ``vector``, an array of doubles; a user may have several
+    probes.  ``items`` has track_id and ``vector``; rows with a null or NaN in the vector are
     left out.  So are the pairs in ``seen`` (user_id, track_id; each best given
     once).  Items rank by score rounded to ``digits``, then by track_id, so that
     floating-point noise does not order equal scores.
     """
-    dims = list(dims)
-    spec = _Spec(dims, k, digits, queries.schema["user_id"].dataType, items.schema["track_id"].dataType)
-    queries = queries.select("user_id", F.col("probe").cast("int").alias("probe"), *dims).na.drop(subset=["user_id", *dims])
-    items = items.select("track_id", *dims).na.drop(subset=dims)
-    n = items.count()
-    if cells is None:
-        cells = 1 if n <= SINGLE_CELL_ITEMS else ceil(n / CELL_ITEMS)
-    cells = min(cells, MAX_CELLS)
-    if n == 0 or cells <= 1:
-        hits = _visit_all(queries, items, seen, spec, max(1, ceil(n / block_items)))
-    else:
-        hits = _visit_promising(queries, items, seen, spec, cells, block_items)
-    return _ranked(hits, spec)
+    spec = _Spec(k, digits, queries.schema["user_id"].dataType, items.schema["track_id"].dataType)
+    queries = queries.select("user_id", F.col("probe").cast("int").alias("probe"), "vector")
+    queries = queries.where(F.col("user_id").isNotNull() & complete(F.col("vector")))
+    items = items.select("track_id", "vector").where(complete(F.col("vector")))
+    chunks = max(1, ceil(items.count() / block_items))
+    partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = max(1, min(partitions // chunks, 1 << SALT_BITS))
+    return _ranked(_scored(queries, items, seen, spec, chunks, copies), spec)
 
 
 @dataclass(frozen=True)
 class _Spec:
-    dims: list[str]
     k: int
     digits: int | None
     user_type: T.DataType
@@ -100,43 +82,11 @@ def _ranked(hits: DataFrame, spec: _Spec) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= spec.k)
 
 
-def _visit_all(queries, items, seen, spec: _Spec, chunks: int) -> DataFrame:
-    partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunk = F.pmod(F.xxhash64("track_id"), F.lit(chunks)).cast("int")
-    copies = F.lit(_fits(max(1, min(partitions // chunks, 1 << SALT_BITS)), chunks))
-    blocks = items.withColumns({"cell": F.lit(0), "chunk": chunk, "copies": copies})
-    requests = queries.withColumns({
-        "cell": F.lit(0), "chunk": _each(F.lit(chunks)), "copies": copies,
-        "floor": F.lit(None).cast("double"),
-    })
-    return _scored(requests, blocks, _located(seen, blocks), spec)
-
-
-def _each(n: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
-
-
-def _located(seen: DataFrame | None, blocks: DataFrame) -> DataFrame | None:
-    """Seen pairs with the block of their item; pairs outside the catalogue drop out."""
-    if seen is None:
-        return None
-    pairs = seen.where("user_id is not null").select("user_id", "track_id")
-    return lookup_join(pairs, blocks.drop(*[c for c in blocks.columns if c not in PLACE]), "track_id", ["user_id"])
-
-
-def _fits(copies: int, chunks: int) -> int:
-    if copies > 1 << SALT_BITS or chunks > 1 << CHUNK_BITS:
-        raise ValueError(f"{chunks} blocks of a cell or {copies} copies of a block are too many: use larger blocks")
-    return copies
+def _each(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
 
-def _packed_block(cell: Column, chunk: Column, salt: Column) -> Column:
-    """Cell, chunk and salt in one number, so that rows sort on a single long."""
-    high = F.shiftleft(cell.cast("bigint"), CHUNK_BITS).bitwiseOR(chunk.cast("bigint"))
-    return F.shiftleft(high, SALT_BITS).bitwiseOR(salt.cast("bigint"))
-
-
-def _scored(requests: DataFrame, blocks: DataFrame, seen: DataFrame | None, spec: _Spec) -> DataFrame:
+def _scored(queries: DataFrame, items: DataFrame, seen: DataFrame | None, spec: _Spec, chunks: int, copies: int) -> DataFrame:
     """Best k per request and block.
 
     In a block the items come first, then each user's seen items, then the
@@ -144,27 +94,26 @@ def _scored(requests: DataFrame, blocks: DataFrame, seen: DataFrame | None, spec
     """
     empty = {
         "track_id": F.lit(None).cast(spec.track_type), "user_id": F.lit(None).cast(spec.user_type),
-        "probe": F.lit(None).cast("int"), "floor": F.lit(None).cast("double"),
-        "vector": F.lit(None).cast("array<double>"),
+        "probe": F.lit(None).cast("int"), "vector": F.lit(None).cast("array<double>"),
     }
-    packed = F.array(*spec.dims).alias("vector")
-    blocks, requests = blocks.select("*", packed), requests.select("*", packed)
-    salt = F.pmod(F.xxhash64("user_id"), F.col("copies"))
+    chunk = F.pmod(F.xxhash64("track_id"), F.lit(chunks))
+    salt = F.pmod(F.xxhash64("user_id"), F.lit(copies))
     user_bits = 1 + F.pmod(F.xxhash64("user_id", F.lit(1)), F.lit((1 << USER_BITS) - 1))
 
-    def rows(frame: DataFrame, kind: int, salted: Column, low_bits: Column) -> DataFrame:
+    def rows(frame: DataFrame, kind: int, low_bits: Column) -> DataFrame:
         present = set(frame.columns)
-        block = _packed_block(F.col("cell"), F.col("chunk"), F.col("salt"))
-        return frame.withColumn("salt", salted).select(
+        block = F.shiftleft(F.col("chunk").cast("bigint"), SALT_BITS).bitwiseOR(F.col("salt").cast("bigint"))
+        return frame.select(
             F.shiftleft(block, USER_BITS).bitwiseOR(low_bits.cast("bigint")).alias("place"), F.lit(kind).alias("kind"),
             *[F.col(c) if c in present else v.alias(c) for c, v in empty.items()],
         )
 
-    everything = rows(blocks, ITEM, _each(F.col("copies")), F.lit(0)).unionByName(
-        rows(requests, REQUEST, salt, user_bits)
-    )
+    held = items.withColumn("chunk", chunk).withColumn("salt", _each(copies))
+    asked = queries.withColumns({"chunk": _each(chunks), "salt": salt})
+    everything = rows(held, ITEM, F.lit(0)).unionByName(rows(asked, REQUEST, user_bits))
     if seen is not None:
-        everything = everything.unionByName(rows(seen, SEEN, salt, user_bits))
+        known = seen.where("user_id is not null").select("user_id", "track_id")
+        everything = everything.unionByName(rows(known.withColumns({"chunk": chunk, "salt": salt}), SEEN, user_bits))
     schema = T.StructType([
         T.StructField("user_id", spec.user_type),
         T.StructField("probe", T.IntegerType()),
@@ -178,76 +127,89 @@ def _scored(requests: DataFrame, blocks: DataFrame, seen: DataFrame | None, spec
     )
 
 
-def _matrix(batch: pa.RecordBatch, dims: Sequence[str]) -> np.ndarray:
-    return np.column_stack([batch.column(d).to_numpy(zero_copy_only=False) for d in dims])
-
-
 def _block_scorer(spec: _Spec):
-    dims, k, digits = spec.dims, spec.k, spec.digits
-
+    k, digits = spec.k, spec.digits
     slack = 0.0 if digits is None else 10.0 ** -digits
 
     def unpacked(rows_: pa.RecordBatch) -> np.ndarray:
-        return rows_.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(rows_), len(dims))
+        return rows_.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(rows_), -1)
+
+    class Block:
+        """The items of one block, longest first; ``place`` is their order by track_id."""
 
-    def best(rows_: pa.RecordBatch, ids: pa.Array, vectors: np.ndarray) -> pa.RecordBatch | None:
-        """The best unseen items of one block for whole users, a few requests at a time."""
+        def __init__(self, ids: list[pa.Array], parts: list[np.ndarray]) -> None:
+            vectors = np.concatenate(parts)
+            lengths = np.linalg.norm(vectors, axis=1)
+            self.place = np.argsort(-lengths, kind="stable")
+            self.ids, self.vectors, self.lengths = pa.concat_arrays(ids), vectors[self.place], lengths[self.place]
+            self.row = np.empty_like(self.place)
+            self.row[self.place] = np.arange(len(self.place))
+
+    def best(rows_: pa.RecordBatch, block: Block) -> pa.RecordBatch | None:
+        """The best unseen items of one block for whole users, some requests and items at a time."""
         kind = rows_.column("kind").to_numpy()
         asked = np.flatnonzero(kind == REQUEST)
         if len(asked) == 0:
             return None
         run = rows_.take(pa.array(asked))
-        queries, n = unpacked(run), len(ids)
+        queries, n = unpacked(run), len(block.ids)
         user = rows_.column("user_id").dictionary_encode().indices.to_numpy()
         seen = np.flatnonzero(kind == SEEN)
-        places = pc.index_in(rows_.column("track_id").take(pa.array(seen)), value_set=ids)
+        places = pc.index_in(rows_.column("track_id").take(pa.array(seen)), value_set=block.ids)
         seen = seen[pc.is_valid(places).to_numpy(zero_copy_only=False)]
-        places = pc.drop_null(places).to_numpy()
+        columns = block.row[pc.drop_null(places).to_numpy()]
         # A user's requests lie side by side; every one of them leaves out the user's seen items.
         first, last = (np.searchsorted(user[asked], user[seen], side=side) for side in ("left", "right"))
         times = last - first
         within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        seen_rows, seen_columns = np.repeat(first, times) + within, np.repeat(places, times)
-        order = np.argsort(seen_rows, kind="stable")
-        seen_rows, seen_columns = seen_rows[order], seen_columns[order]
-        brought = pc.fill_null(run.column("floor"), -np.inf).to_numpy(zero_copy_only=False)
-        some = min(n, max(4 * k, n // 4))
-        step = max(1, SCORES_AT_ONCE // n)
+        seen_rows, seen_columns = np.repeat(first, times) + within, np.repeat(columns, times)
         found_rows, found_columns, found_scores = [], [], []
-        for start in range(0, len(run), step):
-            scores = queries[start : start + step] @ vectors.T
-            first, last = np.searchsorted(seen_rows, [start, start + step])
-            scores[seen_rows[first:last] - start, seen_columns[first:last]] = -np.inf
-            # The k-th best of some of the items bounds the k-th best of all from below,
-            # so whatever is under it, or under the floor a query brings along, is out.
-            floor = brought[start : start + step]
-            if k < some:
-                floor = np.maximum(floor, np.partition(scores[:, :some], some - k, axis=1)[:, some - k])
-            flat = np.flatnonzero(scores >= floor[:, None] - slack)
-            kept = scores.ravel()[flat]
-            unseen = kept > -np.inf
-            flat, kept = flat[unseen], kept[unseen]
-            rows = flat // n
-            order = np.lexsort((flat, -(kept if digits is None else np.round(kept, digits)), rows))
+        for start in range(0, len(run), QUERIES_AT_ONCE):
+            part = queries[start : start + QUERIES_AT_ONCE]
+            mine = (seen_rows >= start) & (seen_rows < start + len(part))
+            hidden_rows, hidden_columns = seen_rows[mine] - start, seen_columns[mine]
+            reach = np.linalg.norm(part, axis=1)
+            held = np.full((len(part), k), -np.inf)
+            active = np.arange(len(part))
+            rows, cols, kept = [], [], []
+            for low in range(0, n, ITEMS_AT_ONCE):
+                # What is left cannot score above the product of lengths; room for rounding.
+                most = reach[active] * block.lengths[low]
+                active = active[most * (1 + 1e-9) + slack >= held[active].min(axis=1)]
+                if len(active) == 0:
+                    break
+                scores = part[active] @ block.vectors[low : low + ITEMS_AT_ONCE].T
+                near = (hidden_columns >= low) & (hidden_columns < low + scores.shape[1])
+                at = np.searchsorted(active, hidden_rows[near])
+                there = (at < len(active)) & (active[np.minimum(at, len(active) - 1)] == hidden_rows[near])
+                scores[at[there], hidden_columns[near][there] - low] = -np.inf
+                top = np.concatenate([held[active], scores], axis=1)
+                held[active] = np.partition(top, top.shape[1] - k, axis=1)[:, top.shape[1] - k :]
+                floor = held[active].min(axis=1)
+                row, col = np.nonzero((scores >= floor[:, None] - slack) & (scores > -np.inf))
+                rows.append(active[row])
+                cols.append(block.place[low + col])
+                kept.append(scores[row, col])
+            rows, cols, kept = (np.concatenate(x) if x else np.zeros(0, dtype=int) for x in (rows, cols, kept))
+            order = np.lexsort((cols, -(kept if digits is None else np.round(kept, digits)), rows))
             rows = rows[order]
-            top = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
-            chosen = order[top]
-            found_rows.append(rows[top] + start)
-            found_columns.append(flat[chosen] % n)
-            found_scores.append(kept[chosen])
+            chosen = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+            found_rows.append(rows[chosen] + start)
+            found_columns.append(cols[order[chosen]])
+            found_scores.append(kept[order[chosen]].astype(float))
         rows = pa.array(np.concatenate(found_rows))
         return pa.RecordBatch.from_arrays(
             [run.column("user_id").take(rows), run.column("probe").take(rows),
-             ids.take(pa.array(np.concatenate(found_columns))), pa.array(np.concatenate(found_scores))],
+             block.ids.take(pa.array(np.concatenate(found_columns))), pa.array(np.concatenate(found_scores))],
             names=["user_id", "probe", "track_id", "score"],
         )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, ids, parts, vectors, waiting = None, [], [], None, []
+        place, ids, parts, block, waiting = None, [], [], None, []
 
         def flush(hold_last_user: bool) -> pa.RecordBatch | None:
             """Score the waiting rows; the last user may go on in the next batch."""
-            nonlocal ids, parts, vectors, waiting
+            nonlocal block, waiting
             if not waiting:
                 return None
             rows_ = pa.concat_batches(waiting)
@@ -258,9 +220,9 @@ def _block_scorer(spec: _Spec):
             waiting = [rows_.slice(cut)] if cut < len(rows_) else []
             if not parts or cut == 0:
                 return None
-            if vectors is None:
-                vectors, ids = np.concatenate(parts), pa.concat_arrays(ids)
-            return best(rows_.slice(0, cut), ids, vectors)
+            if block is None:
+                block = Block(ids, parts)
+            return best(rows_.slice(0, cut), block)
 
         for batch in batches:
             blocks = batch.column("place").to_numpy() >> USER_BITS
@@ -270,11 +232,11 @@ def _block_scorer(spec: _Spec):
             for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
                 if start == stop:
                     continue
-                if blocks[start] != block:
+                if blocks[start] != place:
                     done = flush(hold_last_user=False)
                     if done is not None:
                         yield done
-                    block, ids, parts, vectors, waiting = blocks[start], [], [], None, []
+                    place, ids, parts, block, waiting = blocks[start], [], [], None, []
                 run = batch.slice(start, stop - start)
                 if is_item[start]:
                     ids.append(run.column("track_id"))
@@ -289,180 +251,3 @@ def _block_scorer(spec: _Spec):
             yield done
 
     return score
-
-
-def _visit_promising(queries, items, seen, spec: _Spec, cells: int, block_items: int) -> DataFrame:
-    spark = items.sparkSession
-    dims = spec.dims
-    drawn = items.orderBy(F.xxhash64("track_id"), "track_id").limit(cells).select(*dims).collect()
-    centres = np.unique(np.array([list(r) for r in drawn], dtype=float), axis=0)
-    extent = [T.StructField(c, T.DoubleType()) for c in ("distance", "angle", "length")]
-    placed = stored(items.mapInArrow(
-        _cell_finder(dims, centres), T.StructType([*items.schema.fields, T.StructField("cell", T.IntegerType()), *extent])
-    ))
-    stats = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("size"), F.max("distance").alias("radius"), F.max("angle").alias("angle"),
-        F.min("length").alias("shortest"), F.max("length").alias("longest"),
-    ).collect()
-    measured = {name: np.zeros(len(centres)) for name in ("size", "radius", "angle", "shortest", "longest")}
-    for row in stats:
-        for name, values in measured.items():
-            values[row["cell"]] = row[name]
-    layout = _Cells(centres, **measured | {"size": measured["size"].astype(np.int64)})
-    chunks = {r["cell"]: max(1, ceil(r["size"] / block_items)) for r in stats}
-
-    def per_cell(name: str, values: dict[int, int]) -> DataFrame:
-        return F.broadcast(spark.createDataFrame(list(values.items()), f"cell int, {name} int"))
-
-    chunk_counts = per_cell("chunks", chunks)
-    blocks = placed.join(chunk_counts, "cell").select(
-        "track_id", *dims, "cell", F.pmod(F.xxhash64("track_id"), F.col("chunks")).cast("int").alias("chunk")
-    )
-    placed_seen = None if seen is None else stored(_located(seen, blocks))
-    if placed_seen is None:
-        counted = queries.withColumns({"seen_cells": F.lit(None).cast("array<int>"),
-                                       "seen_counts": F.lit(None).cast("array<bigint>")})
-    else:
-        per_user = (
-            placed_seen.groupBy("user_id", "cell").agg(F.countDistinct("track_id").alias("n"))
-            .groupBy("user_id").agg(F.collect_list(F.struct("cell", "n")).alias("s"))
-            .select("user_id", F.col("s.cell").alias("seen_cells"), F.col("s.n").alias("seen_counts"))
-        )
-        counted = queries.join(per_user, "user_id", "left")
-
-    query_fields = [T.StructField("user_id", spec.user_type), T.StructField("probe", T.IntegerType()),
-                    *[T.StructField(d, T.DoubleType()) for d in dims]]
-    picks = T.StructField("picks", T.ArrayType(T.IntegerType()))
-    first = stored(counted.mapInArrow(
-        _first_cells(dims, spec.k, layout), T.StructType([*query_fields, picks])
-    ))
-
-    def visit(requests: DataFrame) -> DataFrame:
-        to_cell = requests.select("user_id", "probe", *dims, "floor", F.explode("picks").alias("cell"))
-        load = to_cell.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
-        copies = {c: 1 for c in chunks} | {
-            r["cell"]: _fits(min(ceil(r["n"] / QUERIES_PER_COPY), 1 << SALT_BITS), chunks[r["cell"]]) for r in load
-        }
-        copy_counts = per_cell("copies", copies)
-        routed = to_cell.join(chunk_counts, "cell").withColumn("chunk", _each(F.col("chunks"))).drop("chunks")
-        with_copies = [None if f is None else f.join(copy_counts, "cell") for f in (routed, blocks, placed_seen)]
-        return _scored(*with_copies, spec)
-
-    near = stored(_ranked(visit(first.withColumn("floor", F.lit(None).cast("double"))), spec))
-    floor = near.where(F.col("rank") == spec.k).select("user_id", "probe", F.col("score").alias("floor"))
-    second = stored(
-        first.join(floor, ["user_id", "probe"], "left").mapInArrow(
-            _further_cells(dims, layout),
-            T.StructType([*query_fields, picks, T.StructField("floor", T.DoubleType())]),
-        )
-    )
-    far = visit(second)
-    return near.drop("rank").unionByName(far)
-
-
-def _cell_finder(dims: Sequence[str], centres: np.ndarray):
-    squares = (centres ** 2).sum(axis=1)
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            vectors = _matrix(batch, dims)
-            cell = (squares - 2 * vectors @ centres.T).argmin(axis=1)
-            near = centres[cell]
-            distance = np.linalg.norm(vectors - near, axis=1)
-            length = np.linalg.norm(vectors, axis=1)
-            both = length * np.linalg.norm(near, axis=1)
-            cosine = np.divide((vectors * near).sum(axis=1), both, out=np.ones_like(both), where=both > 0)
-            angle = np.arccos(np.clip(cosine, -1.0, 1.0))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell.astype(np.int32)), *map(pa.array, (distance, angle, length))],
-                names=[*batch.schema.names, "cell", "distance", "angle", "length"],
-            )
-
-    return assign
-
-
-@dataclass(frozen=True)
-class _Cells:
-    """Centre, item count and extent of each cell; empty cells have count 0."""
-
-    centres: np.ndarray
-    size: np.ndarray
-    radius: np.ndarray
-    angle: np.ndarray
-    shortest: np.ndarray
-    longest: np.ndarray
-
-
-def _angles(vectors: np.ndarray, centres: np.ndarray, products: np.ndarray) -> np.ndarray:
-    """Angle of each vector and centre, 0 where either has no length."""
-    lengths = np.linalg.norm(vectors, axis=1)[:, None] * np.linalg.norm(centres, axis=1)[None, :]
-    cosine = np.divide(products, lengths, out=np.ones_like(products), where=lengths > 0)
-    return np.arccos(np.clip(cosine, -1.0, 1.0))
-
-
-def _bounds(vectors: np.ndarray, cells: _Cells) -> np.ndarray:
-    """Largest score a query can reach in each cell; -inf for empty cells."""
-    length = np.linalg.norm(vectors, axis=1)[:, None]
-    products = vectors @ cells.centres.T
-    ball = products + length * cells.radius
-    gap = np.cos(np.clip(_angles(vectors, cells.centres, products) - cells.angle - ANGLE_SLACK, 0.0, None))
-    cone = length * gap * np.where(gap > 0, cells.longest, cells.shortest)
-    return np.where(cells.size > 0, np.minimum(ball, cone), -np.inf)
-
-
-def _list_column(chosen: np.ndarray) -> pa.Array:
-    """Boolean rows to lists of the true column numbers."""
-    offsets = np.concatenate([[0], np.cumsum(chosen.sum(axis=1))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(chosen)[1].astype(np.int32)))
-
-
-def _with_picks(
-    batch: pa.RecordBatch, dims: Sequence[str], chosen: np.ndarray, more: Sequence[str] = ()
-) -> pa.RecordBatch:
-    names = ["user_id", "probe", *dims]
-    return pa.RecordBatch.from_arrays(
-        [*[batch.column(c) for c in names], _list_column(chosen), *[batch.column(c) for c in more]],
-        names=[*names, "picks", *more],
-    )
-
-
-def _first_cells(dims, k: int, cells: _Cells):
-    """Cells of highest bound until they hold ``k`` unseen items."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            bounds = _bounds(_matrix(batch, dims), cells)
-            unseen = np.repeat(cells.size[None, :], len(batch), axis=0)
-            places, counts = batch.column("seen_cells"), batch.column("seen_counts")
-            lengths = pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(len(batch)), lengths)
-            unseen[rows, places.flatten().to_numpy()] -= counts.flatten().to_numpy()
-            order = np.argsort(-bounds, axis=1, kind="stable")
-            held = np.cumsum(np.take_along_axis(unseen, order, axis=1), axis=1)
-            before = np.concatenate([np.zeros((len(batch), 1), dtype=held.dtype), held[:, :-1]], axis=1)
-            chosen = np.zeros(bounds.shape, dtype=bool)
-            np.put_along_axis(chosen, order, before < k, axis=1)
-            yield _with_picks(batch, dims, chosen & (cells.size > 0))
-
-    return pick
-
-
-def _further_cells(dims, cells: _Cells):
-    """Cells not yet visited whose bound reaches the k-th score found so far."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            bounds = _bounds(_matrix(batch, dims), cells)
-            floor = pc.fill_null(batch.column("floor"), -np.inf).to_numpy(zero_copy_only=False)[:, None]
-            slack = 1e-8 * np.maximum(1.0, np.where(np.isinf(floor), 1.0, np.abs(floor)))
-            chosen = (bounds >= floor - slack) & (cells.size > 0)
-            visited = batch.column("picks")
-            lengths = pc.list_value_length(visited).to_numpy(zero_copy_only=False)
-            chosen[np.repeat(np.arange(len(batch)), lengths), visited.flatten().to_numpy()] = False
-            yield _with_picks(batch, dims, chosen, ["floor"])
-
-    return pick

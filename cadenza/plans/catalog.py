@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from cadenza.functions import scalars as S
 from cadenza.operators import (
     boards, clusters, content, eda, evaluation, factors, features, hybrid, ids, plays, quantiles,
 )
+from cadenza.session import stored
 from cadenza.sources import bindings as B
 from cadenza.sources import readers
 from cadenza.sources.schemas import AUDIO_FEATURES, TRACK_FEATURES
@@ -47,7 +49,7 @@ def _profiles(s: SparkSession, d: str) -> DataFrame:
 
 
 def _coded(s: SparkSession, d: str) -> DataFrame:
-    ratings = plays.implicit_ratings(B.event_plays(s, d))
+    ratings = stored(plays.implicit_ratings(B.event_plays(s, d)))
     users = ids.dense_ids(ratings, "user_id", "user_idx")
     tracks = ids.dense_ids(ratings, "track_id", "track_idx")
     return ids.encode(ratings, users, tracks)
@@ -162,7 +164,7 @@ def _svd_metrics(s: SparkSession, d: str) -> DataFrame:
 def _hybrid_als(s: SparkSession, d: str) -> DataFrame:
     p = B.event_plays(s, d)
     fit = factors.fit_als(p)
-    return hybrid.hybrid_recommendations(p, B.embedding_tracks(s, d), factors=(fit.users, fit.tracks, fit.dims))
+    return hybrid.hybrid_recommendations(p, B.embedding_tracks(s, d), factors=(fit.users, fit.tracks))
 
 
 def _clustered(measure) -> Query:
@@ -173,6 +175,89 @@ def _clustered(measure) -> Query:
     return run
 
 
+def _list_checks(recs: DataFrame, score: str, heard: DataFrame) -> DataFrame:
+    """What must hold of ranked lists whatever the model: one row of counts, the last three 0."""
+    order = W.partitionBy("user_id").orderBy("rank")
+    steps = stored(recs.select(
+        "user_id", "track_id", (F.col("rank") != F.row_number().over(order)).cast("int").alias("gap"),
+        (F.col(score) > F.lag(score).over(order) + 1e-9).cast("int").alias("rise"),
+    ))
+    known = steps.join(heard.select("user_id", "track_id").distinct(), ["user_id", "track_id"]).agg(F.count(F.lit(1)).alias("heard_rows"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    one = steps.agg(
+        F.countDistinct("user_id").alias("users"), F.count(F.lit(1)).alias("listed"),
+        total("gap").alias("rank_gaps"), total("rise").alias("rises"),
+    )
+    return one.select("*", known.scalar().alias("heard_rows"))
+
+
+def _als_list_checks(s: SparkSession, d: str) -> DataFrame:
+    fit = factors.fit_als(B.event_plays(s, d))
+    heard = fit.train.unionByName(fit.test)
+    recs = factors.factor_recommendations(fit, B.embedding_tracks(s, d), exclude=heard)
+    return _list_checks(recs, "predicted_score", heard)
+
+
+def _svd_list_checks(s: SparkSession, d: str) -> DataFrame:
+    fit = factors.fit_svd(B.event_plays(s, d))
+    heard = fit.train.unionByName(fit.test)
+    recs = factors.factor_recommendations(fit, B.embedding_tracks(s, d), exclude=heard)
+    return _list_checks(recs, "predicted_score", heard)
+
+
+def _hybrid_als_checks(s: SparkSession, d: str) -> DataFrame:
+    return _list_checks(_hybrid_als(s, d), "hybrid_score", plays.heard_pairs(B.event_plays(s, d)))
+
+
+def _prediction_checks(s: SparkSession, d: str) -> DataFrame:
+    """Held-out pairs that each factor model predicts: those whose user and track it was trained on."""
+    p = B.event_plays(s, d)
+    fit = factors.fit_als(p)
+    trained = fit.test.join(fit.train.select("user_id").distinct(), "user_id").join(fit.train.select("track_id").distinct(), "track_id")
+    svd = factors.fit_svd(p)
+    known = svd.predictions.join(svd.train.select("user_id").distinct(), "user_id")
+    rows = [("als", fit.predictions.select("prediction")), ("svd", known.select("prediction"))]
+    out = [
+        df.agg(F.count("prediction").alias("predicted"), F.count_if(F.isnan("prediction")).alias("not_numbers")).select(F.lit(name).alias("model"), "*")
+        for name, df in rows
+    ]
+    return out[0].unionByName(out[1]).withColumn("expected", trained.agg(F.count(F.lit(1))).scalar())
+
+
+def _cluster_checks(s: SparkSession, d: str) -> DataFrame:
+    """Clusters are a partition of the tracks, the profile counts them, the elbow falls (within 2 %)."""
+    vectors = _vectors(s, d)
+    model = clusters.fit_clusters(vectors)
+    assigned = clusters.track_clusters(vectors, model)
+    profile = clusters.cluster_profile(vectors, model)
+    costs = clusters.elbow(vectors)
+    rises = costs.select((F.col("inertia") > 1.02 * F.lag("inertia").over(W.orderBy("k"))).cast("int").alias("rise"))
+    quality = clusters.silhouette(vectors, model).select((~F.col("silhouette").between(-1, 1)).cast("bigint"))
+    labels = clusters.cluster_labels(model, vectors).agg(F.count("label"))
+    return assigned.agg(F.count(F.lit(1)).alias("tracks"), F.count_if(~F.col("cluster").between(0, 5)).alias("bad_ids")).select(
+        "*", profile.agg(F.sum("track_count").cast("bigint")).scalar().alias("profiled"),
+        rises.agg(F.coalesce(F.sum("rise"), F.lit(0)).cast("bigint")).scalar().alias("rises"),
+        quality.scalar().alias("bad_silhouettes"), labels.scalar().alias("labels"),
+    )
+
+
+def _pca_checks(s: SparkSession, d: str) -> DataFrame:
+    """Scores are centred and uncorrelated; explained shares are their variances over the whole variance."""
+    vectors = _vectors(s, d)
+    scores, variance = clusters.principal_components(vectors)
+    x = F.posexplode(vector_to_array("features"))
+    whole = vectors.select(x.alias("place", "v")).groupBy("place").agg(F.var_samp("v").alias("v")).agg(F.sum("v"))
+    off = lambda c: (F.abs(c) > 1e-9).cast("bigint")
+    share = lambda i: variance.where(f"component = {i}").select("explained_variance").scalar()
+    return scores.agg(
+        F.count(F.lit(1)).alias("tracks"), off(F.covar_samp("pc1", "pc2")).alias("correlated"),
+        (off(F.avg("pc1")) + off(F.avg("pc2"))).alias("not_centred"), F.var_samp("pc1").alias("v1"), F.var_samp("pc2").alias("v2"),
+    ).select(
+        "tracks", "correlated", "not_centred",
+        (off(F.col("v1") / whole.scalar() - share(1)) + off(F.col("v2") / whole.scalar() - share(2))).alias("wrong_shares"),
+    )
+
+
 def _vectors(s: SparkSession, d: str) -> DataFrame:
     return clusters.feature_vectors(B.embedding_tracks(s, d))
 
@@ -193,9 +278,7 @@ def queries() -> dict[str, Query]:
         "hourly_activity": lambda s, d: plays.hourly_activity(E(s, d)),
         "genre_popularity": lambda s, d: boards.genre_popularity(L(s, d), P(s, d), no_users(s, d)),
         "genre_skips": lambda s, d: boards.genre_skips(L(s, d), P(s, d), no_users(s, d)),
-        "known_track_coverage": lambda s, d: plays.known_track_coverage(
-            L(s, d), P(s, d).where("popularity <= 25")
-        ),
+        "known_track_coverage": lambda s, d: plays.known_track_coverage(L(s, d), T(s, d)),
         "artist_leaderboard": lambda s, d: boards.artist_leaderboard(
             L(s, d), P(s, d), counted=no_users(s, d)
         ),
@@ -261,6 +344,12 @@ def queries() -> dict[str, Query]:
         "als_ranking_metrics": _als_ranking,
         "svd_recs": _svd_recs,
         "svd_metrics": _svd_metrics,
+        "als_list_checks": _als_list_checks,
+        "svd_list_checks": _svd_list_checks,
+        "hybrid_als_checks": _hybrid_als_checks,
+        "prediction_checks": _prediction_checks,
+        "cluster_checks": _cluster_checks,
+        "pca_checks": _pca_checks,
         "kmeans_clusters": _clustered(clusters.track_clusters),
         "cluster_profile": _clustered(clusters.cluster_profile),
         "cluster_labels": _clustered(lambda v, m: clusters.cluster_labels(m, v)),

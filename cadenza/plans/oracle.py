@@ -130,16 +130,31 @@ track_ids AS (
   SELECT track_id, CAST(row_number() OVER (ORDER BY count(*) DESC, track_id) - 1 AS INTEGER) AS track_idx
   FROM ratings GROUP BY track_id),
 split AS (
-  SELECT track_id, user_id, implicit_rating, user_idx, track_idx,
-         CASE WHEN (CAST(user_idx AS BIGINT) * 7919 + CAST(track_idx AS BIGINT) * 104729 + 42) % 10 < 8
-              THEN 'train' ELSE 'test' END AS part
-  FROM ratings JOIN user_ids USING (user_id) JOIN track_ids USING (track_id))"""
+  SELECT track_id, user_id, implicit_rating, user_idx, track_idx, CASE WHEN b4 % 10 < 8 THEN 'train' ELSE 'test' END AS part
+  FROM (
+    SELECT *, CAST(user_idx AS BIGINT) + 42 AS a0,
+           (a0 * 1103515245 + 12345) % 2147483648 AS a1, xor(a1, a1 >> 15) AS a2,
+           (a2 * 1597334677) % 2147483648 AS a3, xor(a3, a3 >> 13) AS a4,
+           (a4 + track_idx) % 2147483648 AS b0,
+           (b0 * 1103515245 + 12345) % 2147483648 AS b1, xor(b1, b1 >> 15) AS b2,
+           (b2 * 1597334677) % 2147483648 AS b3, xor(b3, b3 >> 13) AS b4
+    FROM ratings JOIN user_ids USING (user_id) JOIN track_ids USING (track_id)))"""
 
 _IDCG = " ".join(
     f"WHEN {n} THEN {sum(1 / log2(i + 1) for i in range(1, n + 1))!r}" for n in range(1, 11)
 )
 
 
+_LIST_CHECKS = """
+, known AS (SELECT DISTINCT track_id FROM split WHERE part = 'train'),
+heard AS (SELECT user_id, count(track_id) FILTER (track_id IN (SELECT track_id FROM known)) AS n,
+                 count(*) FILTER (part = 'train') AS trained FROM split GROUP BY 1),
+lists AS (SELECT user_id, least(10, (SELECT count(*) FROM known) - n) AS size FROM heard WHERE trained > 0)
+SELECT count(*) FILTER (size > 0) AS users, CAST(sum(size) AS BIGINT) AS listed,
+       CAST(0 AS BIGINT) AS rank_gaps, CAST(0 AS BIGINT) AS rises, CAST(0 AS BIGINT) AS heard_rows
+FROM lists"""
+
+
 def _describe(cte: str, source: str, columns: list[str], digits: int) -> str:
     one = """SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), {d}) AS mean,
   round(stddev_samp({c}), {d}) AS std, round(CAST(min({c}) AS DOUBLE), {d}) AS min,
@@ -232,9 +247,9 @@ SELECT genre, count(*) AS total_plays, count(DISTINCT user_id) AS unique_listene
        {_pct(SKIPS, 'count(*)', 1)} AS skip_pct,
        round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM l_plays JOIN l_tracks USING (track_id)) * 100, 1) AS play_share
 FROM l_plays JOIN l_tracks USING (track_id) GROUP BY genre""",
-        "known_track_coverage": L + """
+        "known_track_coverage": _with(L_PLAYS, E_TRACKS) + """
 SELECT genre, count(*) AS total_plays, count(DISTINCT user_id) AS listeners
-FROM l_plays LEFT JOIN (SELECT track_id, genre FROM l_tracks WHERE popularity <= 25) USING (track_id) GROUP BY genre""",
+FROM l_plays LEFT JOIN e_tracks USING (track_id) GROUP BY genre""",
         "artist_leaderboard": L + """
 SELECT artist_id, artist_name, genre, count(*) AS total_plays, count(DISTINCT user_id) AS unique_listeners,
        count(DISTINCT track_id) AS track_count
@@ -268,6 +283,8 @@ SELECT user_id, track_id, play_duration_ms, CASE WHEN skipped = 0 THEN 'C' ELSE
        CASE WHEN skipped = 0 THEN 2 ELSE 1 END AS weight FROM e_plays""",
         "user_plays": E + """
 SELECT user_id, track_id, play_duration_ms, skipped, hour_of_day, day_of_week FROM e_plays WHERE user_id = 7""",
+        "user_sample": E + """
+SELECT user_id FROM (SELECT DISTINCT user_id FROM e_plays) ORDER BY md5('42:' || user_id), user_id LIMIT 5""",
         "active_users": L + """
 SELECT user_id, count(*) AS plays FROM l_plays GROUP BY 1 ORDER BY plays DESC, user_id LIMIT 500""",
         "ingest_check": E + f"""
@@ -360,6 +377,24 @@ SELECT c.user_id, t.rank, t.track_id, 'popularity' AS source FROM cold c CROSS J
         "dense_track_ids": E + """
 SELECT track_id, CAST(row_number() OVER (ORDER BY count(*) DESC, track_id) - 1 AS INTEGER) AS track_idx
 FROM e_plays GROUP BY 1""",
+        "als_list_checks": split + _LIST_CHECKS,
+        "svd_list_checks": split + _LIST_CHECKS,
+        "hybrid_als_checks": _with(E_PLAYS, E_TRACKS) + """
+, heard AS (SELECT user_id, count(DISTINCT track_id) AS n FROM e_plays JOIN e_tracks USING (track_id) GROUP BY 1)
+SELECT count(*) AS users, CAST(sum(least(10, (SELECT count(*) FROM e_tracks) - n)) AS BIGINT) AS listed,
+       CAST(0 AS BIGINT) AS rank_gaps, CAST(0 AS BIGINT) AS rises, CAST(0 AS BIGINT) AS heard_rows
+FROM heard""",
+        "prediction_checks": split + """
+, n AS (SELECT count(*) AS n FROM split WHERE part = 'test'
+          AND user_id IN (SELECT user_id FROM split WHERE part = 'train')
+          AND track_id IN (SELECT track_id FROM split WHERE part = 'train'))
+SELECT model, n AS predicted, CAST(0 AS BIGINT) AS not_numbers, n AS expected FROM n, (VALUES ('als'), ('svd')) v(model)""",
+        "cluster_checks": """
+SELECT count(*) AS tracks, CAST(0 AS BIGINT) AS bad_ids, count(*) AS profiled, CAST(0 AS BIGINT) AS rises,
+       CAST(0 AS BIGINT) AS bad_silhouettes, CAST(6 AS BIGINT) AS labels FROM embeddings""",
+        "pca_checks": """
+SELECT count(*) AS tracks, CAST(0 AS BIGINT) AS correlated, CAST(0 AS BIGINT) AS not_centred, CAST(0 AS BIGINT) AS wrong_shares
+FROM embeddings""",
         "hash_split": split + "SELECT * FROM split",
         "mean_rating_errors": _with(E_PLAYS, RATINGS) + """
 , m AS (SELECT track_id, avg(implicit_rating) AS p FROM ratings GROUP BY 1),

@@ -37,12 +37,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """Where this application's stored tables lie."""
+    return f"{shared_folder(spark)}/cadenza/{spark.sparkContext.applicationId}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 
     The table outlives any executor.  A frame that several later steps read is
-    computed once, loses its lineage, and its reads prune columns.
+    computed once, loses its lineage, and its reads prune columns.  It stays until
+    ``release`` is called: frames returned to the caller may still read it.
     """
-    path = f"{shared_folder(df.sparkSession)}/cadenza/{uuid.uuid4().hex}"
+    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete all tables this application has stored; call it when no frame that reads them is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -22,17 +22,10 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_plays_parquet(plays: DataFrame, path: str, files_per_month: int = 64) -> None:
-    """Plays in one folder per month; a busy month is spread over several tasks."""
-    part = F.pmod(F.xxhash64("user_id", "ts"), F.lit(files_per_month))
-    (
-        plays.withColumns({"year_month": S.month_key("ts"), "_part": part})
-        .repartition("year_month", "_part")
-        .drop("_part")
-        .write.mode("overwrite")
-        .partitionBy("year_month")
-        .parquet(path)
-    )
+def write_plays_parquet(plays: DataFrame, path: str) -> None:
+    """Plays in one folder per month; Spark divides a busy month over as many tasks as its size asks for."""
+    by_month = plays.withColumn("year_month", S.month_key("ts")).hint("rebalance", "year_month")
+    by_month.write.mode("overwrite").partitionBy("year_month").parquet(path)
 
 
 def write_model(model: MLWritable, path: str) -> None:

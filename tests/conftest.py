@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from cadenza.session import local_session  # noqa: E402
+from cadenza.session import local_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,6 +14,7 @@ def spark():
     session = local_session("cadenza-tests", cpus=4, memory="4g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
+    release(session)
     session.stop()
 
 

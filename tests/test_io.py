@@ -76,7 +76,7 @@ def test_csv_and_tsv_sinks(spark, tmp_path, play_table):
 
 
 def test_plays_by_month_are_pruned(spark, tmp_path, play_table):
-    sinks.write_plays_parquet(play_table, str(tmp_path / "p"), files_per_month=2)
+    sinks.write_plays_parquet(play_table, str(tmp_path / "p"))
     back = readers.read_plays_parquet(spark, str(tmp_path / "p"))
     assert rows(back, *play_table.columns) == rows(play_table)
     plan = back.where("year_month = '2023-01'")._jdf.queryExecution().executedPlan().toString()

@@ -28,3 +28,11 @@ def test_null_safe_join(spark):
     joined = null_safe_join(left, right, ["k"])
     assert rows(joined, "x", "y") == [(1, 10), (2, 20)]
     assert null_safe_join(left, right.where("k is null"), ["k"], "left_semi").count() == 1
+
+
+def test_facts_of_one_row_per_key_are_not_copied(spark):
+    facts = spark.range(30).select(F.col("id").alias("k"), F.col("id").alias("u"))
+    dim = spark.range(20).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    plain = lookup_join(facts, dim, "k", ["k"], limit=0)
+    assert "_salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert plain.count() == 20

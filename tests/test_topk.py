@@ -3,17 +3,15 @@ import pytest
 
 from cadenza.operators import topk
 
-DIMS = ["a", "b", "c"]
-
 
 def frames(spark, users, items, seen=None, text_ids=False):
     name = (lambda p, i: f"{p}{i:04d}") if text_ids else (lambda p, i: i)
     kind = "string" if text_ids else "bigint"
     q = spark.createDataFrame(
-        [(name("u", i), 0, *map(float, v)) for i, v in enumerate(users)], f"user_id {kind}, probe int, a double, b double, c double"
+        [(name("u", i), 0, [float(x) for x in v]) for i, v in enumerate(users)], f"user_id {kind}, probe int, vector array<double>"
     )
     t = spark.createDataFrame(
-        [(name("t", i), *map(float, v)) for i, v in enumerate(items)], f"track_id {kind}, a double, b double, c double"
+        [(name("t", i), [float(x) for x in v]) for i, v in enumerate(items)], f"track_id {kind}, vector array<double>"
     )
     s = None
     if seen is not None:
@@ -49,31 +47,33 @@ def data(seed, users=37, items=400):
     return queries, vectors, seen
 
 
-@pytest.mark.parametrize("cells,block_items,text_ids", [(1, 4096, True), (1, 50, False), (12, 4096, False), (90, 7, True)])
-def test_equals_brute_force(spark, cells, block_items, text_ids):
-    queries, items, seen = data(cells)
+@pytest.mark.parametrize("seed,block_items,text_ids", [(1, 4096, True), (1, 50, False), (12, 100, False), (90, 7, True)])
+def test_equals_brute_force(spark, seed, block_items, text_ids):
+    queries, items, seen = data(seed)
     q, t, s = frames(spark, queries, items, sorted(seen), text_ids)
-    got = result(topk.top_k_dot(q, t, 5, DIMS, s, cells=cells, block_items=block_items), text_ids)
+    got = result(topk.top_k_dot(q, t, 5, s, block_items=block_items), text_ids)
     want = brute(queries, items, seen, 5)
     assert got == {u: w for u, w in want.items() if w}
 
 
-def test_hot_blocks_are_copied(spark, monkeypatch):
-    monkeypatch.setattr(topk, "QUERIES_PER_COPY", 4)
-    queries, items, seen = data(5)
+@pytest.mark.parametrize("at_once", [(1, 1), (3, 11), (256, 40)])
+def test_equals_brute_force_in_any_steps(spark, monkeypatch, at_once):
+    monkeypatch.setattr(topk, "QUERIES_AT_ONCE", at_once[0])
+    monkeypatch.setattr(topk, "ITEMS_AT_ONCE", at_once[1])
+    queries, items, seen = data(5, users=20, items=150)
     q, t, s = frames(spark, queries, items, sorted(seen))
-    got = result(topk.top_k_dot(q, t, 3, DIMS, s, cells=9))
+    got = result(topk.top_k_dot(q, t, 3, s))
     assert got == {u: w for u, w in brute(queries, items, seen, 3).items() if w}
 
 
 def test_users_may_span_batches(spark):
     queries, items, seen = data(6)
     q, t, s = frames(spark, queries, items, sorted(seen))
-    both = q.unionByName(q.selectExpr("user_id", "1 as probe", "a", "b", "c"))
+    both = q.unionByName(q.selectExpr("user_id", "1 as probe", "vector"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        for cells in (1, 12):
-            hits = topk.top_k_dot(both, t, 5, DIMS, s, cells=cells, block_items=100).cache()
+        for block_items in (100, 4096):
+            hits = topk.top_k_dot(both, t, 5, s, block_items=block_items).cache()
             for probe in (0, 1):
                 assert result(hits.where(f"probe = {probe}")) == {u: w for u, w in brute(queries, items, seen, 5).items() if w}
     finally:
@@ -83,42 +83,50 @@ def test_users_may_span_batches(spark):
 def test_without_seen_and_with_more_wanted_than_items(spark):
     queries, items, _ = data(7, users=5, items=30)
     q, t, _ = frames(spark, queries, items)
-    for cells in (1, 6):
-        got = result(topk.top_k_dot(q, t, 50, DIMS, cells=cells))
+    for block_items in (6, 4096):
+        got = result(topk.top_k_dot(q, t, 50, block_items=block_items))
         assert got == brute(queries, items, set(), 50)
 
 
 def test_seen_items_outside_the_catalogue_and_no_items(spark):
     queries, items, _ = data(8, users=4, items=20)
     q, t, s = frames(spark, queries, items, [(0, 999), (0, 3), (0, 3)])
-    assert result(topk.top_k_dot(q, t, 2, DIMS, s)) == brute(queries, items, {(0, 3)}, 2)
-    assert topk.top_k_dot(q, t.where("track_id < 0"), 2, DIMS, s).count() == 0
+    assert result(topk.top_k_dot(q, t, 2, s)) == brute(queries, items, {(0, 3)}, 2)
+    assert topk.top_k_dot(q, t.where("track_id < 0"), 2, s).count() == 0
+
+
+def test_incomplete_vectors_take_no_part(spark):
+    rows = [(0, [1.0, None]), (1, None), (2, [float("nan"), 1.0]), (3, [1.0, 2.0])]
+    t = spark.createDataFrame(rows, "track_id bigint, vector array<double>")
+    q = spark.createDataFrame([(i, 0, v) for i, v in rows] + [(None, 0, [1.0, 1.0])], "user_id bigint, probe int, vector array<double>")
+    assert [(r["user_id"], r["track_id"]) for r in topk.top_k_dot(q, t, 2).collect()] == [(3, 3)]
 
 
 def test_probes_are_separate(spark):
     queries, items, _ = data(9, users=3, items=40)
     q, t, _ = frames(spark, queries, items)
-    both = q.unionByName(q.selectExpr("user_id", "1 as probe", "-a as a", "-b as b", "-c as c"))
-    for cells in (1, 5):
-        hits = topk.top_k_dot(both, t, 1, DIMS, digits=None, cells=cells).collect()
+    both = q.unionByName(q.selectExpr("user_id", "1 as probe", "transform(vector, x -> -x) as vector"))
+    for block_items in (8, 4096):
+        hits = topk.top_k_dot(both, t, 1, digits=None, block_items=block_items).collect()
         assert len(hits) == 6
         for r in hits:
             products = items @ queries[r["user_id"]] * (1 if r["probe"] == 0 else -1)
             assert r["score"] == pytest.approx(products.max(), abs=1e-12)
 
 
-def test_bounds_hold_and_prune():
-    rng = np.random.default_rng(3)
-    centres = rng.normal(size=(60, 3))
-    members = [c + 0.05 * rng.normal(size=(20, 3)) for c in centres]
-    queries = rng.normal(size=(40, 3))
-    angle = [np.arccos(np.clip(m @ c / np.linalg.norm(m, axis=1) / np.linalg.norm(c), -1, 1)).max() for m, c in zip(members, centres, strict=True)]
-    cells = topk._Cells(
-        centres, np.full(60, 20), np.array([np.linalg.norm(m - c, axis=1).max() for m, c in zip(members, centres, strict=True)]),
-        np.array(angle), np.array([np.linalg.norm(m, axis=1).min() for m in members]),
-        np.array([np.linalg.norm(m, axis=1).max() for m in members]),
-    )
-    bounds = topk._bounds(queries, cells)
-    best = np.array([[(m @ q).max() for m in members] for q in queries])
-    assert (bounds >= best - 1e-12).all()
-    assert ((bounds >= best.max(axis=1, keepdims=True)).mean()) < 0.15
+def wide(spark, n, dims, key, seed):
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.normal(size=dims).tolist()) for i in range(n)]
+    return spark.createDataFrame(rows, f"{key} bigint, vector array<double>"), np.array([r[1] for r in rows])
+
+
+def test_many_dimensions_plan_and_shuffle_little(spark):
+    t, items = wide(spark, 900, 64, "track_id", 1)
+    q, queries = wide(spark, 50, 64, "user_id", 2)
+    hits = topk.top_k_dot(q.selectExpr("user_id", "0 as probe", "vector"), t, 4, block_items=300)
+    assert result(hits) == brute(queries, items, set(), 4)
+    # A query goes to each block once: 3 blocks, one copy of each item for 4 partitions.
+    text = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in text and "Join" not in text
+    asked = topk._scored(q.selectExpr("user_id", "0 as probe", "vector"), t, None, topk._Spec(4, 9, q.schema[0].dataType, t.schema[0].dataType), 3, 1)
+    assert asked.count() <= 50 * 3 * 4
