@@ -99,7 +99,7 @@ def _first_lists(coded: DataFrame, dims: int, count: int, degree: int) -> DataFr
 
     def tiling(seed: int) -> DataFrame:
         drawn = coded.orderBy(F.xxhash64("node", F.lit(_SEED + seed)), "node").limit(wanted).collect()
-        pivots = np.frombuffer(b"".join(bytes(r["code"]) for r in drawn), dtype=np.int8).reshape(len(drawn), -1).astype(np.float32)
+        pivots = np.frombuffer(b"".join(bytes(r["code"]) for r in drawn), dtype=np.int8).reshape(len(drawn), dims).astype(np.float32)
         spill = min(SPILL, len(drawn))
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
