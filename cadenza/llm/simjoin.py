@@ -31,7 +31,7 @@ from cadenza.session import stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 PLACES, BRANCH, TARGET = 64, 1.5, 0.999
-LIMIT, BLOCK, DENSE, DEPTH = 512, 256, 0.75, 16
+LIMIT, BLOCK, VISITORS, DENSE, DEPTH = 512, 256, 1024, 0.75, 16
 # Estimates this far, in standard deviations, below the threshold are still verified.
 SLACK = 5.0
 CACHED_WORDS = 1 << 20
@@ -160,12 +160,15 @@ def _children(members: DataFrame, branch: float) -> DataFrame:
 
 
 def _leaves(representatives: DataFrame, runs: int, branch: float, limit: int) -> DataFrame:
-    """(bucket, rid): all nodes small enough to compare, and the blocks of those that are dense."""
+    """(bucket, rid): all nodes small enough to compare, and the blocks of those that hold similar sets."""
     roots = stored(_roots(representatives, runs))
     sizes = roots.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(roots.join(sizes, "node"))
     found = members.where(F.col("size") <= limit).select(F.col("node").alias("bucket"), "rid")
     large = members.where(F.col("size") > limit).select("node", "rid", "size")
+    if not large.isEmpty():
+        alike, large = _alike(large, runs)
+        found = found.unionByName(alike)
     depth = 1
     while not large.isEmpty():
         split = stored(_children(large.select("node", "rid").join(representatives.select("rid", "signature"), "rid").select("node", "rid", "signature"), branch))
@@ -177,22 +180,103 @@ def _leaves(representatives: DataFrame, runs: int, branch: float, limit: int) ->
         members = stored(split.select("node", "rid").join(sizes, "node"))
         found = found.unionByName(members.where(F.col("size") <= limit).select(F.col("node").alias("bucket"), "rid"))
         whole = (F.col("size") > limit) & (F.col("dense") if depth < DEPTH else F.lit(True))
-        found = found.unionByName(_blocks(members.where(whole)))
+        found = found.unionByName(_dense(members.where(whole)))
         large = members.where((F.col("size") > limit) & ~whole).select("node", "rid", "size")
         depth += 1
     return found
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Every two blocks of a node's members as one bucket, so that all its pairs are compared."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rid", "node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return own.withColumn("other", other).select(
+def _marked(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members`` with the least node each rid is in as its mark, and (node, mark, n).
+
+    Runs find much the same nodes again; members of one mark are all in the node of that name.
+    """
+    marks = members.groupBy("rid").agg(F.min("node").alias("mark"))
+    marked = stored(members.select("node", "rid", "size").join(marks, "rid"))
+    return marked, stored(marked.groupBy("node", "mark").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _own_block(rows: DataFrame) -> DataFrame:
+    blocks = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    return blocks.withColumn("own", F.pmod(F.xxhash64("rid", "node"), F.col("blocks")).cast("int"))
+
+
+def _every_block():
+    return F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+
+
+def _paired(rows: DataFrame) -> DataFrame:
+    """Buckets in which every two members of a node (node, rid, size) meet: two blocks of it each."""
+    return _own_block(rows).select("node", "rid", "own", _every_block().alias("other")).select(
         F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "rid"
     )
 
 
+def _visited(rows: DataFrame) -> DataFrame:
+    """Buckets in which members of a node's most frequent mark meet those of other marks, and these each other.
+
+    ``rows`` has (node, rid, size, marked, mark, most), ``marked`` counting the members of the most
+    frequent mark.  The others are few: mostly one block of them meets every block of the rest.
+    """
+    visitors = F.col("size") - F.col("marked")
+    blocks = {"blocks": F.ceil(F.col("marked") / BLOCK).cast("int"), "groups": F.ceil(visitors / VISITORS).cast("int")}
+    dealt = rows.where(visitors > 0).withColumns(blocks)
+    place = lambda n: F.pmod(F.xxhash64("rid", "node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    hosts = dealt.where("mark = most").select("node", "rid", place("blocks").alias("block"), every("groups").alias("group"))
+    strangers = dealt.where("mark != most")
+    guests = strangers.select("node", "rid", place("groups").alias("group"), every("blocks").alias("block"))
+    met = hosts.unionByName(guests).select(F.xxhash64("node", "block", "group", F.lit(1)).alias("bucket"), "rid")
+    among = _paired(strangers.where("groups > 1").select("node", "rid", visitors.alias("size")))
+    return met.unionByName(among)
+
+
+def _alike(large: DataFrame, runs: int) -> tuple[DataFrame, DataFrame]:
+    """Buckets for the large first nodes of similar sets, and the other ones, still to be split.
+
+    Of two members of one mark the share of runs in which they are together estimates their
+    similarity.  Where splitting would make more rows of such members than there are, all of that
+    mark are compared once, in blocks, and the nodes they fill compare only what else they hold.
+    """
+    marked, counts = _marked(large)
+    n = F.col("n").cast("double")
+    groups = counts.groupBy("mark").agg(F.sum(n * n).alias("squares"), F.max(F.when(F.col("node") == F.col("mark"), n)).alias("whole"))
+    dense = stored(groups.where(F.col("squares") >= runs * (F.col("whole") / BRANCH) ** 2).select("mark", F.col("whole").cast("bigint").alias("size")))
+    met = _paired(marked.where("node = mark").select("rid", "mark").join(dense, "mark").select(F.col("mark").alias("node"), "rid", "size"))
+    frequent = counts.join(dense.select("mark"), "mark").groupBy("node").agg(
+        F.max_by("mark", F.struct("n", "mark")).alias("most"), F.max("n").alias("marked")
+    )
+    filled = F.coalesce(2 * F.col("marked") >= F.col("size"), F.lit(False))
+    dealt = stored(marked.join(frequent, "node", "left").withColumn("filled", filled))
+    visits = _visited(dealt.where("filled").drop("filled"))
+    return met.unionByName(visits), dealt.where("not filled").select("node", "rid", "size")
+
+
+def _dense(members: DataFrame) -> DataFrame:
+    """Buckets in which every two members of a dense node (node, rid, size) meet.
+
+    A node whose most frequent mark is its own puts every two of its blocks together; in any other
+    one the members of that mark have met.
+    """
+    marked, counts = _marked(members)
+    frequent = counts.groupBy("node").agg(F.max_by("mark", F.struct("n", "mark")).alias("most"), F.max("n").alias("marked"))
+    dealt = marked.join(frequent, "node")
+    met = _paired(dealt.where("most = node").select("node", "rid", "size"))
+    return met.unionByName(_visited(dealt.where("most != node")))
+
+
+def _halved(representatives: DataFrame) -> DataFrame:
+    """(rid, signature) with the low 16 bits of every place."""
+
+    def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                low = _matrix(batch.column("signature")).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array([row.tobytes() for row in low], pa.binary())], names=["rid", "signature"])
+
+    return representatives.select("rid", "signature").mapInArrow(halve, "rid binary, signature binary")
+
+
 def _candidates(leaves: DataFrame, representatives: DataFrame, threshold: float) -> DataFrame:
     """(bucket, spot, rid, partners): in each bucket the pairs that may reach the threshold.
 
@@ -206,12 +290,13 @@ def _candidates(leaves: DataFrame, representatives: DataFrame, threshold: float)
     kept = alike.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
     members = stored(leaves.join(kept, "bucket"))
     lists = members.groupBy("rid").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-    rows = members.join(lists, "rid").join(representatives.select("rid", "signature"), "rid")
+    # Half of each minhash is enough to tell places that agree from others.
+    rows = members.join(lists, "rid").join(_halved(representatives), "rid")
     least = math.floor(PLACES * threshold - SLACK * math.sqrt(PLACES * threshold * (1 - threshold)))
 
     def compare(held: pa.RecordBatch) -> pa.RecordBatch | None:
         bucket = held.column("bucket")[0].as_py()
-        places = _matrix(held.column("signature"))
+        places = np.frombuffer(b"".join(held.column("signature").to_pylist()), dtype=np.uint16).reshape(len(held), PLACES)
         n = len(places)
         agree = np.zeros((n, n), dtype=np.uint8)
         for place in range(PLACES):
