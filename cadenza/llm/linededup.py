@@ -140,7 +140,9 @@ def _sequences(docs: DataFrame) -> DataFrame:
 
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(key columns, deleted): the places of the lines that a document loses; only documents that lose some."""
-    sequences = stored(_sequences(docs))
+    # One row per document, stored: the joins below then have plain shuffles on both sides, so that
+    # Spark can split what a first holder shared by very many documents, or a hot line, brings together.
+    sequences = stored(_sequences(docs).dropDuplicates(list(KEY)))
     order = F.struct("key_null", "key_id", "key_text")
     holdings = sequences.select(
         *KEY, F.explode(F.array_distinct(F.filter("links", lambda x, i: F.col("words")[i] > 0))).alias("link")
@@ -149,12 +151,12 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         holdings.groupBy("link").agg(F.min(order).alias("first"), F.max(order).alias("last"))
         .where("first != last").select("link", *[F.col(f"first.{k}").alias(e) for k, e in zip(KEY, _EARLIER, strict=True)])
     )
+    firsts = stored(firsts)
     other = F.struct(*KEY) != F.struct(*[F.col(c).alias(k) for k, c in zip(KEY, _EARLIER, strict=True)])
     pairs = holdings.join(firsts, "link").where(other).select(*[F.col(k).alias(c) for k, c in zip(KEY, _LATER, strict=True)], *_EARLIER).distinct()
 
     def side(names: list[str], *fields: str) -> DataFrame:
-        distinct = sequences.select(*[F.col(k).alias(c) for k, c in zip(KEY, names, strict=True)], *[F.col(f).alias(f"{names[0][:4]}_{f}") for f in fields])
-        return distinct.dropDuplicates(names)
+        return sequences.select(*[F.col(k).alias(c) for k, c in zip(KEY, names, strict=True)], *[F.col(f).alias(f"{names[0][:4]}_{f}") for f in fields])
 
     both = pairs.join(side(_LATER, "lines", "words"), _LATER).join(side(_EARLIER, "lines"), _EARLIER)
 
