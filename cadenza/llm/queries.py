@@ -108,8 +108,8 @@ WITH marked AS (
     SELECT page_id, list_transform(
         regexp_split_to_array(inner_html, '</?(p|h1)>'),
         lambda b: trim(regexp_replace(
-            replace(replace(replace(replace(replace(regexp_replace(b, '<[^>]*>', ' ', 'g'),
-                '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&amp;', '&'),
+            regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '<[^>]*>', ' ', 'g'),
+                '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&amp;?', '&', 'g'),
             '\s+', ' ', 'g'))
     ) AS parts, url FROM marked
 ), joined AS (
