@@ -3,9 +3,9 @@
 Each line is linked to its first holder, the earliest document that has it.  So a line in a
 third of all documents gives one link per document and never a pair for every two of them, and
 rare lines, which tell most, link the documents that share them.  For every distinct link the
-line hashes of both documents are aligned by patience diff; runs of aligned lines with at least
-``MIN_WORDS`` words are deleted from the later document.  What is left is aligned again until no
-run remains, which finds passages that stand in another order.
+line hashes of both documents are compared; every run of lines with at least ``MIN_WORDS`` words
+that stands in both, in whatever order and however often, is deleted from the later document.
+Runs are those of the documents as given: lines that only a deletion brings together are none.
 
 A line's first holder never loses it: nothing earlier holds it.
 """
@@ -25,6 +25,8 @@ from cadenza.llm.common import KEY, fresh, row_key, ship, slices
 from cadenza.session import stored
 
 MIN_WORDS = 10
+# Run hashes: polynomials over the line hashes.
+_PRIME, _BASE = (1 << 61) - 1, 0x1F3D5B79A2C4E681
 _LATER, _EARLIER = [f"later_{c}" for c in KEY], [f"earlier_{c}" for c in KEY]
 
 
@@ -91,26 +93,46 @@ def aligned(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _runs(lines: Sequence[int], words: Sequence[int], min_words: int) -> list[tuple[int, int, int]]:
+    """(hash, start, stop) of the shortest runs of ``min_words`` words from each start and to each end.
+
+    Every line of a longer run stands in one of these that lies within it: a longer run is
+    common to two documents exactly if all of its shortest runs are.
+    """
+    n = len(lines)
+    heads, powers, total = [0] * (n + 1), [1] * (n + 1), [0] * (n + 1)
+    for place in range(n):
+        heads[place + 1] = (heads[place] * _BASE + lines[place] + 1) % _PRIME
+        powers[place + 1] = powers[place] * _BASE % _PRIME
+        total[place + 1] = total[place] + words[place]
+    spans = set()
+    stop = 0
+    for start in range(n):
+        while stop < n and (stop <= start or total[stop] - total[start] < min_words):
+            stop += 1
+        if total[stop] - total[start] >= min_words:
+            spans.add((start, stop))
+    start = 0
+    for stop in range(1, n + 1):
+        while start + 1 < stop and total[stop] - total[start + 1] >= min_words:
+            start += 1
+        if total[stop] - total[start] >= min_words:
+            spans.add((start, stop))
+    return [((heads[stop] - heads[start] * powers[stop - start]) % _PRIME, start, stop) for start, stop in sorted(spans)]
+
+
 def shared_lines(a: Sequence[int], words: Sequence[int], b: Sequence[int], min_words: int = MIN_WORDS) -> list[int]:
     """Places in ``a`` of the lines that stand in common runs of at least ``min_words`` words."""
-    common = set(b)
-    deleted: set[int] = set()
-    while True:
-        left = [place for place in range(len(a)) if place not in deleted]
-        if not any(a[place] in common for place in left):
-            break
-        pairs = aligned([a[place] for place in left], b)
-        runs: list[list[tuple[int, int]]] = []
-        for i, j in pairs:
-            if runs and runs[-1][-1] == (i - 1, j - 1):
-                runs[-1].append((i, j))
-            else:
-                runs.append([(i, j)])
-        new = {left[i] for run in runs if sum(words[left[i]] for i, _ in run) >= min_words for i, _ in run}
-        if not new:
-            break
-        deleted |= new
-    return sorted(deleted)
+    # A line of b that a lacks ends any common run, whatever words it has.
+    known = dict(zip(a, words, strict=True))
+    held = {run for run, _, _ in _runs(b, [known.get(line, 0) for line in b], min_words)}
+    deleted: list[int] = []
+    done = 0
+    for run, start, stop in _runs(a, words, min_words):
+        if run in held:
+            deleted.extend(range(max(start, done), stop))
+            done = max(done, stop)
+    return deleted
 
 
 def _sequences(docs: DataFrame) -> DataFrame:

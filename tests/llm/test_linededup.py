@@ -107,3 +107,27 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert texts == {(0, PASSAGE): 1, (1, ""): 1, (2, None): 1, (3, ""): 1, (4, ""): 2, (None, ""): 1}
     clash = linededup.dedup_lines(copies.withColumnRenamed("deleted", "n_deleted"))
     assert "n_deleted_" in clash.columns
+
+
+def runs_by_pairs(a, words, b, least):
+    """Places of ``a`` in runs of enough words that stand in ``b``, by all pairs of places."""
+    lost = set()
+    for p in range(len(a)):
+        for q in range(len(b)):
+            n = 0
+            while p + n < len(a) and q + n < len(b) and a[p + n] == b[q + n]:
+                n += 1
+            if n and sum(words[p : p + n]) >= least:
+                lost |= set(range(p, p + n))
+    return sorted(lost)
+
+
+def test_a_long_passage_crossed_by_short_lines_is_found():
+    assert linededup.shared_lines([1, 8, 2, 3], [2, 5, 2, 60], [3, 1, 9, 2]) == [3]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=14), st.lists(st.integers(0, 6), max_size=14), st.lists(st.integers(0, 9), min_size=7, max_size=7), st.integers(1, 20))
+def test_shared_lines_equal_all_pairs(a, b, sizes, least):
+    words = [sizes[line] for line in a]
+    assert linededup.shared_lines(a, words, b, least) == runs_by_pairs(a, words, b, least)
