@@ -1,13 +1,15 @@
 """Passages that documents share, deleted from the later one by pairwise alignment.
 
-Each line is linked to its first holder, the earliest document that has it.  So a line in a
-third of all documents gives one link per document and never a pair for every two of them, and
-rare lines, which tell most, link the documents that share them.  For every distinct link the
-line hashes of both documents are compared; every run of lines with at least ``MIN_WORDS`` words
+Each shortest run of lines with at least ``MIN_WORDS`` words, from any line on or up to any line,
+is linked to its first holder, the earliest document that has it.  So a run in a third of all
+documents gives one link per document and never a pair for every two of them.  No partner is lost:
+a line of a longer run that any earlier document holds stands in a shortest one, and the first
+holder of that is earlier too.  For every distinct link the line hashes of both documents are
+compared; every run of lines with at least ``MIN_WORDS`` words
 that stands in both, in whatever order and however often, is deleted from the later document.
 Runs are those of the documents as given: lines that only a deletion brings together are none.
 
-A line's first holder never loses it: nothing earlier holds it.
+A run's first holder never loses it: nothing earlier holds it.
 """
 
 from __future__ import annotations
@@ -135,8 +137,8 @@ def shared_lines(a: Sequence[int], words: Sequence[int], b: Sequence[int], min_w
     return deleted
 
 
-def _sequences(docs: DataFrame) -> DataFrame:
-    """Key, link hash, hash and word count of every line of a document; a blank line has no words."""
+def _sequences(docs: DataFrame, min_words: int) -> DataFrame:
+    """Key, hashes of the shortest runs, hash and word count of every line of a document; a blank line has no words."""
     picked = docs.select(*row_key(F.col("doc_id"), F.col("text")), F.col("text").cast("string").alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,8 +149,8 @@ def _sequences(docs: DataFrame) -> DataFrame:
                     stripped = [line.strip() for line in text.split("\n")]
                     raw = [line.encode("utf-8", "surrogatepass") for line in stripped]
                     words.append([len(line.split()) for line in stripped])
-                    # Two independent hashes: a wrong link costs an alignment, not a line.
-                    links.append([xxhash.xxh64_intdigest(line) - (1 << 63) for line in raw])
+                    # Two independent hashes: a wrong link costs a comparison, not a line.
+                    links.append(list({run for run, _, _ in _runs([xxhash.xxh64_intdigest(line) for line in raw], words[-1], min_words)}))
                     lines.append([xxhash.xxh64_intdigest(line, 1) - (1 << 63) for line in raw])
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(k) for k in KEY], pa.array(links, pa.list_(pa.int64())), pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32()))],
@@ -163,12 +165,10 @@ def _sequences(docs: DataFrame) -> DataFrame:
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(key columns, deleted): the places of the lines that a document loses; only documents that lose some."""
     # One row per document, stored: the joins below then have plain shuffles on both sides, so that
-    # Spark can split what a first holder shared by very many documents, or a hot line, brings together.
-    sequences = stored(_sequences(docs).dropDuplicates(list(KEY)))
+    # Spark can split what a first holder shared by very many documents, or a hot run, brings together.
+    sequences = stored(_sequences(docs, min_words).dropDuplicates(list(KEY)))
     order = F.struct("key_null", "key_id", "key_text")
-    holdings = sequences.select(
-        *KEY, F.explode(F.array_distinct(F.filter("links", lambda x, i: F.col("words")[i] > 0))).alias("link")
-    )
+    holdings = sequences.select(*KEY, F.explode("links").alias("link"))
     firsts = (
         holdings.groupBy("link").agg(F.min(order).alias("first"), F.max(order).alias("last"))
         .where("first != last").select("link", *[F.col(f"first.{k}").alias(e) for k, e in zip(KEY, _EARLIER, strict=True)])
@@ -182,7 +182,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     both = pairs.join(side(_LATER, "lines", "words"), _LATER).join(side(_EARLIER, "lines"), _EARLIER)
 
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fields = [batch.column(c).to_pylist() for c in ("late_lines", "late_words", "earl_lines")]
             lost = [shared_lines(a, words, b, min_words) for a, words, b in zip(*fields, strict=True)]
@@ -191,7 +191,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             )
 
     lost = both.select(*_LATER, "late_lines", "late_words", "earl_lines").mapInArrow(
-        align, "key_id bigint, key_null int, key_text bigint, lost array<int>"
+        compare, "key_id bigint, key_null int, key_text bigint, lost array<int>"
     )
     return lost.select(*KEY, F.explode("lost").alias("line")).groupBy(*KEY).agg(F.collect_set("line").alias("deleted"))
 

@@ -131,3 +131,18 @@ def test_a_long_passage_crossed_by_short_lines_is_found():
 def test_shared_lines_equal_all_pairs(a, b, sizes, least):
     words = [sizes[line] for line in a]
     assert linededup.shared_lines(a, words, b, least) == runs_by_pairs(a, words, b, least)
+
+
+def test_equals_brute_force_on_short_shared_lines(spark):
+    rng = random.Random(11)
+    hot = [f"hot {i} " + "w " * rng.randint(0, 6) for i in range(25)] + ["", "."]
+    texts = ["one two three four five six", "a b c d e f", "one two three four five six\na b c d e f", "own\none two three four five six\na b c d e f"]
+    for i in range(120):
+        parts = [f"own {i} {n} " + "v " * rng.randint(0, 12) for n in range(rng.randint(0, 2))]
+        for _ in range(rng.randint(0, 4)):
+            start = rng.randrange(len(hot))
+            parts[rng.randint(0, len(parts)) : 0] = hot[start : start + rng.randint(1, 5)] if rng.random() < 0.7 else rng.sample(hot, 3)
+        texts.append("\n".join(line.strip() for line in parts))
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs_of(spark, texts)).collect()}
+    assert got[3] == "own"
+    assert [got[i] for i in range(len(texts))] == brute(texts, linededup.MIN_WORDS)
