@@ -5,7 +5,8 @@ highest sum, found in one scan, is the content region.  The weights are log-odds
 pages whose author marked the article (``<article>`` or ``<main>``): for a word by the kind of
 element it stands in, for a tag by its name.  An element whose name, class, id or role says that
 it is no part of an article (an advert or a form between paragraphs) scores as one tag, and what
-is in it is left out of the text.
+is in it is left out of the text.  Class, id and role do not tell of an element that wraps the
+content.
 
 Learning is a Spark count over all pages; what reaches the driver is one row per tag name and
 kind of element, both from fixed lists.
@@ -34,6 +35,8 @@ INLINE = frozenset(
 )
 BOILERPLATE = frozenset("nav header footer aside form menu dialog button select fieldset head figcaption".split())
 ARTICLE = ("article", "main")
+# Elements that hold a page's content whatever their class, id or role.
+WHOLE = frozenset(["html", "body", *ARTICLE])
 SPLITTING = frozenset(
     "p div article main section nav header footer aside form ul ol li dl dt dd table tr td th thead tbody h1 h2 h3 h4 h5 "
     "h6 blockquote pre figure figcaption address details summary hr body html head".split()
@@ -64,69 +67,117 @@ INLINE_WEIGHT = -0.25
 BOILER = "boilerplate"
 
 
-def _kind(name: str, rest: str) -> str:
+def _kind(name: str) -> str:
     """``boilerplate`` or the element's name."""
     if name in BOILERPLATE:
         return BOILER
-    if rest:
-        for found in _NAMED.finditer(rest):
-            if any(w.lower() in MARKS for w in _WORD.findall(found[1] or found[2] or found[3] or "")):
-                return BOILER
     return name if name in SPLITTING or name in INLINE else "other"
 
 
+def _marked(name: str, rest: str) -> bool:
+    """Whether class, id or role say that the element is no part of the article."""
+    if not rest or name in WHOLE:
+        return False
+    return any(
+        w.lower() in MARKS for found in _NAMED.finditer(rest) for w in _WORD.findall(found[1] or found[2] or found[3] or "")
+    )
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
     """(tag, text, element, article) in order: a tag name with its slash, or a text with tag ''.
 
     ``element`` is the kind of the closest block element around a text, ``boilerplate`` if any
     element around it is of that kind; ``article`` tells whether an article element is around it.
+
+    An element marked by class, id or role is boilerplate unless it holds the page's largest
+    article element or most of the page's words; outside a page's only article element it is so
+    whatever its words.
     """
-    stack: list[tuple[str, str]] = []
+    # Name, kind and, of a marked element, its number.
+    stack: list[tuple[str, str, int]] = []
     boiler = article = 0
     at = 0
+    # By number (0: the page): the marked element around it, its words, whether an article is around it.
+    parent, words, inside_article = [0], [0], [False]
+    # Of every outermost article element: its words, the marked element around it.
+    articles: list[list[int]] = []
+    held: list[tuple[str, str, str, bool, int]] = []
+    mark = 0
 
     def element() -> str:
         if boiler:
             return BOILER
-        return next((kind for _, kind in reversed(stack) if kind not in INLINE), "body")
+        return next((kind for _, kind, _ in reversed(stack) if kind not in INLINE), "body")
 
     def drop() -> None:
-        nonlocal boiler, article
-        name, kind = stack.pop()
+        nonlocal boiler, article, mark
+        name, kind, number = stack.pop()
         boiler -= kind == BOILER
         article -= name in ARTICLE
+        if number:
+            mark = parent[number]
+
+    def add(tag: str, text: str, kind: str) -> None:
+        held.append((tag, text, kind, article > 0, mark))
+        if not tag and kind != BOILER:
+            n = len(text.split())
+            words[mark] += n
+            if article:
+                articles[-1][0] += n
 
     for found in _TOKEN.finditer(page):
         if found.start() > at:
-            yield "", page[at : found.start()], element(), article > 0
+            add("", page[at : found.start()], element())
         at = found.end()
         name = (found["name"] or "").lower()
         if not name:
-            yield (found["raw"] or "!").lower(), "", BOILER, article > 0
+            add((found["raw"] or "!").lower(), "", BOILER)
             continue
         if found["close"]:
-            if any(n == name for n, _ in stack):
+            if any(n == name for n, _, _ in stack):
                 while stack[-1][0] != name:
                     drop()
                 drop()
-            yield "/" + name, "", element(), article > 0
+            add("/" + name, "", element())
             continue
         if name in SPLITTING:
             for closing in _CLOSED_BY_BLOCK | ({name} if name in ("li", "dt", "dd", "tr", "td", "th") else set()):
-                inside = [n for n, _ in stack]
+                inside = [n for n, _, _ in stack]
                 if closing in inside and not {"table", "ul", "ol"} & set(inside[len(inside) - inside[::-1].index(closing) :]):
                     while stack[-1][0] != closing:
                         drop()
                     drop()
         rest = found["rest"]
         if name not in VOID and not rest.rstrip().endswith("/"):
-            kind = _kind(name, rest)
-            stack.append((name, kind))
+            kind, number = _kind(name), 0
+            if kind != BOILER and _marked(name, rest):
+                number = len(parent)
+                parent.append(mark)
+                words.append(0)
+                inside_article.append(article > 0)
+                mark = number
+            if name in ARTICLE and not article:
+                articles.append([0, 0 if boiler else mark])
+            stack.append((name, kind, number))
             boiler += kind == BOILER
             article += name in ARTICLE
-        yield name, "", element(), article > 0
+        add(name, "", element())
     if at < len(page):
-        yield "", page[at:], element(), article > 0
+        add("", page[at:], element())
+
+    for number in range(len(parent) - 1, 0, -1):
+        words[parent[number]] += words[number]
+    wraps = set()
+    number = max(articles)[1] if articles else 0
+    while number:
+        wraps.add(number)
+        number = parent[number]
+    out = [False] * len(parent)
+    for number in range(1, len(parent)):
+        few = 2 * words[number] <= words[0] or len(articles) == 1 and articles[0][0] > 0 and not inside_article[number]
+        out[number] = out[parent[number]] or number not in wraps and few
+    for tag, text, kind, within, number in held:
+        yield tag, text, BOILER if out[number] else kind, within
 
 
 def learn(pages: DataFrame) -> dict[str, float]:

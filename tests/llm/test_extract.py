@@ -67,3 +67,24 @@ def test_rows(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert next(r for r in got if r["page_id"] == 3)["text"].count("\n\n") == 19_999
     assert extract.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("opened", ["<body class='single no-sidebar'>", "<body><div id=main class='with-sidebar'>", "<body><div class=has-header><div role=search>"])
+def test_wrappers_with_marked_classes(weights, opened):
+    page = page_of(ARTICLE).replace("<body>", opened)
+    assert extract.main_text(page, weights) == WANT
+    assert any(article and element != extract.BOILER for _, _, element, article in extract.tokens(page))
+    assert extract.main_text(page.replace("article>", "div>"), weights) == WANT
+
+
+@pytest.mark.parametrize("opened", ["<article class='post comment-status-open'>", "<main class='has-header'>", "<article><div class='social-story'>"])
+def test_article_elements_with_marked_classes(weights, opened):
+    closed = "</main>" if "main" in opened else "</article>"
+    page = page_of(ARTICLE.replace("<article>", opened).replace("</article>", closed))
+    assert extract.main_text(page, weights) == WANT
+
+
+def test_long_comments_beside_an_article_stay_out(weights):
+    comments = '<div id="comments">' + "<p>Reader one says a lot of words here today.</p>" * 50 + "</div>"
+    for page in (page_of(ARTICLE + comments), page_of('<div class="with-sidebar">' + ARTICLE + comments + "</div>")):
+        assert extract.main_text(page, weights) == WANT
