@@ -33,7 +33,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img".split()
 )
-BOILERPLATE = frozenset("nav header footer aside form menu dialog button select fieldset head figcaption".split())
+BOILERPLATE = frozenset("nav header footer aside form menu dialog button select fieldset head".split())
 ARTICLE = ("article", "main")
 # Elements that hold a page's content whatever their class, id or role.
 WHOLE = frozenset(["html", "body", *ARTICLE])
@@ -53,7 +53,8 @@ _CLOSED_BY_BLOCK = frozenset(["p"])
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    # A raw element that closes itself is empty, unless its own close tag comes before any other tag.
+    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>]*/>(?![^<]*</(?P=raw)\s*>)|[^>]*>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
@@ -67,19 +68,20 @@ INLINE_WEIGHT = -0.25
 BOILER = "boilerplate"
 
 
-def _kind(name: str) -> str:
-    """``boilerplate`` or the element's name."""
-    if name in BOILERPLATE:
+def _kind(name: str, article: int) -> str:
+    """``boilerplate`` or the element's name; the header of an article is part of it."""
+    if name in BOILERPLATE and not (article and name == "header"):
         return BOILER
     return name if name in SPLITTING or name in INLINE else "other"
 
 
-def _marked(name: str, rest: str) -> bool:
+def _marked(name: str, rest: str, article: int) -> bool:
     """Whether class, id or role say that the element is no part of the article."""
     if not rest or name in WHOLE:
         return False
+    marks = MARKS - {"header"} if article else MARKS
     return any(
-        w.lower() in MARKS for found in _NAMED.finditer(rest) for w in _WORD.findall(found[1] or found[2] or found[3] or "")
+        w.lower() in marks for found in _NAMED.finditer(rest) for w in _WORD.findall(found[1] or found[2] or found[3] or "")
     )
 
 
@@ -149,8 +151,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
                     drop()
         rest = found["rest"]
         if name not in VOID and not rest.rstrip().endswith("/"):
-            kind, number = _kind(name), 0
-            if kind != BOILER and _marked(name, rest):
+            kind, number = _kind(name, article), 0
+            if kind != BOILER and _marked(name, rest, article):
                 number = len(parent)
                 parent.append(mark)
                 words.append(0)
@@ -222,11 +224,14 @@ def learn(pages: DataFrame) -> dict[str, float]:
 
 def score(token: tuple[str, str, str, bool], weights: dict[str, float]) -> float:
     """What a token adds to a run; an element of boilerplate costs its closing tag, whatever is in it."""
-    tag, text, element, _ = token
+    tag, text, element, article = token
     if element == BOILER:
         return 0.0
     if tag:
         name = tag.strip("/")
+        if article and name == "header":
+            # What pages teach of this tag is of headers outside.
+            return WEAKEST_TAG
         return min(weights.get("t:" + name, INLINE_WEIGHT if name in INLINE else TAG_WEIGHT), 0.0)
     return weights.get("w:" + element, WORD_WEIGHT) * len(text.split())
 

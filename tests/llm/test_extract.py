@@ -88,3 +88,19 @@ def test_long_comments_beside_an_article_stay_out(weights):
     comments = '<div id="comments">' + "<p>Reader one says a lot of words here today.</p>" * 50 + "</div>"
     for page in (page_of(ARTICLE + comments), page_of('<div class="with-sidebar">' + ARTICLE + comments + "</div>")):
         assert extract.main_text(page, weights) == WANT
+
+
+def test_captions_and_headlines_of_an_article(weights):
+    text = "<p>Words of a paragraph that is as long as one line.</p>"
+    for opened in ("<header>", "<header class='entry-header'>", "<div class='post-header'>"):
+        closed, head = ("</div>", "A headline of eight words stands right here") if "div" in opened else ("</header>", "A headline")
+        article = f"<article>{opened}<h1>{head}</h1>{closed}{text}<figure><img src=x><figcaption>A caption</figcaption></figure>{text}</article>"
+        site = page_of("<header>Name of the site</header>" + article)
+        assert extract.main_text(site, weights).split("\n\n") == [head, text[3:-4], "A caption", text[3:-4]]
+
+
+@pytest.mark.parametrize("empty", ['<svg class="i"/>', "<svg/>", '<iframe src="x" />', "<textarea/>", "<script src='x'/>"])
+def test_raw_elements_that_close_themselves(weights, empty):
+    for rest in ("", "<script>var a = 1 < 2;</script>", "<svg><path d='x'/><text>drawn words</text></svg>"):
+        assert extract.main_text(f"<article><p>one</p>{empty}<p>two three</p>{rest}</article>", weights) == "one\n\ntwo three"
+    assert extract.main_text("<article><p>one two</p><textarea/>typed words</textarea><p>three</p></article>", weights) == "one two\n\nthree"
