@@ -4,8 +4,8 @@ Every node keeps its ``DEGREE`` nearest nodes known so far.  The first lists com
 tilings of the space.  Then, round by round, joins bring the neighbours of each node
 together, forward and backward: the nodes near one node are compared with each other where at
 least one of the two is new to it, and every node keeps the best of what it had and heard.
-Nodes travel with one byte per component; the nearest found are scored again in double precision
-on the original vectors.
+Nodes travel with the components as given, float or double, so that vectors of any mix of lengths
+are told apart; distances are taken in double precision.
 
 A query starts at its own node, or at sampled entries, and joins by joins expands the nearest
 nodes not yet expanded until none of its ``BEAM`` best is left.
@@ -65,21 +65,25 @@ def _nodes(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
 
 
 def _coded(nodes: DataFrame, dims: int) -> DataFrame:
-    """(node, code): one byte per component, on one scale for all."""
-    top = nodes.select(F.max(F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))).alias("top")).first()["top"] or 1.0
+    """(node, code): the bytes of the components, in the precision they are given in."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                scaled = np.rint(_vectors(batch.column("vector"), dims).astype(np.float64) * (127.0 / top)).astype(np.int8)
-                codes = pa.array([row.tobytes() for row in scaled], pa.binary())
+                codes = pa.array([row.tobytes() for row in _vectors(batch.column("vector"), dims)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("node"), codes], names=["node", "code"])
 
     return nodes.mapInArrow(code, "node bigint, code binary")
 
 
+def _numbers(codes: list[bytes], dims: int) -> np.ndarray:
+    """The components of ``codes``, which are of 4 or 8 bytes each."""
+    kind = np.float64 if codes and len(codes[0]) == 8 * dims else np.float32
+    return np.frombuffer(b"".join(codes), dtype=kind).reshape(len(codes), dims).astype(np.float64)
+
+
 def _decoded(column: pa.Array, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.int8).reshape(len(column), dims).astype(np.float32)
+    return _numbers(column.to_pylist(), dims)
 
 
 def _squares(x: np.ndarray) -> np.ndarray:
@@ -99,7 +103,7 @@ def _first_lists(coded: DataFrame, dims: int, count: int, degree: int) -> DataFr
 
     def tiling(seed: int) -> DataFrame:
         drawn = coded.orderBy(F.xxhash64("node", F.lit(_SEED + seed)), "node").limit(wanted).collect()
-        pivots = np.frombuffer(b"".join(bytes(r["code"]) for r in drawn), dtype=np.int8).reshape(len(drawn), dims).astype(np.float32)
+        pivots = _numbers([bytes(r["code"]) for r in drawn], dims)
         spill = min(SPILL, len(drawn))
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,13 +134,13 @@ def _first_lists(coded: DataFrame, dims: int, count: int, degree: int) -> DataFr
                     np.fill_diagonal(dist, np.inf)
                     near = np.argpartition(dist, k - 1, axis=1)[:, :k]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(names[rows], k)), pa.array(names[rows[near]].ravel()), pa.array(np.take_along_axis(dist, near, 1).ravel().astype(np.float32))],
+                        [pa.array(np.repeat(names[rows], k)), pa.array(names[rows[near]].ravel()), pa.array(np.take_along_axis(dist, near, 1).ravel())],
                         names=["node", "nbr", "dist"],
                     )
 
         placed = coded.mapInArrow(assign, "node bigint, code binary, cell int")
         dealt = placed.repartitionByRange(parts, "cell", F.xxhash64("node")).sortWithinPartitions("cell", "node")
-        return dealt.mapInArrow(compare, "node bigint, nbr bigint, dist float")
+        return dealt.mapInArrow(compare, "node bigint, nbr bigint, dist double")
 
     found = tiling(0)
     for seed in range(1, TILINGS):
@@ -164,7 +168,7 @@ def _round(graph: DataFrame, coded: DataFrame, dims: int, degree: int, sample: i
     members = members.groupBy("pivot", "member").agg(F.max("fresh").alias("fresh"))
     reach = graph.groupBy("node").agg(F.max("dist").alias("reach"), F.count(F.lit(1)).alias("n"))
     known = coded.join(reach, "node", "left").select(
-        F.col("node").alias("member"), "code", F.when(F.col("n") >= degree, F.col("reach")).otherwise(float("inf")).cast("float").alias("reach")
+        F.col("node").alias("member"), "code", F.when(F.col("n") >= degree, F.col("reach")).otherwise(float("inf")).alias("reach")
     )
     rows = members.join(known, "member").select("pivot", "member", "fresh", "reach", "code")
 
@@ -185,11 +189,11 @@ def _round(graph: DataFrame, coded: DataFrame, dims: int, degree: int, sample: i
                 far.append(dist[i, j])
             if left:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(left)), pa.array(np.concatenate(right)), pa.array(np.concatenate(far).astype(np.float32))],
+                    [pa.array(np.concatenate(left)), pa.array(np.concatenate(right)), pa.array(np.concatenate(far))],
                     names=["node", "nbr", "dist"],
                 )
 
-    heard = rows.repartition("pivot").sortWithinPartitions("pivot", "member").mapInArrow(compare, "node bigint, nbr bigint, dist float")
+    heard = rows.repartition("pivot").sortWithinPartitions("pivot", "member").mapInArrow(compare, "node bigint, nbr bigint, dist double")
     old = ranked.select("node", "nbr", "dist", F.when(F.col("drawn"), 0).otherwise(F.col("fresh")).alias("fresh"))
     return _best(old.unionByName(heard.select("node", "nbr", "dist", F.lit(1).alias("fresh"))), degree)
 
@@ -207,7 +211,7 @@ def build_graph(coded: DataFrame, dims: int, degree: int = DEGREE, sample: int =
 
 
 def _measured(pairs: DataFrame, coded: DataFrame, asked: DataFrame, dims: int) -> DataFrame:
-    """(query_id, node, far): squared distances of pairs (query_id, node) between codes."""
+    """(query_id, node, far): squared distances of pairs (query_id, node)."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,7 +222,7 @@ def _measured(pairs: DataFrame, coded: DataFrame, asked: DataFrame, dims: int) -
                 )
 
     rows = pairs.join(coded, "node").join(asked, "query_id").select("query_id", "node", "asked", "code")
-    return rows.mapInArrow(measure, "query_id bigint, node bigint, far float")
+    return rows.mapInArrow(measure, "query_id bigint, node bigint, far double")
 
 
 def _scored(pairs: DataFrame, nodes: DataFrame, queries: DataFrame, dims: int) -> DataFrame:

@@ -59,3 +59,23 @@ def test_recall(spark):
         d[ids == q] = np.inf
         hits += len(near[q] & set(ids[np.argsort(d)[:10]].tolist()))
     assert len(near) == (ids % 100 == 0).sum() and hits >= 0.9 * 10 * len(near)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_recall_beside_very_long_vectors(spark, kind):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 16))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    x[:500] *= rng.choice([1e-3, 1e3], 500)[:, None]
+    x[500:505, 0] = 1e4, -1e6, 3e8, 1e4, 30
+    x = x.astype(np.float32).astype(np.float64)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id bigint, embedding array<{kind}>")
+    near = {}
+    for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0).collect():
+        near.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in near:
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(near[q] & set(np.argsort(d)[:10].tolist()))
+    assert len(near) == 100 and hits >= 0.9 * 10 * len(near)
