@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, decontam, extract, linededup, neighbours, packing, quality, secrets, simjoin, warc
+from cadenza.llm import chat, decontam, extract, infill, linededup, neighbours, packing, quality, secrets, simjoin, warc
 from cadenza.llm.common import columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,10 +64,15 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digests(infill.restore(infill.transform(_table(spark, folder, "documents"))))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_neighbours, op2_leaks, op3_line_dedup, op4_secrets, op5_chat, op6_similar, op7_warc, op8_quality, op9_extract, op10_packing
+        op1_neighbours, op2_leaks, op3_line_dedup, op4_secrets, op5_chat, op6_similar, op7_warc, op8_quality, op9_extract,
+        op10_packing, op13_infill,
     )
 }
 
@@ -144,4 +149,28 @@ SELECT doc_id, class_id, coalesce(n, 0)::BIGINT AS n_links
 FROM documents JOIN classes ON classes.x = doc_id LEFT JOIN counts ON counts.x = doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_chat": _CHAT_SQL, "op6_similar": _SIMILAR_SQL, "op7_warc": _WARC_SQL, "op9_extract": _EXTRACT_SQL}
+_INFILL_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), draws AS (
+    SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS p, ('0x' || h[9:16])::BIGINT % (n + 1) AS q,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90
+             THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM texts
+), blocks AS (
+    SELECT *, substring(t, 1, least(p, q)) AS prefix, substring(t, least(p, q) + 1, abs(p - q)) AS middle,
+        substring(t, greatest(p, q) + 1) AS suffix
+    FROM draws
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(p, q) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN abs(p - q) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM blocks
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat": _CHAT_SQL, "op6_similar": _SIMILAR_SQL, "op7_warc": _WARC_SQL, "op9_extract": _EXTRACT_SQL, "op13_infill": _INFILL_SQL,
+}
