@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, decontam, extract, infill, linededup, neighbours, packing, quality, secrets, simjoin, warc
+from cadenza.llm import chat, decontam, extract, infill, linededup, neighbours, packing, quality, secrets, simjoin, tokenfiles, warc
 from cadenza.llm.common import columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,13 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest = tokenfiles.write(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfiles.read(spark, manifest)
+
+
 def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
     return infill.digests(infill.restore(infill.transform(_table(spark, folder, "documents"))))
 
@@ -72,7 +79,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_neighbours, op2_leaks, op3_line_dedup, op4_secrets, op5_chat, op6_similar, op7_warc, op8_quality, op9_extract,
-        op10_packing, op13_infill,
+        op10_packing, op12_token_files, op13_infill,
     )
 }
 
