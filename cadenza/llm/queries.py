@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, decontam, extract, infill, linededup, neighbours, packing, quality, secrets, simjoin, tokenfiles, warc
+from cadenza.llm import chat, decontam, extract, infill, linededup, neighbours, packing, quality, secrets, simjoin, tokenfiles, variants, warc
 from cadenza.llm.common import columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op11_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(_table(spark, folder, "documents"))
+
+
 def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -79,7 +83,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_neighbours, op2_leaks, op3_line_dedup, op4_secrets, op5_chat, op6_similar, op7_warc, op8_quality, op9_extract,
-        op10_packing, op12_token_files, op13_infill,
+        op10_packing, op11_variants, op12_token_files, op13_infill,
     )
 }
 
