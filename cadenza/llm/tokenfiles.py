@@ -29,13 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from cadenza.llm.common import columns, ship
 from cadenza.session import shared_folder, stored
@@ -51,8 +52,9 @@ DICTIONARY_BYTES = 112 << 10
 SAMPLE_DOCS, SAMPLE_IDS = 2048, 4096
 FILE_BYTES = 256 << 20
 OUT_BYTES = 8 << 20
-CHUNK_CHARS = 4096
-KNOWN_WORDS = 1 << 18
+CHUNK_CHARS = 1 << 14
+KNOWN_WORDS = 1 << 19
+LONG_BYTES, SLICE_BYTES = 4 << 20, 8 << 20
 
 # The published split of byte-level BPE, spelt out for code points below U+0250 and common punctuation, whose
 # classes are settled; texts with others go to the library's own splitter.
@@ -64,6 +66,10 @@ _SPLIT = (
     f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
 _UNSETTLED = "[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]"
+# Stands between words, as no settled text holds it.
+BETWEEN = "\u2060"
+# What keeps a text from being split at its spaces alone: such code points, rare spaces, a space behind another or at the end.
+_IRREGULAR = r"[\t\x0b-\r\x{85}\x{a0}\x{250}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{20ab}\x{20ad}-\x{10ffff}]|[ \n] | \z"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -76,10 +82,10 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of whole texts as bytes, equal to the library's, faster where words recur.
 
-    A byte-level BPE splits a text into words and merges within each.  For such a tokenizer a text is
-    split here, and the library's model is asked once for each word among the ``KNOWN_WORDS`` last
-    met.  Other tokenizers, and chunks with code points whose class this module does not state, are
-    encoded by the library whole.
+    A byte-level BPE splits a text into words and merges within each.  For such a tokenizer texts are
+    split here, and the library merges each word once: those unknown so far, without its own splitter,
+    in one call.  Other tokenizers, and chunks with code points whose class this module does not
+    state, are encoded by the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -100,32 +106,73 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.letters = _byte_letters()
         self.words, self.unsettled = re.compile(_SPLIT), re.compile(_UNSETTLED)
+        self.irregular = "|".join([_IRREGULAR, *map(re.escape, self.added)])
+        self.merger = Tokenizer.from_file(path)
+        self.merger.pre_tokenizer = pre_tokenizers.Split(self._letters(BETWEEN), "removed")
+
+    def _letters(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.letters)
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.kind).tobytes()
 
-    def _whole(self, text: str) -> bytes:
-        return self._packed(self.library.encode(text, add_special_tokens=False).ids)
+    def _learn(self, words: list[str]) -> None:
+        """Know these words of settled code points."""
+        found = self.merger.encode(self._letters(BETWEEN.join(words)), add_special_tokens=False)
+        data, of = self._packed(found.ids), np.array(found.word_ids)
+        stops = (np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(of)) * self.kind.itemsize).tolist()
+        self.known.update(zip(words, map(data.__getitem__, map(slice, [0, *stops], stops)), strict=True))
 
     def _by_words(self, text: str) -> bytes:
         words = self.words.findall(text)
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        known, model = self.known, self.library.model
-        for word in set(words).difference(known):
-            shown = word.encode().decode("latin-1").translate(self.letters)
-            known[word] = self._packed([t.id for t in model.tokenize(shown)])
-        return b"".join(map(known.__getitem__, words))
+        if unknown := set(words).difference(self.known):
+            self._learn(list(unknown))
+        return b"".join(map(self.known.__getitem__, words))
+
+    def _whole(self, text: str) -> bytes:
+        return self._packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def _chunk(self, text: str) -> bytes:
+        if self.unsettled.search(text) or any(t in text for t in self.added):
+            return self._whole(text)
+        return self._by_words(text)
 
     def pack(self, text: str) -> bytes:
         """The serialized ids of a whole text."""
-        if not self.by_words:
-            return self._whole(text)
-        out = []
-        for chunk in chunks(text, CHUNK_CHARS if self.unsettled.search(text) else 16 * CHUNK_CHARS):
-            plain = not self.unsettled.search(chunk) and not any(t in chunk for t in self.added)
-            out.append(self._by_words(chunk) if plain else self._whole(chunk))
-        return b"".join(out)
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        return b"".join(map(self._chunk, chunks(text, CHUNK_CHARS))) if self.by_words else self._whole(text)
+
+    def _parts(self, parts: pa.Array) -> pa.Array:
+        """The ids of each part with a space before it; none is empty or holds a space."""
+        words = pa.array(self.words.findall(" " + " ".join(parts.to_numpy(zero_copy_only=False))), pa.string())
+        coded = words.dictionary_encode()
+        each = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if unknown := [w for w in each if w not in self.known]:
+            self._learn(unknown)
+        _, ends, data = pa.array(map(self.known.__getitem__, each), pa.large_binary()).take(coded.indices).buffers()
+        # Exactly the first word of a part begins with a space.
+        first = np.flatnonzero(pc.starts_with(words, " ").to_numpy(zero_copy_only=False))
+        edges = np.frombuffer(ends, dtype=np.int64)[np.append(first, len(words))]
+        return pa.Array.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(edges), data])
+
+    def pack_all(self, texts: pa.Array) -> list[bytes]:
+        """``pack`` of every text; a null one is empty.  Texts regular enough are split at spaces as one column, each part once."""
+        texts = pc.fill_null(texts, "")
+        regular = pc.and_(pc.invert(pc.match_substring_regex(texts, self.irregular)), pc.less(pc.binary_length(texts), LONG_BYTES))
+        split = pc.split_pattern(texts.filter(regular), " ")
+        tails = pc.list_slice(split, 1)
+        coded = tails.flatten().dictionary_encode()
+        if not self.by_words or not len(coded):
+            return [self.pack(t.as_py()) for t in texts]
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        _, ends, data = self._parts(coded.dictionary).take(coded.indices).buffers()
+        edges = np.frombuffer(ends, dtype=np.int64)[tails.offsets.to_numpy() - tails.offsets[0].as_py()].tolist()
+        # The first part of a text has no space before it.
+        heads = pc.list_element(split, 0).to_pylist()
+        packed = (self._by_words(head) + data[a:b].to_pybytes() for head, a, b in zip(heads, edges[:-1], edges[1:], strict=True))
+        return [next(packed) if plain else self.pack(t.as_py()) for t, plain in zip(texts, regular.to_pylist(), strict=True)]
 
 
 def chunks(text: str, size: int) -> Iterator[str]:
@@ -143,8 +190,17 @@ def chunks(text: str, size: int) -> Iterator[str]:
     yield text[start:]
 
 
-def _serialized(encoder: Encoder, text: str | None) -> bytes:
-    return encoder.pack(text or "") + np.array([END_ID], dtype=encoder.kind).tobytes()
+def serialized(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Parts of the batch of bounded bytes, with the ids of each text and the end id as bytes."""
+    end = np.array([END_ID], dtype=encoder.kind).tobytes()
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(batch):
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, side="right")))
+        part = batch.slice(start, stop - start)
+        yield part, [ids + end for ids in encoder.pack_all(part.column("text"))]
+        start = stop
 
 
 def train(docs: DataFrame, tokenizer: str, sample_docs: int = SAMPLE_DOCS, sample_ids: int = SAMPLE_IDS, size: int = DICTIONARY_BYTES) -> bytes:
@@ -163,8 +219,8 @@ def train(docs: DataFrame, tokenizer: str, sample_docs: int = SAMPLE_DOCS, sampl
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, samples = Encoder(tokenizer), []
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                samples.append(_serialized(encoder, text)[: sample_ids * encoder.kind.itemsize])
+            for _, found in serialized(encoder, batch):
+                samples.extend(ids[: sample_ids * encoder.kind.itemsize] for ids in found)
         try:
             found = zstandard.train_dictionary(size, samples).as_bytes()
         except (zstandard.ZstdError, ValueError):
@@ -187,19 +243,14 @@ def frames(docs: DataFrame, tokenizer: str, dictionary: bytes, level: int = LEVE
         shared = _dictionary(dictionary)
         packer = zstandard.ZstdCompressor(level=level, dict_data=shared) if shared else zstandard.ZstdCompressor(level=level)
         for batch in batches:
-            start, held, sizes, packed = 0, 0, [], []
-            for row, text in enumerate(batch.column("text")):
-                data = _serialized(encoder, text.as_py())
-                sizes.append(len(data) // encoder.kind.itemsize)
-                packed.append(packer.compress(data))
-                held += len(packed[-1])
-                if held >= OUT_BYTES or row == len(batch) - 1:
-                    part = batch.slice(start, len(packed))
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), part.column("mark"), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
-                        names=["doc_id", "mark", "n_tokens", "frame"],
-                    )
-                    start, held, sizes, packed = row + 1, 0, [], []
+            for part, found in serialized(encoder, batch):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), part.column("mark"), pa.array([len(ids) // encoder.kind.itemsize for ids in found], pa.int64()),
+                        pa.array([packer.compress(ids) for ids in found], pa.binary()),
+                    ],
+                    names=["doc_id", "mark", "n_tokens", "frame"],
+                )
 
     rows = columns(docs, doc_id="bigint", text="string").select("doc_id", F.xxhash64("text").alias("mark"), "text")
     return rows.mapInArrow(compress, "doc_id bigint, mark bigint, n_tokens bigint, frame binary")

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -34,12 +35,22 @@ def test_ids_are_the_librarys(text):
     assert own_ids(text) == library_ids(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=24).map("".join), max_size=9))
+def test_texts_of_a_column(texts):
+    got = [np.frombuffer(b, dtype=ENCODER.kind).tolist() for b in ENCODER.pack_all(pa.array([*texts, None], pa.string()).slice(0))]
+    assert got == [*map(library_ids, texts), []]
+
+
 def test_every_settled_code_point():
     settled = [chr(p) for p in range(0x2100) if not ENCODER.unsettled.search(chr(p))]
     assert len(settled) > 600
     for c in settled:
         for text in (c, f"a{c}b", f"a {c} 1{c}", f"{c}{c}\n{c}", f" {c}", f"{c} ", f"'{c}s"):
             assert own_ids(text) == library_ids(text), (hex(ord(c)), text)
+    texts = [f"a{c} b {c}d {c} e" for c in map(chr, [*range(0xD800), *range(0xE000, 0x11000)])]
+    for text, ids in zip(texts, ENCODER.pack_all(pa.array(texts)), strict=True):
+        assert np.frombuffer(ids, dtype=ENCODER.kind).tolist() == library_ids(text), text
 
 
 @settings(max_examples=200, deadline=None)
