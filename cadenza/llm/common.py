@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import sys
 from collections.abc import Iterator
 
@@ -73,7 +72,22 @@ def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
-@functools.cache
+class Once:
+    """A function without arguments whose value is made at first use in each process; it travels unmade, by value."""
+
+    def __init__(self, make) -> None:
+        self.make, self.made = make, None
+
+    def __call__(self):
+        if self.made is None:
+            self.made = self.make()
+        return self.made
+
+    def __reduce__(self):
+        return Once, (self.make,)
+
+
+@Once
 def folded() -> np.ndarray:
     """For each code point of the basic plane its lower case, 0 for what is neither letter nor digit."""
     table = np.zeros(1 << 16, dtype=np.uint32)

@@ -13,7 +13,6 @@ matrix per class.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import code_points, ship, slices, sums
+from cadenza.llm.common import Once, code_points, ship, slices, sums
 from cadenza.session import stored
 
 # What is counted, and for each ratio: numerator, denominator, pseudo-count of the denominator.
@@ -36,7 +35,7 @@ THRESHOLD = 0.7
 BLEND, DIAGONAL, RIDGE = 0.1, 0.1, 1e-4
 
 
-@functools.cache
+@Once
 def _kinds() -> np.ndarray:
     """Per code point of the basic plane: 0 space, 1 lower letter, 2 upper letter, 3 digit, 4 stop, 5 symbol."""
     kinds = np.full(1 << 16, 5, dtype=np.uint8)

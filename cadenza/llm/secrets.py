@@ -9,7 +9,6 @@ count only if it is right.
 
 from __future__ import annotations
 
-import functools
 import re
 import string
 import zlib
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import ship, slices
+from cadenza.llm.common import Once, ship, slices
 
 BASE62 = string.digits + string.ascii_uppercase + string.ascii_lowercase
 CHECKSUM_DIGITS = 6
@@ -63,7 +62,7 @@ KINDS = (ASSIGN, ACCESS, HEX, GITHUB, NPM, PEM)
 BASE = 3
 
 
-@functools.cache
+@Once
 def _automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
     """One for words in either case, to be run on lower case, one for exact words."""
     either, exact = ahocorasick.Automaton(), ahocorasick.Automaton()
