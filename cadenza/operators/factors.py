@@ -1,8 +1,9 @@
-"""Collaborative filtering: implicit ALS and truncated SVD."""
+"""Collaborative filtering: implicit ALS, truncated SVD, and new listeners without a refit."""
 
 from __future__ import annotations
 
 import sys
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil
@@ -13,6 +14,7 @@ from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 
 from cadenza.operators.content import with_metadata
 from cadenza.operators.ids import dense_ids, encode, hash_split
@@ -22,7 +24,9 @@ from cadenza.operators.topk import top_k_dot
 from cadenza.session import shared_folder, stored
 
 RATINGS_PER_BLOCK, LEAST_RATINGS_PER_BLOCK, SMALL_BLOCKS = 500_000, 10_000, 8
-OVERSAMPLED, MAX_STEPS, SETTLED = 10, 30, 1e-6
+OVERSAMPLED, MAX_STEPS, SETTLED, HELD_BLOCKS = 10, 40, 1e-7, 3
+# Users or tracks of one cell of the ratings matrix; a task holds so many vectors of each.
+CELL_ROWS, SUM_TASKS = 65_536, 16
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,6 +41,9 @@ class Factorisation:
     test: DataFrame
     predictions: DataFrame  # test rows with a prediction
     model: ALSModel | None = None
+    singular_values: tuple[float, ...] = ()
+    steps: int = 0
+    settled: bool = True  # False: an SVD that ended at its last step
 
 
 def _blocks(ratings: int) -> int:
@@ -75,12 +82,17 @@ def fit_als(
     return Factorisation(users, tracks, train, test, model.transform(test), model)
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+def _matrix(batch: pa.RecordBatch, column: str = "vector") -> np.ndarray:
+    return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+
+
+def _arrays(matrix: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(matrix).ravel()))
 
 
 def _gram(vectors: DataFrame, width: int) -> np.ndarray:
-    """Sum of the outer products of all vectors: one row per task, ``width`` squared numbers in the end."""
+    """Sum of the outer products of all vectors: a matrix per task, summed by a few tasks, then on the driver."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((width, width))
@@ -88,13 +100,18 @@ def _gram(vectors: DataFrame, width: int) -> np.ndarray:
             if len(batch):
                 x = _matrix(batch)
                 held += x.T @ x
-        yield pa.RecordBatch.from_pydict({"sums": pa.array([held.ravel().tolist()], pa.list_(pa.float64()))})
+        slot = TaskContext.get().partitionId() % SUM_TASKS
+        yield pa.RecordBatch.from_pydict({"slot": pa.array([slot], pa.int32()), "sums": pa.array([held.tobytes()], pa.binary())})
 
-    sums = vectors.select("vector").mapInArrow(part, "sums array<double>").select(F.posexplode("sums").alias("place", "value"))
-    out = np.zeros(width * width)
-    for row in sums.groupBy("place").agg(F.sum("value").alias("value")).collect():
-        out[row["place"]] = row["value"]
-    return out.reshape(width, width)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(width * width)
+        for batch in batches:
+            for sums in batch.column("sums"):
+                held += np.frombuffer(sums.as_py())
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([held.tobytes()], pa.binary())})
+
+    sums = vectors.select("vector").mapInArrow(part, "slot int, sums binary").repartition("slot").mapInArrow(whole, "sums binary")
+    return sum((np.frombuffer(r["sums"]) for r in sums.collect()), np.zeros(width * width)).reshape(width, width)
 
 
 def _times(vectors: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
@@ -103,40 +120,224 @@ def _times(vectors: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                product = _matrix(batch) @ matrix
-                offsets = np.arange(len(batch) + 1, dtype=np.int32) * matrix.shape[1]
-                values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(product.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(key), values], names=[key, "vector"])
+                yield pa.RecordBatch.from_arrays([batch.column(key), _arrays(_matrix(batch) @ matrix)], names=[key, "vector"])
 
     kind = vectors.schema[key].dataType.simpleString()
     return vectors.select(key, "vector").mapInArrow(multiply, f"{key} {kind}, vector array<double>")
 
 
-def _weighted_sums(ratings: DataFrame, vectors: DataFrame, by: str, to: str, width: int) -> DataFrame:
-    """(``to``, vector): the sum of rating times vector over each row's ratings."""
-    weight = F.col("implicit_rating").cast("double")
-    joined = lookup_join(ratings.select(by, to, weight.alias("w")), vectors, by, [to])
-    sums = joined.groupBy(to).agg(*[F.sum(F.col("w") * F.col("vector")[i]).alias(f"f{i}") for i in range(width)])
-    return sums.select(to, F.array(*[f"f{i}" for i in range(width)]).alias("vector"))
+class _Sums:
+    """Sums of weighted vectors by a dense place; only places that occur are given back."""
+
+    def __init__(self, width: int) -> None:
+        self.sums, self.met = np.zeros((0, width)), np.zeros(0, dtype=bool)
+
+    def add(self, places: np.ndarray, vectors: np.ndarray) -> None:
+        if not len(places):
+            return
+        order = np.argsort(places, kind="stable")
+        places, edges = np.unique(places[order], return_index=True)
+        if places[-1] >= len(self.sums):
+            more = max(int(places[-1]) + 1, 2 * len(self.sums)) - len(self.sums)
+            self.sums = np.concatenate([self.sums, np.zeros((more, self.sums.shape[1]))])
+            self.met = np.concatenate([self.met, np.zeros(more, dtype=bool)])
+        self.sums[places] += np.add.reduceat(vectors[order], edges)
+        self.met[places] = True
+
+    def rows(self, name: str, blocks: int, block: int) -> pa.RecordBatch:
+        """Place p of this block is number p * blocks + block."""
+        places = np.flatnonzero(self.met)
+        keys = pa.array((places * blocks + block).astype(np.int32))
+        return pa.RecordBatch.from_arrays([keys, _arrays(self.sums[places])], names=[name, "vector"])
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, start, stop) of the runs of equal values."""
+    edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    for start, stop in zip(edges[:-1], edges[1:], strict=True):
+        if stop > start:
+            yield int(values[start]), start, stop
+
+
+def _array_sums(rows: DataFrame, key: str, blocks: int, width: int) -> DataFrame:
+    """(``key``, vector): whole arrays summed by key, a block of keys at a time."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys, vectors = batch.column(key).to_numpy(), _matrix(batch)
+            for now, start, stop in _runs(keys % blocks):
+                if now != block:
+                    if held is not None:
+                        yield held.rows(key, blocks, block)
+                    block, held = now, _Sums(width)
+                held.add(keys[start:stop] // blocks, vectors[start:stop])
+        if held is not None:
+            yield held.rows(key, blocks, block)
+
+    block = F.col(key) % blocks
+    dealt = rows.withColumn("block", block).repartition("block").sortWithinPartitions("block").drop("block")
+    return dealt.mapInArrow(add, f"{key} int, vector array<double>")
+
+
+def _product(ratings: DataFrame, vectors: DataFrame, by: str, to: str, sizes: dict[str, int], width: int) -> DataFrame:
+    """(``to``, vector): the sum of rating times vector over each row's ratings.
+
+    ``by`` and ``to`` are dense numbers and ``sizes`` how many there are.  The matrix of the ratings is cut into
+    cells of ``CELL_ROWS`` by ``CELL_ROWS``, dealt by remainder so that the frequent rows are spread; a cell's task holds
+    its vectors and its sums and streams its ratings, however many a hot row has.  A vector is sent once
+    to each cell of its row, and the cells' sums, whole arrays, are added.
+    """
+    from_blocks, to_blocks = (max(1, ceil(sizes[c] / CELL_ROWS)) for c in (by, to))
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, places, parts, held, sums = None, [], [], None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            for now, start, stop in _runs(batch.column("cell").to_numpy()):
+                if now != cell:
+                    if sums is not None:
+                        yield sums.rows(to, to_blocks, cell // from_blocks)
+                    cell, places, parts, held, sums = now, [], [], None, _Sums(width)
+                rows = batch.slice(start, stop - start)
+                sources = rows.column("source").to_numpy() // from_blocks
+                given = rows.column("target").is_null().to_numpy(zero_copy_only=False)
+                if given.any():  # vectors come before the cell's ratings
+                    places.append(sources[given])
+                    parts.append(_matrix(rows.filter(pa.array(given))))
+                if not given.all():
+                    if held is None:
+                        held = np.zeros((max((int(p.max()) for p in places), default=-1) + 2, width))
+                        for p, v in zip(places, parts, strict=True):
+                            held[p] = v
+                        places, parts = [], []
+                    rated = rows.filter(pa.array(~given))
+                    # The last row stands for what has no vector.
+                    at = np.minimum(sources[~given], len(held) - 1)
+                    weights = rated.column("w").to_numpy(zero_copy_only=False)
+                    sums.add(rated.column("target").to_numpy(zero_copy_only=False).astype(np.int64) // to_blocks, held[at] * weights[:, None])
+        if sums is not None:
+            yield sums.rows(to, to_blocks, cell // from_blocks)
+
+    source, target = F.col(by).cast("bigint"), F.col(to).cast("bigint")
+    rated = ratings.select(
+        (target % to_blocks * from_blocks + source % from_blocks).alias("cell"), source.alias("source"), target.alias("target"),
+        F.col("implicit_rating").cast("double").alias("w"), F.lit(None).cast("array<double>").alias("vector"),
+    )
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(to_blocks - 1).cast("bigint")))
+    sent = vectors.select(source.alias("source"), "vector", copies.alias("row")).select(
+        (F.col("row") * from_blocks + F.col("source") % from_blocks).alias("cell"), "source", F.lit(None).cast("bigint").alias("target"),
+        F.lit(None).cast("double").alias("w"), "vector",
+    )
+    dealt = sent.unionByName(rated).repartition("cell").sortWithinPartitions("cell", F.col("target").isNotNull())
+    parts = dealt.mapInArrow(multiply, f"{to} int, vector array<double>")
+    return parts if from_blocks == 1 else _array_sums(parts, to, to_blocks, width)
 
 
-def _whitener(gram: np.ndarray) -> np.ndarray:
+def _whitener(gram: np.ndarray, least: float = 1e-12) -> np.ndarray:
     """The matrix that makes vectors of this Gram matrix orthonormal; directions without length are dropped."""
-    values, vectors = np.linalg.eigh(gram)
-    some = values > 1e-12 * max(values.max(), 1e-300)
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    some = values > least * max(values.max(initial=0.0), 1e-300)
     return vectors[:, some] / np.sqrt(values[some])
 
 
+@dataclass(frozen=True)
+class _Ritz:
+    """What the Gram matrix of a basis Q and its image Z = A'A Q tells."""
+
+    values: np.ndarray  # falling
+    turn: np.ndarray  # Q times this are the orthonormal Ritz vectors
+    residuals: np.ndarray  # length of A'A x - value x of each
+    fresh: np.ndarray  # [Q Z] times this are new orthonormal directions, none: the space is whole
+
+
+def _ritz(gram: np.ndarray, wanted: int, settled: float) -> _Ritz:
+    k = len(gram) // 2
+    basis = _whitener(gram[:k, :k])
+    values, turn = np.linalg.eigh(basis.T @ (gram[:k, k:] + gram[k:, :k]) @ basis / 2)
+    order = np.argsort(-values, kind="stable")
+    values, turn = np.maximum(values[order], 0.0), basis @ turn[:, order]
+    # A residual is [Q Z] times this column.
+    rest = np.concatenate([-turn * values, turn])
+    lengths = np.sqrt(np.maximum(np.einsum("ij,jk,ki->i", rest.T, gram, rest), 0.0))
+    open_ones = np.flatnonzero(lengths[:wanted] > settled * max(values.max(initial=0.0), 1e-300))
+    rest = rest[:, open_ones] / lengths[open_ones]
+    for _ in range(2):  # what is left of Q in them by rounding goes, twice
+        rest[:k] -= turn @ (np.concatenate([turn, np.zeros_like(turn)]).T @ gram @ rest)
+    fresh = rest @ _whitener(rest.T @ gram @ rest, 1e-8) if len(open_ones) else rest
+    return _Ritz(values, turn, lengths, fresh)
+
+
+def truncated_svd(
+    ratings: DataFrame, sizes: dict[str, int], rank: int, seed: int = 42, max_steps: int = MAX_STEPS, settled: float = SETTLED
+) -> tuple[DataFrame, np.ndarray, int, bool]:
+    """Right singular vectors (track_idx, vector), singular values, steps, and whether all are settled.
+
+    Thick-restart block Lanczos on A'A.  A row of the frame holds a track's components of the basis Q
+    and of its image Z; the Gram matrix of both, all that reaches the driver, gives the Ritz vectors and the
+    lengths of their residuals.  The residuals of the wanted vectors that are longer than ``settled`` times the
+    largest value are the next block; a basis of ``HELD_BLOCKS`` blocks is first cut to its best vectors.
+    It ends when none is longer, or when the residuals add nothing to the space.
+    """
+    tracks = stored(ratings.select("track_idx").distinct())
+    width = min(rank + OVERSAMPLED, tracks.count())
+    rank = min(rank, width)
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.random.default_rng([seed, i]).standard_normal(width) for i in batch.column("track_idx").to_pylist()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column("track_idx"), _arrays(np.array(rows))], names=["track_idx", "vector"])
+
+    frame = stored(tracks.mapInArrow(start, "track_idx int, vector array<double>"))
+    fresh, kept, k = _whitener(_gram(frame, width)), np.zeros((0, 0)), 0
+    ritz, step = _Ritz(np.zeros(0), np.zeros((0, 0)), np.zeros(0), fresh), 0
+    while step < max_steps and fresh.shape[1]:
+        step += 1
+        added = fresh.shape[1]
+        block = _times(frame, "track_idx", fresh)
+        left = _product(ratings, block, "track_idx", "user_idx", sizes, added)
+        image = _product(ratings, left, "user_idx", "track_idx", sizes, added)
+        frame = stored(_extended(frame, image, fresh, kept, k))
+        k = kept.shape[1] + added
+        ritz = _ritz(_gram(frame, 2 * k), rank, settled)
+        fresh = ritz.fresh
+        # Room for the next block: as many vectors stay as were begun with.
+        kept = np.eye(k) if k + fresh.shape[1] <= HELD_BLOCKS * width else ritz.turn[:, :width]
+    done = bool((ritz.residuals[:rank] <= settled * ritz.values.max(initial=0.0)).all()) or not fresh.shape[1]
+    turn = ritz.turn[:, :rank]
+    vectors = stored(_times(frame, "track_idx", np.concatenate([turn, np.zeros((k, turn.shape[1]))])))
+    return vectors, np.sqrt(ritz.values[:rank]), step, done
+
+
+def _extended(frame: DataFrame, image: DataFrame, fresh: np.ndarray, kept: np.ndarray, k: int) -> DataFrame:
+    """Rows [Q Z] with Q and Z turned by ``kept`` and the new block and its image behind them."""
+    added = fresh.shape[1]
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                old = _matrix(batch)
+                parts = [old[:, :k] @ kept, old @ fresh, old[:, k : 2 * k] @ kept, _matrix(batch, "image")] if k else [old @ fresh, _matrix(batch, "image")]
+                yield pa.RecordBatch.from_arrays([batch.column("track_idx"), _arrays(np.concatenate(parts, axis=1))], names=["track_idx", "vector"])
+
+    none = F.array_repeat(F.lit(0.0), added)
+    both = frame.join(image.withColumnRenamed("vector", "image"), "track_idx", "left").withColumn("image", F.coalesce("image", none))
+    return both.mapInArrow(extend, "track_idx int, vector array<double>")
+
+
 def fit_svd(
-    plays: DataFrame, rank: int = 50, most_active_users: int | None = None, most_played_tracks: int | None = None, seed: int = 42
+    plays: DataFrame, rank: int = 50, most_active_users: int | None = None, most_played_tracks: int | None = None, seed: int = 42,
+    max_steps: int = MAX_STEPS,
 ) -> Factorisation:
-    """Truncated SVD of the ratings by subspace iteration; both factors stay frames.
+    """Truncated SVD of the ratings; both factors stay frames.
 
     All users and tracks take part; the two counts limit them to the most active and most played
-    if given.  Every step multiplies the track vectors by the ratings and back and makes them
-    orthonormal; only matrices of rank times rank reach the driver.  Steps end when the sum of the
-    wanted squared singular values rises by less than ``SETTLED`` of itself.  User vectors are the
-    rating rows times the right singular vectors.
+    if given.  User vectors are the rating rows times the right singular vectors.  ``settled`` of the
+    result is False, with a warning, if ``max_steps`` were not enough.
     """
     kept = plays
     if most_active_users is not None:
@@ -144,46 +345,28 @@ def fit_svd(
     if most_played_tracks is not None:
         kept = restricted_to(kept, most_active(plays, "track_id", most_played_tracks), "track_id")
     ratings = stored(implicit_ratings(kept))
-    user_ids = dense_ids(ratings, "user_id", "user_idx")
+    user_ids = stored(dense_ids(ratings, "user_id", "user_idx"))
     track_ids = stored(dense_ids(ratings, "track_id", "track_idx"))
     coded = stored(encode(ratings, user_ids, track_ids))
     train, test = hash_split(coded)
     train = stored(train)
-    width = min(rank + OVERSAMPLED, max(track_ids.count(), 1))
-
-    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [np.random.default_rng([seed, i]).standard_normal(width) for i in batch.column("track_idx").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("track_idx"), pa.array([r.tolist() for r in rows], pa.list_(pa.float64()))], names=["track_idx", "vector"]
-            )
-
-    right = stored(track_ids.select("track_idx").mapInArrow(start, "track_idx int, vector array<double>"))
-    energy = 0.0
-    for _ in range(MAX_STEPS):
-        basis = _whitener(_gram(right, width))
-        right, width = stored(_times(right, "track_idx", basis)), basis.shape[1]
-        left = stored(_weighted_sums(train, right, "track_idx", "user_idx", width))
-        # With orthonormal columns the eigenvalues of the left Gram matrix are squared singular values.
-        values, turn = np.linalg.eigh(_gram(left, width))
-        turn = turn[:, np.argsort(-values, kind="stable")[:rank]]
-        reached = float(np.sort(values)[::-1][:rank].sum())
-        if reached <= energy * (1 + SETTLED):
-            break
-        energy = reached
-        before = right
-        right = stored(_weighted_sums(train, left, "user_idx", "track_idx", width))
-    else:
-        right = before
-    tracks = stored(_times(right, "track_idx", turn).join(track_ids, "track_idx").select("track_id", "track_idx", "vector"))
-    users = stored(_weighted_sums(train, tracks.select("track_idx", "vector"), "track_idx", "user_idx", turn.shape[1]).join(user_ids, "user_idx"))
+    sizes = {"user_idx": user_ids.count(), "track_idx": track_ids.count()}
+    right, values, steps, settled = truncated_svd(train, sizes, rank, seed, max_steps)
+    if not settled:
+        warnings.warn(f"the SVD has not settled within {steps} steps", RuntimeWarning, stacklevel=2)
+    tracks = stored(right.join(track_ids, "track_idx").select("track_id", "track_idx", "vector"))
+    left = _product(train, right, "track_idx", "user_idx", sizes, len(values))
+    users = stored(left.join(user_ids, "user_idx").select("user_id", "vector"))
     product = F.aggregate(F.zip_with("u", "vector", lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
     pairs = lookup_join(test, tracks.select("track_idx", "vector"), "track_idx", ["user_id"])
     mine = users.select("user_id", F.col("vector").alias("u"))
     predictions = lookup_join(pairs, mine, "user_id", ["track_id"], how="left").select(
         "user_id", "track_id", "implicit_rating", F.coalesce(product, F.lit(0.0)).alias("prediction")
     )
-    return Factorisation(users.select("user_id", "vector"), tracks.select("track_id", "vector"), train, test, predictions)
+    return Factorisation(
+        users, tracks.select("track_id", "vector"), train, test, predictions,
+        singular_values=tuple(values.tolist()), steps=steps, settled=settled,
+    )
 
 
 def factor_recommendations(

@@ -90,7 +90,59 @@ def test_svd_of_everything_gives_every_listener_a_list(spark, listening):
         a[u, i] = w
     want = (np.linalg.svd(a, compute_uv=False)[:6] ** 2).sum()
     got = sum(sum(x * x for x in r["vector"]) for r in fit.users.collect())
-    assert got == pytest.approx(want, rel=2e-3)
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def _dense(train, columns="user_idx, track_idx, implicit_rating"):
+    triples = train.select(*columns.split(", ")).collect()
+    a = np.zeros((1 + max(r[0] for r in triples), 1 + max(r[1] for r in triples)))
+    for u, i, w in triples:
+        a[u, i] = w
+    return a
+
+
+def test_svd_of_the_given_plays_converges(spark):
+    fit = factors.fit_svd(B.event_plays(spark, "/root/testdata/sf0.01"))
+    want = np.linalg.svd(_dense(fit.train), compute_uv=False)[:50]
+    assert fit.settled and 0 < fit.steps < factors.MAX_STEPS
+    assert np.abs(np.array(fit.singular_values) - want).max() < 1e-6
+    v = np.array([r["vector"] for r in fit.tracks.collect()])
+    u = np.array([r["vector"] for r in fit.users.collect()])
+    assert np.abs(v.T @ v - np.eye(v.shape[1])).max() < 1e-9
+    assert np.abs(u.T @ u - np.diag(want**2)).max() < 1e-6 * want[0] ** 2
+
+
+@pytest.mark.parametrize("cell", [65_536, 37])
+def test_svd_restarts_in_any_cells(spark, monkeypatch, cell):
+    """A flat spectrum needs more blocks than are held; one track has a rating of every user."""
+    rng = np.random.default_rng(8)
+    pairs = sorted({(int(u), int(t)) for u, t in zip(rng.integers(0, 260, 4000), rng.integers(0, 150, 4000))} | {(u, 3) for u in range(260)})
+    rated = [(u, t, int(w)) for (u, t), w in zip(pairs, rng.integers(1, 9, len(pairs)), strict=True)]
+    frame = spark.createDataFrame(rated, "user_idx int, track_idx int, implicit_rating bigint")
+    monkeypatch.setattr(factors, "CELL_ROWS", cell)
+    sizes = {"user_idx": 260, "track_idx": 150}
+    vectors, values, steps, settled = factors.truncated_svd(frame, sizes, 4)
+    a = _dense(frame)
+    _, want, right = np.linalg.svd(a)
+    assert settled and steps > factors.HELD_BLOCKS
+    assert np.abs(values - want[:4]).max() < 1e-9 * want[0]
+    got = np.zeros((150, 4))
+    for r in vectors.collect():
+        got[r["track_idx"]] = r["vector"]
+    assert np.abs(np.abs((right[:4] @ got)) - np.eye(4)).max() < 1e-5
+    if cell == 37:
+        return
+    few = factors.truncated_svd(frame, sizes, 4, max_steps=1)
+    assert not few[3] and few[2] == 1
+
+
+def test_svd_of_nothing_and_of_less_than_the_rank(spark):
+    empty = spark.createDataFrame([], "user_idx int, track_idx int, implicit_rating bigint")
+    vectors, values, steps, settled = factors.truncated_svd(empty, {"user_idx": 0, "track_idx": 0}, 4)
+    assert vectors.count() == 0 and len(values) == 0 and steps == 0 and settled
+    one = spark.createDataFrame([(0, 0, 3), (1, 0, 4)], empty.schema)
+    vectors, values, _, settled = factors.truncated_svd(one, {"user_idx": 2, "track_idx": 1}, 4)
+    assert settled and values.tolist() == pytest.approx([5.0]) and vectors.count() == 1
 
 
 def test_blocks_depend_on_the_ratings_only(spark):
