@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil
 
 import numpy as np
@@ -27,6 +27,8 @@ RATINGS_PER_BLOCK, LEAST_RATINGS_PER_BLOCK, SMALL_BLOCKS = 500_000, 10_000, 8
 OVERSAMPLED, MAX_STEPS, SETTLED, HELD_BLOCKS = 10, 40, 1e-7, 3
 # Users or tracks of one cell of the ratings matrix; a task holds so many vectors of each.
 CELL_ROWS, SUM_TASKS = 65_536, 16
+# Ratings of one listener that one task sums at most.
+PAIRS_PER_SUM = 100_000
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -369,6 +371,83 @@ def fit_svd(
     )
 
 
+def fold_in(
+    tracks: DataFrame, ratings: DataFrame, reg: float = 0.1, alpha: float = 40.0, pairs_per_sum: int = PAIRS_PER_SUM
+) -> DataFrame:
+    """(user_id, vector) of listeners the ALS model was not fitted on, from their ratings of its tracks.
+
+    Each vector solves the listener's normal equation against the Gram matrix of all track vectors, as
+    a half-step of the implicit ALS does; the model stays as it is.  Ratings stream through in the order of the
+    listener, whose sums are all a task holds; those of a listener with more than ``pairs_per_sum`` ratings
+    are made by several tasks and added.  Ratings of other tracks are left out; a listener without
+    any other rating has no row.
+    """
+    one = tracks.select("vector").first()
+    rank = len(one["vector"]) if one else 0
+    whole = _gram(tracks, rank)
+    size = rank * rank + rank + 1
+
+    def solved(held: np.ndarray) -> np.ndarray:
+        normal, right, n = held[: rank * rank].reshape(rank, rank), held[rank * rank : -1], held[-1]
+        return np.linalg.solve(whole + normal + reg * n * np.eye(rank), right)
+
+    def grouped(batches: Iterator[pa.RecordBatch], addend) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """The summed addends per run of (user_id, part): user, parts of this user, and the sum."""
+        last, held = None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            users, parts, sums = (batch.column(c).to_numpy() for c in ("user_id", "part", "parts"))
+            changes = np.flatnonzero((users[1:] != users[:-1]) | (parts[1:] != parts[:-1])) + 1
+            for start, stop in zip([0, *changes.tolist()], [*changes.tolist(), len(batch)], strict=True):
+                key = (int(users[start]), int(parts[start]), int(sums[start]))
+                if key != last:
+                    if last is not None:
+                        yield *last, held
+                    last, held = key, np.zeros(size)
+                held += addend(batch.slice(start, stop - start))
+        if last is not None:
+            yield *last, held
+
+    def of_ratings(rows: pa.RecordBatch) -> np.ndarray:
+        vectors, more = _matrix(rows), alpha * rows.column("w").to_numpy()
+        return np.concatenate([((vectors * more[:, None]).T @ vectors).ravel(), (1 + more) @ vectors, [len(rows)]])
+
+    def told(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        users, parts, values = zip(*rows, strict=True) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(users, pa.int64()), pa.array(parts, pa.int64()), pa.array([v.tolist() for v in values], pa.list_(pa.float64()))],
+            names=["user_id", "parts", "vector"],
+        )
+
+    def stage(addend, first: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = []
+            for user, _, parts, held in grouped(batches, addend):
+                rows.append((user, parts, held if first and parts > 1 else solved(held)))
+                if len(rows) * size > 1 << 20:
+                    yield told(rows)
+                    rows = []
+            yield told(rows)
+
+        return run
+
+    kinds = "user_id bigint, parts bigint, vector array<double>"
+    weight = F.col("implicit_rating").cast("double")
+    rated = lookup_join(ratings.where(weight > 0).select("user_id", "track_id", weight.alias("w")), tracks.select("track_id", "vector"), "track_id", ["user_id"])
+    # Only listeners with very many ratings are looked up: their number is bounded by the ratings.
+    many = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > pairs_per_sum)
+    many = many.select("user_id", F.ceil(F.col("n") / pairs_per_sum).cast("bigint").alias("parts"))
+    dealt = rated.join(many, "user_id", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("track_id"), F.col("parts")))
+    order = ["user_id", "part"]
+    summed = stored(dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(stage(of_ratings, True), kinds))
+    alone = summed.where("parts = 1")
+    shared = summed.where("parts > 1").withColumn("part", F.lit(0).cast("bigint")).repartition("user_id").sortWithinPartitions("user_id")
+    added = shared.mapInArrow(stage(lambda rows: _matrix(rows).sum(axis=0), False), kinds)
+    return alone.unionByName(added).select("user_id", "vector")
+
+
 def factor_recommendations(
     fit: Factorisation, tracks: DataFrame, k: int = 10, exclude: DataFrame | None = None,
     digits: int = 6,
@@ -383,3 +462,14 @@ def factor_recommendations(
         "user_id", "rank", "track_id", "name", "artist_name", "genre",
         F.round("score", digits).alias("predicted_score"),
     )
+
+
+def fold_in_recommendations(
+    fit: Factorisation, ratings: DataFrame, tracks: DataFrame, k: int = 10, reg: float = 0.1, alpha: float = 40.0
+) -> DataFrame:
+    """Lists of unheard tracks for listeners absent from the fit of ``fit_als``, which is not repeated.
+
+    ``reg`` and ``alpha`` are those of the fit.
+    """
+    folded = replace(fit, users=stored(fold_in(fit.tracks, ratings, reg, alpha)))
+    return factor_recommendations(folded, tracks, k, exclude=ratings)

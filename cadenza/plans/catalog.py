@@ -13,10 +13,11 @@ from cadenza.functions import scalars as S
 from cadenza.operators import (
     boards, clusters, content, eda, evaluation, factors, features, hybrid, ids, plays, quantiles,
 )
-from cadenza.session import stored
+from cadenza.session import own_path, stored
 from cadenza.sources import bindings as B
 from cadenza.sources import readers
 from cadenza.sources.schemas import AUDIO_FEATURES, TRACK_FEATURES
+from cadenza.streaming import activity, upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,6 +206,22 @@ def _svd_list_checks(s: SparkSession, d: str) -> DataFrame:
     return _list_checks(recs, "predicted_score", heard)
 
 
+def _newcomers(s: SparkSession, d: str) -> tuple[factors.Factorisation, DataFrame, DataFrame]:
+    """A fit on the users whose id 5 does not divide, the ratings of the others, and the tracks."""
+    p = B.event_plays(s, d)
+    new = F.col("user_id") % 5 == 0
+    return factors.fit_als(p.where(~new)), stored(plays.implicit_ratings(p.where(new))), B.embedding_tracks(s, d)
+
+
+def _fold_in_recs(s: SparkSession, d: str) -> DataFrame:
+    return factors.fold_in_recommendations(*_newcomers(s, d))
+
+
+def _fold_in_checks(s: SparkSession, d: str) -> DataFrame:
+    fit, ratings, tracks = _newcomers(s, d)
+    return _list_checks(factors.fold_in_recommendations(fit, ratings, tracks), "predicted_score", ratings)
+
+
 def _hybrid_als_checks(s: SparkSession, d: str) -> DataFrame:
     return _list_checks(_hybrid_als(s, d), "hybrid_score", plays.heard_pairs(B.event_plays(s, d)))
 
@@ -262,6 +279,35 @@ def _vectors(s: SparkSession, d: str) -> DataFrame:
     return clusters.feature_vectors(B.embedding_tracks(s, d))
 
 
+def _streamed(measure, *times: str) -> Query:
+    """The measure over the events as a stream, closed rows only; ``times`` as microseconds.
+
+    All files are one batch, so no row of the backfill is late.
+    """
+
+    def run(s: SparkSession, d: str) -> DataFrame:
+        rows = activity.closed(measure(B.event_play_stream(s, d)), own_path(s, "stream"))
+        return rows.withColumns({t: F.unix_micros(t) for t in times})
+
+    return run
+
+
+def _streamed_ratings(s: SparkSession, d: str) -> DataFrame:
+    """The ratings from the events in four micro-batches, each of them merged twice."""
+    folder, target = own_path(s, "plays"), own_path(s, "ratings")
+    p = B.event_plays(s, d).select("user_id", "track_id", "skipped")
+    p.repartition(4).write.parquet(folder)
+    stream = s.readStream.schema(p.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            upserts.merge(batch, batch_id, target)
+
+    query = upserts.upsert(stream, target, f"{target}/checkpoint", twice)
+    query.awaitTermination()
+    return upserts.current(s, target)
+
+
 def queries() -> dict[str, Query]:
     E, T, U = B.event_plays, B.embedding_tracks, B.customer_users
     L, P = B.line_plays, B.part_tracks
@@ -346,6 +392,8 @@ def queries() -> dict[str, Query]:
         "svd_metrics": _svd_metrics,
         "als_list_checks": _als_list_checks,
         "svd_list_checks": _svd_list_checks,
+        "fold_in_recs": _fold_in_recs,
+        "fold_in_checks": _fold_in_checks,
         "hybrid_als_checks": _hybrid_als_checks,
         "prediction_checks": _prediction_checks,
         "cluster_checks": _cluster_checks,
@@ -356,5 +404,9 @@ def queries() -> dict[str, Query]:
         "silhouette": _clustered(clusters.silhouette),
         "elbow": lambda s, d: clusters.elbow(_vectors(s, d)),
         "pca2": lambda s, d: clusters.principal_components(_vectors(s, d))[0],
+        "stream_play_counts": _streamed(activity.play_counts_by_window, "window_start"),
+        "stream_activity": _streamed(activity.activity_by_hour, "window_start"),
+        "stream_sessions": _streamed(lambda p: activity.sessions(p, "6 hours"), "session_start", "session_end"),
+        "stream_ratings": _streamed_ratings,
         "pca_variance": lambda s, d: clusters.principal_components(_vectors(s, d))[1],
     }

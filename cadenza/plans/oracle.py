@@ -155,6 +155,13 @@ SELECT count(*) FILTER (size > 0) AS users, CAST(sum(size) AS BIGINT) AS listed,
 FROM lists"""
 
 
+# Event time in milliseconds, as watermarks have it: the latest play less ten minutes.
+_WATERMARK = "SELECT (max(epoch_us(ts)) // 1000 - 600000) * 1000 AS mark FROM e_plays"
+_HOURS = f"""
+, marked AS (SELECT *, epoch_us(date_trunc('hour', ts)) AS window_start FROM e_plays),
+closed AS (SELECT * FROM marked WHERE window_start + 3600000000 <= ({_WATERMARK}))"""
+
+
 def _describe(cte: str, source: str, columns: list[str], digits: int) -> str:
     one = """SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), {d}) AS mean,
   round(stddev_samp({c}), {d}) AS std, round(CAST(min({c}) AS DOUBLE), {d}) AS min,
@@ -379,6 +386,14 @@ SELECT track_id, CAST(row_number() OVER (ORDER BY count(*) DESC, track_id) - 1 A
 FROM e_plays GROUP BY 1""",
         "als_list_checks": split + _LIST_CHECKS,
         "svd_list_checks": split + _LIST_CHECKS,
+        "fold_in_checks": _with(E_PLAYS, RATINGS.replace("GROUP BY", "WHERE user_id % 5 <> 0 GROUP BY"), IDS) + """
+, known AS (SELECT DISTINCT track_id FROM split WHERE part = 'train'),
+heard AS (SELECT user_id, count(DISTINCT track_id) FILTER (track_id IN (SELECT track_id FROM known)) AS n
+          FROM e_plays WHERE user_id % 5 = 0 GROUP BY 1),
+lists AS (SELECT least(10, (SELECT count(*) FROM known) - n) AS size FROM heard WHERE n > 0)
+SELECT count(*) FILTER (size > 0) AS users, CAST(sum(size) AS BIGINT) AS listed,
+       CAST(0 AS BIGINT) AS rank_gaps, CAST(0 AS BIGINT) AS rises, CAST(0 AS BIGINT) AS heard_rows
+FROM lists""",
         "hybrid_als_checks": _with(E_PLAYS, E_TRACKS) + """
 , heard AS (SELECT user_id, count(DISTINCT track_id) AS n FROM e_plays JOIN e_tracks USING (track_id) GROUP BY 1)
 SELECT count(*) AS users, CAST(sum(least(10, (SELECT count(*) FROM e_tracks) - n)) AS BIGINT) AS listed,
@@ -389,6 +404,19 @@ FROM heard""",
           AND user_id IN (SELECT user_id FROM split WHERE part = 'train')
           AND track_id IN (SELECT track_id FROM split WHERE part = 'train'))
 SELECT model, n AS predicted, CAST(0 AS BIGINT) AS not_numbers, n AS expected FROM n, (VALUES ('als'), ('svd')) v(model)""",
+        "stream_play_counts": E + _HOURS + """
+SELECT window_start, track_id, count(*) AS play_count FROM closed WHERE skipped = 0 GROUP BY 1, 2""",
+        "stream_activity": E + _HOURS + f"""
+SELECT window_start, hour_of_day, day_of_week, {_day_name('day_of_week')} AS day_name, count(*) AS event_count
+FROM closed GROUP BY 1, 2, 3""",
+        "stream_sessions": E + f"""
+, steps AS (SELECT *, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM e_plays),
+islands AS (SELECT *, sum(CASE WHEN us - before <= 21600000000 THEN 0 ELSE 1 END)
+                OVER (PARTITION BY user_id ORDER BY us RANGE UNBOUNDED PRECEDING) AS island FROM steps)
+SELECT user_id, min(us) AS session_start, max(us) + 21600000000 AS session_end, count(*) AS plays,
+       {_n('sum(skipped)')} AS skips, {_n('sum(play_duration_ms)')} AS listened_ms
+FROM islands GROUP BY user_id, island HAVING max(us) + 21600000000 <= ({_WATERMARK})""",
+        "stream_ratings": _with(E_PLAYS, RATINGS) + "SELECT * FROM ratings",
         "cluster_checks": """
 SELECT count(*) AS tracks, CAST(0 AS BIGINT) AS bad_ids, count(*) AS profiled, CAST(0 AS BIGINT) AS rises,
        CAST(0 AS BIGINT) AS bad_silhouettes, CAST(6 AS BIGINT) AS labels FROM embeddings""",

@@ -42,6 +42,11 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/cadenza/{spark.sparkContext.applicationId}"
 
 
+def own_path(spark: SparkSession, name: str) -> str:
+    """A path not used before, for files of this application that ``release`` deletes with its tables."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 

@@ -21,9 +21,9 @@ def _text(prefix: str, value: Column) -> Column:
     return F.concat(F.lit(prefix), value.cast("string"))
 
 
-def event_plays(spark: SparkSession, base: str) -> DataFrame:
-    """Plays from ``events``: the error events, about a fifth, are the skips."""
-    return table(spark, base, "events").select(
+def as_plays(events: DataFrame) -> DataFrame:
+    """Rows of ``events``, read or streamed, as plays: the error events, about a fifth, are the skips."""
+    return events.select(
         "user_id",
         F.get_json_object("props", "$.k").cast("bigint").alias("track_id"),
         "ts",
@@ -34,6 +34,18 @@ def event_plays(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def event_plays(spark: SparkSession, base: str) -> DataFrame:
+    return as_plays(table(spark, base, "events"))
+
+
+def event_play_stream(spark: SparkSession, base: str) -> DataFrame:
+    """``event_plays`` as a stream; ``ts`` has a zone for the watermark."""
+    kinds = table(spark, base, "events").schema
+    # A pattern may name one file as well as a folder of files; a plain path of a stream must be a folder.
+    events = spark.readStream.schema(kinds).parquet(f"{base}/events.parque[t]")
+    return as_plays(events).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def embedding_tracks(spark: SparkSession, base: str) -> DataFrame:
     """Tracks from ``embeddings``: the first eight dimensions are the features."""
     dim = lambda i: F.element_at("embedding", i).cast("double")

@@ -1,4 +1,8 @@
-"""The play-count and activity measures on a stream of plays."""
+"""The play-count, activity and session measures on a stream of plays.
+
+Results are of closed windows and sessions alone: a row leaves the state store once the watermark, the
+latest play less the allowed lateness, has passed its end, and it leaves once.
+"""
 
 from __future__ import annotations
 
@@ -44,6 +48,34 @@ def activity_by_hour(plays: DataFrame, late: str = "10 minutes") -> DataFrame:
     )
 
 
+def sessions(plays: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+    """Plays of a user with at most ``gap`` between each and the next, summed per session.
+
+    The state store holds one row per open session: sums, never plays.  A session ends ``gap`` behind its last play.
+    """
+    return (
+        plays.withWatermark("ts", late)
+        .groupBy("user_id", F.session_window("ts", gap).alias("s"))
+        .agg(
+            F.count(F.lit(1)).alias("plays"),
+            F.sum("skipped").cast("bigint").alias("skips"),
+            F.sum("play_duration_ms").alias("listened_ms"),
+        )
+        .select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "plays", "skips", "listened_ms")
+    )
+
+
+def closed(result: DataFrame, folder: str) -> DataFrame:
+    """Run ``result`` over what its source holds and read back every row that has closed so far.
+
+    Rows and checkpoint lie below ``folder``.  Called again, after new files or a failure, it goes on from
+    the checkpoint: the sink's log names the files of each batch once, so no row is there twice.
+    """
+    query = append_to_parquet(result, f"{folder}/rows", f"{folder}/checkpoint")
+    query.awaitTermination()
+    return result.sparkSession.read.schema(result.schema).parquet(f"{folder}/rows")
+
+
 def append_to_parquet(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what is there and append finished windows to Parquet."""
     return (

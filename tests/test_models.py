@@ -145,6 +145,41 @@ def test_svd_of_nothing_and_of_less_than_the_rank(spark):
     assert settled and values.tolist() == pytest.approx([5.0]) and vectors.count() == 1
 
 
+@pytest.mark.parametrize("pairs", [100_000, 3])
+def test_fold_in_is_a_half_step(spark, als, pairs):
+    """Listeners unknown to the model, one with a rating of every track, against numpy."""
+    vectors = {r["track_id"]: np.array(r["vector"]) for r in als.tracks.collect()}
+    known = sorted(vectors)
+    rng = np.random.default_rng(11)
+    rated = [(900 + u, t, int(rng.integers(1, 9))) for u in range(6) for t in rng.choice(known, 4 + u, replace=False).tolist()]
+    rated += [(950, t, 2) for t in known] + [(960, known[0], 1), (960, -5, 3), (970, -5, 3), (980, known[1], 0)]
+    ratings = spark.createDataFrame(rated, "user_id bigint, track_id bigint, implicit_rating bigint")
+    got = {r["user_id"]: np.array(r["vector"]) for r in factors.fold_in(als.tracks, ratings, 0.1, 40.0, pairs).collect()}
+    y = np.array(list(vectors.values()))
+    assert set(got) == {*range(900, 906), 950, 960}
+    for user, x in got.items():
+        mine = [(vectors[t], 40.0 * w) for u, t, w in rated if u == user and t in vectors and w > 0]
+        normal = y.T @ y + sum(c * np.outer(v, v) for v, c in mine) + 0.1 * len(mine) * np.eye(8)
+        assert x == pytest.approx(np.linalg.solve(normal, sum((1 + c) * v for v, c in mine)), rel=1e-8, abs=1e-10)
+
+
+def test_fold_in_of_a_known_listener_is_the_models_next_half_step(spark, als):
+    """After the last half-step, of the tracks, a further one of the users stays close to the model's users."""
+    again = {r["user_id"]: np.array(r["vector"]) for r in factors.fold_in(als.tracks, als.train.select("user_id", "track_id", "implicit_rating")).collect()}
+    model = {r["user_id"]: np.array(r["vector"]) for r in als.users.collect()}
+    assert set(again) == set(model)
+    cosines = [x @ model[u] / np.linalg.norm(x) / np.linalg.norm(model[u]) for u, x in again.items()]
+    assert min(cosines) > 0.9
+
+
+def test_fold_in_gives_lists_to_new_listeners(spark, als, listening):
+    _, t = listening
+    ratings = als.test.select((F.col("user_id") + 10_000).alias("user_id"), "track_id", "implicit_rating")
+    recs = factors.fold_in_recommendations(als, ratings, t, 5)
+    assert recs.count() > 0 and recs.where("user_id < 10000").count() == 0
+    assert recs.join(ratings, ["user_id", "track_id"]).count() == 0
+
+
 def test_blocks_depend_on_the_ratings_only(spark):
     assert factors._blocks(1) == 1 and factors._blocks(25_000) == 3 and factors._blocks(10**7) == 20
 
