@@ -109,9 +109,22 @@ def survival(threshold: float = THRESHOLD, branch: float = BRANCH) -> float:
     return threshold * alive
 
 
+def branch_for(threshold: float) -> float:
+    """Children of a split such that a pair at the threshold meets as often in them as one at ``THRESHOLD`` in ``BRANCH``."""
+    if not 0 < threshold <= 1:
+        raise ValueError("a threshold lies above 0 and is 1 at most")
+    return BRANCH * THRESHOLD / threshold
+
+
 def runs_for(threshold: float = THRESHOLD, target: float = TARGET, branch: float = BRANCH) -> int:
-    """Runs after which a pair at the threshold has been found with probability ``target``."""
-    return min(PLACES, math.ceil(math.log(1 - target) / math.log(1 - survival(threshold, branch))))
+    """Runs after which a pair at the threshold has been found with probability ``target``; ValueError if ``PLACES`` are too few."""
+    if not 0 < target < 1:
+        raise ValueError("a target lies between 0 and 1")
+    alive = survival(threshold, branch) if threshold * branch > 1 else 0.0
+    runs = math.ceil(math.log(1 - target) / math.log(1 - alive)) if 0 < alive < 1 else PLACES + 1
+    if runs > PLACES:
+        raise ValueError(f"{PLACES} runs of {branch:g} children do not find pairs of similarity {threshold:g} with probability {target:g}")
+    return runs
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -418,7 +431,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def similar(
-    docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, target: float = TARGET, branch: float = BRANCH, limit: int = LIMIT
+    docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, target: float = TARGET, branch: float | None = None,
+    limit: int = LIMIT,
 ) -> DataFrame:
     """(doc_id, key columns, rid, class_id, n_links, first): the class of every document.
 
@@ -428,7 +442,10 @@ def similar(
     between white space, in lower case.  A document of fewer than ``shingle`` words is one shingle of all of
     them; one without words, as of null text, has no links and is a class of its own (rid null).
     Repeated rows are copies of each other.  An empty table gives no rows; other columns are not read.
+    Splits grow wider as the threshold falls; where ``PLACES`` runs cannot reach ``target``, ValueError.
     """
+    branch = branch_for(threshold) if branch is None else branch
+    runs = runs_for(threshold, target, branch)
     signed = stored(_signatures(docs, shingle))
     order = F.struct("key_null", "key_id", "key_text")
     representatives = stored(
@@ -436,7 +453,7 @@ def similar(
             F.first("signature").alias("signature"), F.min(order).alias("first"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")
         )
     )
-    leaves = _leaves(representatives, runs_for(threshold, target, branch), branch, limit)
+    leaves = _leaves(representatives, runs, branch, limit)
     candidates = stored(_candidates(leaves, representatives, threshold))
     wanted = candidates.select("rid").distinct().join(representatives, "rid").select("rid", *[F.col(f"first.{k}").alias(k) for k in KEY])
     found = stored(_verified(candidates, _sets(docs, wanted, shingle), representatives.select("rid", "copies"), threshold))

@@ -122,6 +122,28 @@ def test_runs_reach_the_target():
     assert (1 - alive) ** runs <= 1 - simjoin.TARGET < (1 - alive) ** (runs - 1)
 
 
+@pytest.mark.parametrize(("threshold", "changes"), [(0.5, 6), (0.6, 5), (0.7, 3)])
+def test_lower_thresholds_reach_their_recall(spark, threshold, changes):
+    rng = random.Random(int(100 * threshold))
+    docs = list(enumerate(t for _ in range(60) for t in family(rng, 5, 60, changes)))
+    got = found(simjoin.similar(spark.createDataFrame(docs, "doc_id bigint, text string"), threshold, limit=8))
+    want = brute(docs, threshold)
+    links = sum(n * k for (_, _, n), k in want.items())
+    assert links > 300 and sum(n * k for (_, _, n), k in got.items()) >= 0.99 * links
+    assert sum((want - got).values()) <= 0.02 * len(docs)
+
+
+def test_what_cannot_be_reached_is_said():
+    for threshold in (0.4, 0.5, 0.6, 0.7, 0.8, 0.95):
+        assert simjoin.runs_for(threshold, branch=simjoin.branch_for(threshold)) <= simjoin.PLACES
+    for threshold, target, branch in ((0.5, 0.999, 1.5), (0.66, 0.999, 1.5), (0.2, 0.999, 6.0), (0.8, 1.0, 1.5)):
+        with pytest.raises(ValueError):
+            simjoin.runs_for(threshold, target, branch)
+    for threshold in (0.0, 1.5):
+        with pytest.raises(ValueError):
+            simjoin.branch_for(threshold)
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = simjoin.similar(odd_docs)
     want = brute([(r["doc_id"], r["text"]) for r in odd_docs.collect()])
