@@ -92,12 +92,13 @@ def pack(
 
     ``length`` is a document's token count, by default its words.  A batch is unique within its
     bucket and holds at most ``max(1, budget // bucket)`` sequences; empty sequences go to the
-    first bucket.  Within a bucket sequences stand in the order of a hash of (doc_id, piece), then
-    by both; repeated rows are sequences of their own, null ids one id like any other.  A null
+    first bucket.  Within a bucket sequences stand in the order of a hash of id, piece and the row's number as
+    the table is read; repeated rows are sequences of their own, null ids one id like any other.  A null
     text or length is 0; an empty table gives no rows.  Other columns are not read.
     """
     length = word_count(F.col("text")) if length is None else length
-    cut = stored(sequences(docs, length, max_tokens))
+    # The row's number keeps repeated and null ids apart, so that no salt can grow hot.
+    cut = stored(sequences(docs, length, max_tokens).withColumn("row", F.monotonically_increasing_id()))
     histogram = {int(r["n_tokens"]): int(r["n"]) for r in cut.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()}
     edges = boundaries(histogram, buckets)
     rows = sum(histogram.values())
@@ -105,7 +106,7 @@ def pack(
     for edge in reversed(edges[:-1]):
         bucket = F.when(F.col("n_tokens") <= edge, edge).otherwise(bucket)
     salts = max(1, ceil(rows / rows_per_salt))
-    mark = F.xxhash64("doc_id", "piece")
+    mark = F.xxhash64("doc_id", "piece", "row")
     # Salts are ranges of the hash, so that places follow the hash whatever their number.
     salt = F.floor((F.shiftrightunsigned(mark, 33).cast("bigint") * salts) / (1 << 31)).cast("bigint")
     placed = cut.withColumns({"bucket": bucket.cast("bigint"), "mark": F.shiftrightunsigned(mark, 33), "salt": salt})
@@ -114,7 +115,7 @@ def pack(
     offset = before.select(
         "bucket", "salt", (F.sum("n").over(W.partitionBy("bucket").orderBy("salt")) - F.col("n")).alias("offset")
     )
-    within = F.row_number().over(W.partitionBy("bucket", "salt").orderBy("mark", "doc_id", "piece", "n_tokens"))
+    within = F.row_number().over(W.partitionBy("bucket", "salt").orderBy("mark", "doc_id", "piece", "row"))
     numbered = placed.withColumn("within", within - 1).join(offset, ["bucket", "salt"])
     capacity = F.greatest(F.floor(F.lit(budget) / F.greatest("bucket", F.lit(1))), F.lit(1)).cast("bigint")
     place = F.col("offset") + F.col("within")

@@ -63,3 +63,15 @@ def test_odd_rows(odd_docs, no_docs):
     assert Counter(r["doc_id"] for r in got)[0] == 2 and len({(r["bucket"], r["batch"], r["slot"]) for r in got}) == len(got)
     assert packing.pack(no_docs).count() == 0
     assert packing.pack(odd_docs, length=F.lit(None)).select("n_tokens").distinct().collect()[0][0] == 0
+
+
+def test_rows_without_an_id_are_spread(spark):
+    """A third of all rows has no id and the same text, another third one id: places are whole, salts even."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "a b c") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = packing.pack(docs, budget=60, rows_per_salt=500)
+    assert sorted((r["batch"], r["slot"]) for r in got.collect()) == [(i // 20, i % 20) for i in range(6000)]
+    marks = packing.sequences(docs, packing.word_count(F.col("text"))).withColumn("row", F.monotonically_increasing_id())
+    salt = F.floor(F.shiftrightunsigned(F.xxhash64("doc_id", "piece", "row"), 33) * 12 / (1 << 31))
+    sizes = [r["count"] for r in marks.groupBy(salt.alias("salt")).count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 500
