@@ -27,7 +27,8 @@ from cadenza.llm.common import code_points, columns, fold, ship, slices
 from cadenza.session import stored
 
 Q = 9
-WINDOW, STRIDE, RATE = 100, 25, 0.08
+# A quotation of a window's length lies at most half a stride beside a window: within its budget of edits.
+WINDOW, STRIDE, RATE = 100, 8, 0.08
 BLOCK_CHARS = 1 << 20
 BLANK, OUTSIDE = 32, 1
 _BASE = 0x9E3779B97F4A7C15

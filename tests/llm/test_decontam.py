@@ -83,6 +83,15 @@ def test_equals_brute_force(seed):
     assert firsts == {n for n, _ in got}
 
 
+def test_every_verbatim_quotation_of_a_window_is_found():
+    rng = random.Random(12)
+    item = sentence(rng, 60)
+    shown = folded(item)
+    texts = [f"{'qwertz yx ' * 6}{shown[at : at + decontam.WINDOW]}{' jkl vbnm' * 6}" for at in range(len(shown) - decontam.WINDOW + 1)]
+    found = {n for n, *_ in decontam.Index([(0, item)]).search(texts)}
+    assert len(texts) > 150 and found == set(range(len(texts)))
+
+
 def test_spans_are_where_the_leak_is():
     texts, items = ["Ünrelated – words! " + "ab cd ef gh ij kl mn op qr st uv wx yz 12 34 56" + " tail"], ["ab cd ef gh ij kl mn op qr st uv wx yz 12 34 56"]
     ((n, item, edits, start, end),) = decontam.Index(list(enumerate(items))).search(texts)
