@@ -35,7 +35,7 @@ def _track_totals(plays: DataFrame, dim: DataFrame, keys: Sequence[str]) -> Data
 
 def _listeners(plays: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
-        lookup_join(per_pair(plays, dim), dim, "track_id", ["user_id"])
+        lookup_join(per_pair(plays, dim), dim, "track_id", ["user_id"], keys=plays)
         .select(*keys, "user_id")
         .distinct()
         .groupBy(*keys)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from math import log2
+from functools import reduce
+from math import exp, log2
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cadenza.operators.ids import stirred
+
+REPLICATES = 200
+
 
 def rating_errors(predictions: DataFrame, label: str = "implicit_rating", prediction: str = "prediction") -> DataFrame:
     """RMSE and MAE as (metric, value) rows."""
@@ -16,6 +21,51 @@ def rating_errors(predictions: DataFrame, label: str = "implicit_rating", predic
     return _as_rows(one, {"RMSE": "rmse", "MAE": "mae"})
 
 
+def poisson_weight(unit, replicate, seed: int = 42):
+    """How often a replicate draws a unit: a Poisson number of mean 1 from mixed bits of both."""
+    mark = stirred((stirred(F.pmod(unit.cast("bigint"), F.lit(1 << 31)) + seed) + replicate) % (1 << 31))
+    return reduce(lambda a, b: a + b, [(mark >= t).cast("int") for t in poisson_limits()])
+
+
+def poisson_limits() -> list[int]:
+    """2^31 times the chances of a Poisson number of mean 1 to be at most 0, 1, 2 and so on."""
+    limits, chance, below = [], exp(-1), 0.0
+    for n in range(8):
+        below += chance
+        limits.append(int(below * (1 << 31)))
+        chance /= n + 1
+    return limits
+
+
+def rating_error_intervals(
+    predictions: DataFrame, unit: str = "user_id", replicates: int = REPLICATES, seed: int = 42, level: float = 0.95,
+    label: str = "implicit_rating", prediction: str = "prediction",
+) -> DataFrame:
+    """RMSE and MAE as (metric, value, low, high) rows, the interval from a bootstrap over whole units.
+
+    One pass sums the errors of each unit (a listener); every replicate weighs these sums by ``poisson_weight``, which
+    depends on unit, replicate and seed alone, so nothing is drawn, kept or shuffled per replicate but its sums.
+    """
+    error = F.col(label).cast("double") - F.col(prediction).cast("double")
+    sums = predictions.groupBy(unit).agg(
+        F.count(error).alias("n"), F.sum(error * error).alias("squares"), F.sum(F.abs(error)).alias("sizes")
+    )
+    # Replicate -1 is the sample itself.
+    replicate = F.explode(F.sequence(F.lit(-1).cast("bigint"), F.lit(replicates - 1).cast("bigint"))).alias("replicate")
+    drawn = sums.select("*", replicate).withColumn(
+        "w", F.when(F.col("replicate") < 0, 1).otherwise(poisson_weight(F.col(unit), F.col("replicate"), seed))
+    )
+    total = lambda c: F.sum(F.col("w") * F.col(c))
+    each = drawn.groupBy("replicate").agg(F.sqrt(total("squares") / total("n")).alias("RMSE"), (total("sizes") / total("n")).alias("MAE"))
+    rows = each.unpivot("replicate", ["RMSE", "MAE"], "metric", "value")
+    own, tail = F.col("replicate") < 0, (1 - level) / 2
+    resampled = F.when(~own, F.col("value"))
+    return rows.groupBy("metric").agg(
+        F.max(F.when(own, F.col("value"))).alias("value"), F.percentile(resampled, F.lit(tail)).alias("low"),
+        F.percentile(resampled, F.lit(1 - tail)).alias("high"),
+    )
+
+
 def _as_rows(one: DataFrame, names: dict[str, str]) -> DataFrame:
     cells = [F.struct(F.lit(m).alias("metric"), F.col(c).alias("value")) for m, c in names.items()]
     return one.select(F.inline(F.array(*cells)))

@@ -52,16 +52,17 @@ def hash_split(ratings: DataFrame, train_tenths: int = 8, seed: int = 42) -> tup
     return ratings.where(tenth < train_tenths), ratings.where(tenth >= train_tenths)
 
 
-def split_tenth(seed: int = 42):
-    """0 to 9 by three rounds of multiply, fold and add on 31-bit integers; any engine can compute it."""
+def stirred(x):
+    """31 mixed bits of a whole number below 2^32 by multiply, fold and add; any engine can compute it."""
+    # Two different odd factors below 2^31; the fold brings the high bits down.
+    x = (x * 1103515245 + 12345) % (1 << 31)
+    x = x.bitwiseXOR(F.shiftright(x, 15))
+    x = (x * 1597334677) % (1 << 31)
+    return x.bitwiseXOR(F.shiftright(x, 13))
 
-    def stirred(x):
-        # Two different odd factors below 2^31; the fold brings the high bits down.
-        x = (x * 1103515245 + 12345) % (1 << 31)
-        x = x.bitwiseXOR(F.shiftright(x, 15))
-        x = (x * 1597334677) % (1 << 31)
-        return x.bitwiseXOR(F.shiftright(x, 13))
 
+def split_tenth(seed: int = 42):
+    """0 to 9 by the mixed bits of both ids."""
     user, track = (F.col(c).cast("bigint") for c in ("user_idx", "track_idx"))
     mark = stirred((stirred(user + F.lit(seed).cast("bigint")) + track) % (1 << 31))
     return (mark % 10).cast("int")

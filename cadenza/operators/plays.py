@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from cadenza.functions import scalars as S
 from cadenza.operators.joins import fits_broadcast, lookup_join
 
+# A sketch of 2^14 slots errs by less than 2 % (three standard errors of 0.65 %).
+SKETCH_PRECISION, SKETCH_ERROR = 14, 0.02
+
 
 def completed(plays: DataFrame) -> DataFrame:
     return plays.where(S.is_completed())
@@ -83,7 +86,7 @@ def genre_counts(plays: DataFrame, tracks: DataFrame) -> DataFrame:
     """
     genres = tracks.where("genre <> ''").select("track_id", "genre")
     return (
-        lookup_join(per_pair(completed(plays), genres), genres, "track_id", ["user_id"])
+        lookup_join(per_pair(completed(plays), genres), genres, "track_id", ["user_id"], keys=plays)
         .groupBy("user_id", "genre")
         .agg(F.sum("plays").alias("plays"))
     )
@@ -166,7 +169,7 @@ def heard_pairs(plays: DataFrame) -> DataFrame:
 def known_track_coverage(plays: DataFrame, tracks: DataFrame) -> DataFrame:
     """Plays and listeners per genre with plays of unknown tracks kept under null."""
     genres = tracks.select("track_id", "genre")
-    pairs = lookup_join(per_pair(plays, genres), genres, "track_id", ["user_id"], how="left")
+    pairs = lookup_join(per_pair(plays, genres), genres, "track_id", ["user_id"], how="left", keys=plays)
     per_user = pairs.groupBy("genre", "user_id").agg(F.sum("plays").alias("plays"))
     return per_user.groupBy("genre").agg(
         F.sum("plays").alias("total_plays"), F.count(F.lit(1)).alias("listeners")
@@ -188,6 +191,22 @@ def restricted_to(plays: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return plays.join(F.broadcast(keys.select(key)), key, "left_semi")
 
 
+def listener_sketches(plays: DataFrame, precision: int = SKETCH_PRECISION) -> DataFrame:
+    """(year_month, listeners, sketch): the exact count of a month's listeners and a sketch that merges.
+
+    Exact counts do not add up over months; the sketches, of ``2 ** precision`` slots each, do.
+    """
+    return plays.groupBy(S.month_key("ts").alias("year_month")).agg(
+        F.countDistinct("user_id").alias("listeners"), F.hll_sketch_agg("user_id", precision).alias("sketch")
+    )
+
+
+def listeners_by_year(sketches: DataFrame) -> DataFrame:
+    """(year, estimate) from stored ``listener_sketches``: plays are not read."""
+    merged = sketches.groupBy(F.substring("year_month", 1, 4).alias("year")).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("year", F.hll_sketch_estimate("sketch").alias("estimate"))
+
+
 def plays_of_user(plays: DataFrame, user_id) -> DataFrame:
     return plays.where(F.col("user_id") == F.lit(user_id))
 

@@ -70,11 +70,28 @@ def _strongest(s: SparkSession, d: str) -> DataFrame:
     return plays.implicit_ratings(kept)
 
 
-def _mean_rating_errors(s: SparkSession, d: str) -> DataFrame:
-    """Errors of predicting each rating by its track's mean rating."""
+def _by_mean_rating(s: SparkSession, d: str) -> DataFrame:
+    """Each rating predicted by its track's mean rating."""
     ratings = plays.implicit_ratings(B.event_plays(s, d))
     means = ratings.groupBy("track_id").agg(F.avg("implicit_rating").alias("prediction"))
-    return _rounded(evaluation.rating_errors(ratings.join(means, "track_id")), ["value"])
+    return ratings.join(means, "track_id")
+
+
+def _mean_rating_errors(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(evaluation.rating_errors(_by_mean_rating(s, d)), ["value"])
+
+
+def _mean_rating_intervals(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(evaluation.rating_error_intervals(_by_mean_rating(s, d)), ["value", "low", "high"])
+
+
+def _yearly_listeners(s: SparkSession, d: str) -> DataFrame:
+    """Exact listeners of each year, and whether the stored months' sketches tell them within their bound."""
+    p = B.line_plays(s, d)
+    exact = p.groupBy(F.date_format("ts", "yyyy").alias("year")).agg(F.countDistinct("user_id").alias("listeners"))
+    told = plays.listeners_by_year(stored(plays.listener_sketches(p)))
+    near = F.abs(F.col("estimate") - F.col("listeners")) <= plays.SKETCH_ERROR * F.col("listeners")
+    return exact.join(told, "year").select("year", "listeners", near.alias("within_bound"))
 
 
 def _popularity_ranking(s: SparkSession, d: str) -> DataFrame:
@@ -383,6 +400,8 @@ def queries() -> dict[str, Query]:
         "dense_track_ids": lambda s, d: ids.dense_ids(E(s, d), "track_id", "track_idx"),
         "hash_split": _split,
         "mean_rating_errors": _mean_rating_errors,
+        "mean_rating_intervals": _mean_rating_intervals,
+        "listeners_by_year": _yearly_listeners,
         "popularity_ranking": _popularity_ranking,
         "als_recs": lambda s, d: _als_recs(s, d, unheard=False),
         "als_recs_unheard": lambda s, d: _als_recs(s, d, unheard=True),

@@ -1,7 +1,7 @@
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cadenza.operators.joins import lookup_join, null_safe_join, plan_bytes
+from cadenza.operators.joins import hot_keys, lookup_join, null_safe_join, plan_bytes
 
 
 def test_salted_join_equals_broadcast_join_with_a_hot_key(spark):
@@ -36,3 +36,28 @@ def test_facts_of_one_row_per_key_are_not_copied(spark):
     plain = lookup_join(facts, dim, "k", ["k"], limit=0)
     assert "_salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
     assert plain.count() == 20
+
+
+def test_dimensions_are_copied_for_hot_keys_only(spark):
+    even = spark.range(4000).select((F.col("id") % 400).alias("k"), F.col("id").alias("u"))
+    dim = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    plain = lookup_join(even, dim, "k", ["u"], limit=0)
+    text = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in text and "Generate" not in text and plain.count() == 4000
+    skewed = even.withColumn("k", F.when(F.col("u") % 3 == 0, 17).otherwise(F.col("k")))
+    assert hot_keys(skewed, "k") == ([17], False) and hot_keys(even, "k") == ([], False)
+    joined = lookup_join(skewed, dim, "k", ["u"], limit=0, salts=8)
+    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 4000
+    sizes = joined.where("k = 17").groupBy(F.pmod(F.xxhash64("u"), F.lit(8))).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * 1334 / 8
+
+
+def test_rows_without_a_key_are_spread(spark):
+    facts = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id") % 100).alias("k"), F.col("id").alias("u"))
+    dim = spark.range(90).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    assert hot_keys(facts, "k")[1] and hot_keys(facts.where("k is null"), "k") == ([], True)
+    near, far = lookup_join(facts, dim, "k", ["u"], "left"), lookup_join(facts, dim, "k", ["u"], "left", limit=0)
+    assert "_salt" in far._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(repr, near.collect())) == sorted(map(repr, far.select(near.columns).collect()))
+    assert lookup_join(facts.limit(0), dim, "k", ["u"], limit=0).count() == 0

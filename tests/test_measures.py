@@ -154,3 +154,42 @@ def test_kpis(play_table, track_table, user_table):
     k = eda.kpis(play_table, track_table, user_table).first()
     assert (k["total_events"], k["distinct_users"], k["distinct_tracks"], k["peak_hour"]) == (8, 3, 4, 8)
     assert (k["premium_pct"], k["top_genre"], k["top_genre_share_pct"]) == (50.0, "pop", 85.7)
+
+
+def test_replicates_draw_like_poisson(spark):
+    from cadenza.operators import evaluation
+
+    units = spark.range(20_000).select(F.col("id").alias("u"))
+    for replicate in (0, 1, 199):
+        got = {r["w"]: r["count"] for r in units.groupBy(evaluation.poisson_weight(F.col("u"), F.lit(replicate)).alias("w")).count().collect()}
+        want = [0.36788, 0.36788, 0.18394, 0.06131, 0.01533]
+        assert all(abs(got[n] / 20_000 - p) < 0.015 for n, p in enumerate(want))
+
+
+def test_intervals_narrow_with_the_units(spark):
+    from cadenza.operators import evaluation
+
+    widths = []
+    for n in (50, 5000):
+        rows_ = spark.range(4 * n).select(
+            (F.col("id") % n).alias("user_id"), (1 + F.col("id") % 7).alias("implicit_rating"), F.lit(3.0).alias("prediction")
+        )
+        got = {r["metric"]: r for r in evaluation.rating_error_intervals(rows_).collect()}
+        for r in evaluation.rating_errors(rows_).collect():
+            own = got[r["metric"]]
+            assert abs(own["value"] - r["value"]) < 1e-9 and own["low"] <= own["value"] <= own["high"]
+        widths.append(got["MAE"]["high"] - got["MAE"]["low"])
+    assert widths[1] < widths[0] / 4
+
+
+def test_sketches_of_months_tell_the_years_listeners(spark):
+    from cadenza.operators import plays
+
+    rows_ = spark.range(60_000).select(
+        (F.col("id") % 8_999).alias("user_id"), F.expr("timestamp '2023-11-01' + make_interval(0, id % 5)").alias("ts")
+    )
+    months = plays.listener_sketches(rows_)
+    got = {r["year"]: r["estimate"] for r in plays.listeners_by_year(months).collect()}
+    want = {str(r["y"]): r["n"] for r in rows_.groupBy(F.year("ts").alias("y")).agg(F.countDistinct("user_id").alias("n")).collect()}
+    assert set(got) == set(want) and all(abs(got[y] - n) <= plays.SKETCH_ERROR * n for y, n in want.items())
+    assert months.agg(F.sum("listeners")).first()[0] > sum(want.values())
