@@ -48,6 +48,15 @@ MARKS = frozenset(
     "comment comments reply replies disqus share sharing social related recommended widget toolbar pagination "
     "contentinfo complementary search alert".split()
 )
+# Of these, the words that mark an element within an article as advert, reader comments or a way elsewhere; the others also
+# name parts of a text: an alert, a menu, a form of words.
+INNER_MARKS = frozenset(
+    "ad ads advert adverts advertisement sponsor sponsored promo sidebar nav navbar navigation breadcrumb breadcrumbs newsletter "
+    "subscribe comment comments disqus share sharing social related recommended pagination".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# What holds other blocks; within an article only such can be marked, never a paragraph, an item or words of a line.
+CONTAINERS = frozenset("div section aside ul ol dl table figure details".split())
 # Elements that a later sibling of the same kind, or the end of their parent, closes.
 _CLOSED_BY_BLOCK = frozenset(["p"])
 
@@ -77,9 +86,9 @@ def _kind(name: str, article: int) -> str:
 
 def _marked(name: str, rest: str, article: int) -> bool:
     """Whether class, id or role say that the element is no part of the article."""
-    if not rest or name in WHOLE:
+    if not rest or name in WHOLE or name in HEADINGS or article and name not in CONTAINERS:
         return False
-    marks = MARKS - {"header"} if article else MARKS
+    marks = INNER_MARKS if article else MARKS
     return any(
         w.lower() in marks for found in _NAMED.finditer(rest) for w in _WORD.findall(found[1] or found[2] or found[3] or "")
     )
@@ -232,7 +241,9 @@ def score(token: tuple[str, str, str, bool], weights: dict[str, float]) -> float
         if article and name == "header":
             # What pages teach of this tag is of headers outside.
             return WEAKEST_TAG
-        return min(weights.get("t:" + name, INLINE_WEIGHT if name in INLINE else TAG_WEIGHT), 0.0)
+        # An article's own tags that no page has taught are as weak as its others.
+        unseen = WEAKEST_TAG if article else INLINE_WEIGHT if name in INLINE else TAG_WEIGHT
+        return min(weights.get("t:" + name, unseen), 0.0)
     return weights.get("w:" + element, WORD_WEIGHT) * len(text.split())
 
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from cadenza.llm import extract
@@ -104,3 +106,35 @@ def test_raw_elements_that_close_themselves(weights, empty):
     for rest in ("", "<script>var a = 1 < 2;</script>", "<svg><path d='x'/><text>drawn words</text></svg>"):
         assert extract.main_text(f"<article><p>one</p>{empty}<p>two three</p>{rest}</article>", weights) == "one\n\ntwo three"
     assert extract.main_text("<article><p>one two</p><textarea/>typed words</textarea><p>three</p></article>", weights) == "one two\n\nthree"
+
+
+@pytest.mark.parametrize("inner", [
+    '<p class="alert">An alert that is part of the text.</p>', '<p>Press <kbd class="menu">File</kbd> and go on.</p>',
+    '<p>A <span class="search-highlight">match</span> in a line.</p>', '<div class="alert notice"><p>Mind the step here.</p></div>',
+    '<h2 class="page-header">A headline with a class</h2>', '<ul class="menu-of-the-day"><li>Soup of the day</li></ul>',
+    '<blockquote class="comment">Quoted words of someone.</blockquote>', '<p id="form">The form of a sonnet.</p>',
+])
+def test_words_in_classes_do_not_cut_an_article(weights, inner):
+    around = "<p>Words of a paragraph that is as long as one line.</p>"
+    got = extract.main_text(page_of(f"<article>{around}{inner}{around}</article>"), weights).split("\n\n")
+    plain = re.sub("<[^>]*>", "", inner)
+    assert got == ["Words of a paragraph that is as long as one line.", plain, "Words of a paragraph that is as long as one line."]
+
+
+def test_tables_within_an_article_stay(weights):
+    around = "<p>Words of a paragraph that is as long as one line.</p>"
+    table = "<table>" + "".join(f"<tr><th>row {i}</th><td>{i}</td></tr>" for i in range(20)) + "</table>"
+    got = extract.main_text(page_of(f"<article>{around}{table}{around}</article>"), weights).split("\n\n")
+    assert got[0] == got[-1] and got[1:-1] == [t for i in range(20) for t in (f"row {i}", str(i))]
+
+
+def test_adverts_and_comments_within_an_article_go(weights):
+    around = "<p>Words of a paragraph that is as long as one line.</p>"
+    for name in ("ad", "comments", "social-share", "related"):
+        got = extract.main_text(page_of(f"<article>{around}<div class='{name}'><p>Other words</p></div>{around}</article>"), weights)
+        assert got.split("\n\n") == ["Words of a paragraph that is as long as one line."] * 2
+
+
+def test_headings_with_classes_outside_of_articles(weights):
+    page = "<body><nav><a href=x>Menu</a></nav><div><h1 class='page-header'>A headline of the page</h1><p>" + "Many words follow here. " * 9 + "</p></div></body>"
+    assert extract.main_text(page, weights).startswith("A headline of the page\n\nMany words")
