@@ -4,9 +4,14 @@ Each shortest run of lines with at least ``MIN_WORDS`` words, from any line on o
 is linked to its first holder, the earliest document that has it.  So a run in a third of all
 documents gives one link per document and never a pair for every two of them.  No partner is lost:
 a line of a longer run that any earlier document holds stands in a shortest one, and the first
-holder of that is earlier too.  For every distinct link the line hashes of both documents are
-compared; every run of lines with at least ``MIN_WORDS`` words
-that stands in both, in whatever order and however often, is deleted from the later document.
+holder of that is earlier too.  Rare runs alone would not do: passages of frequent lines stay.
+
+Two linked documents are aligned over the runs that link them by patience diff: runs that stand once
+in both, in the longest common order, then what lies between them.  Blocks of aligned lines are
+deleted from the later document.  What crosses that order, as moved passages do, is dealt by
+patience sorting into the fewest further alignments, until every common run is in one.  So
+every run of lines with at least ``MIN_WORDS`` words that stands in an earlier document, in whatever order
+and however often, is deleted.  Only the runs that link two documents are sent, never their other lines.
 Runs are those of the documents as given: lines that only a deletion brings together are none.
 
 A run's first holder never loses it: nothing earlier holds it.
@@ -14,9 +19,10 @@ A run's first holder never loses it: nothing earlier holds it.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -27,9 +33,10 @@ from cadenza.llm.common import KEY, fresh, row_key, ship, slices
 from cadenza.session import stored
 
 MIN_WORDS = 10
-# Run hashes: polynomials over the line hashes.
-_PRIME, _BASE = (1 << 61) - 1, 0x1F3D5B79A2C4E681
-_LATER, _EARLIER = [f"later_{c}" for c in KEY], [f"earlier_{c}" for c in KEY]
+# Run hashes: two polynomials over two hashes of each line; together they name a run.
+_PRIME, _BASES = (1 << 61) - 1, (0x1F3D5B79A2C4E681, 0x0B5297A4D6C1F36B)
+# A common run: its two hashes, its lines in the later document from start to stop, and where it starts in the earlier.
+Common = tuple[int, int, int, int, int]
 
 
 def _anchors(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
@@ -95,18 +102,14 @@ def aligned(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def _runs(lines: Sequence[int], words: Sequence[int], min_words: int) -> list[tuple[int, int, int]]:
-    """(hash, start, stop) of the shortest runs of ``min_words`` words from each start and to each end.
+def _spans(words: Sequence[int], min_words: int) -> list[tuple[int, int]]:
+    """(start, stop) of the shortest runs of ``min_words`` words from each start and to each end.
 
     Every line of a longer run stands in one of these that lies within it: a longer run is
     common to two documents exactly if all of its shortest runs are.
     """
-    n = len(lines)
-    heads, powers, total = [0] * (n + 1), [1] * (n + 1), [0] * (n + 1)
-    for place in range(n):
-        heads[place + 1] = (heads[place] * _BASE + lines[place] + 1) % _PRIME
-        powers[place + 1] = powers[place] * _BASE % _PRIME
-        total[place + 1] = total[place] + words[place]
+    n = len(words)
+    total = [0, *accumulate(words)]
     spans = set()
     stop = 0
     for start in range(n):
@@ -120,80 +123,145 @@ def _runs(lines: Sequence[int], words: Sequence[int], min_words: int) -> list[tu
             start += 1
         if total[stop] - total[start] >= min_words:
             spans.add((start, stop))
-    return [((heads[stop] - heads[start] * powers[stop - start]) % _PRIME, start, stop) for start, stop in sorted(spans)]
+    return sorted(spans)
+
+
+def _hashes(lines: Sequence[int], spans: Sequence[tuple[int, int]], base: int) -> list[int]:
+    """Hash of each run of lines."""
+    heads, powers = [0], [1]
+    for line in lines:
+        heads.append((heads[-1] * base + line + 1) % _PRIME)
+        powers.append(powers[-1] * base % _PRIME)
+    return [(heads[stop] - heads[start] * powers[stop - start]) % _PRIME for start, stop in spans]
+
+
+def _dealt(pairs: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Pairs of places, in order of the first, dealt into the fewest lists that increase in both, by patience sorting."""
+    # Negated last places of the lists, increasing: a pair goes on the first list that ends before it.
+    ends: list[int] = []
+    lists: list[list[tuple[int, int]]] = []
+    for pair in pairs:
+        at = bisect_right(ends, -pair[1])
+        if at == len(lists):
+            ends.append(0)
+            lists.append([])
+        ends[at] = -pair[1]
+        lists[at].append(pair)
+    return lists
+
+
+def common_blocks(common: Sequence[Common]) -> list[tuple[int, int]]:
+    """(start, stop) of the lines of the later document that its alignments with an earlier one cover, in order."""
+    later = sorted(common, key=lambda run: run[2:])
+    places = {run[:2]: (run[4], run[3] - run[2]) for run in later}
+    held = {run: n for n, run in enumerate(sorted(places, key=places.__getitem__))}
+    order = [held[run[:2]] for run in later]
+    first = aligned(order, range(len(held)))
+    done = {i for i, _ in first}
+    blocks = []
+    for alignment in [first, *_dealt([(i, j) for i, j in enumerate(order) if i not in done])]:
+        # Aligned runs that overlap or touch, at one distance between the documents, are one block.
+        start = stop = shift = -1
+        for i, _ in alignment:
+            _, _, run_start, run_stop, there = later[i]
+            if run_start > stop or run_start - there != shift:
+                blocks.append((start, stop))
+                start, stop, shift = run_start, run_stop, run_start - there
+            stop = max(stop, run_stop)
+        blocks.append((start, stop))
+    return merged(block for block in blocks if block[0] >= 0)
+
+
+def merged(blocks: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same lines as blocks that neither overlap nor touch."""
+    out: list[tuple[int, int]] = []
+    for start, stop in sorted(blocks):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(stop, out[-1][1]))
+        else:
+            out.append((start, stop))
+    return out
 
 
 def shared_lines(a: Sequence[int], words: Sequence[int], b: Sequence[int], min_words: int = MIN_WORDS) -> list[int]:
     """Places in ``a`` of the lines that stand in common runs of at least ``min_words`` words."""
     # A line of b that a lacks ends any common run, whatever words it has.
     known = dict(zip(a, words, strict=True))
-    held = {run for run, _, _ in _runs(b, [known.get(line, 0) for line in b], min_words)}
-    deleted: list[int] = []
-    done = 0
-    for run, start, stop in _runs(a, words, min_words):
-        if run in held:
-            deleted.extend(range(max(start, done), stop))
-            done = max(done, stop)
-    return deleted
-
-
-def _sequences(docs: DataFrame, min_words: int) -> DataFrame:
-    """Key, hashes of the shortest runs, hash and word count of every line of a document; a blank line has no words."""
+    spans, theirs = _spans(words, min_words), _spans([known.get(line, 0) for line in b], min_words)
+    held: dict[tuple[int, int], int] = {}
+    for run, (start, _) in zip(zip(*[_hashes(b, theirs, base) for base in _BASES], strict=True), theirs, strict=True):
+        held.setdefault(run, start)
+    runs = zip(zip(*[_hashes(a, spans, base) for base in _BASES], strict=True), spans, strict=True)
+    blocks = common_blocks([(*run, *span, held[run]) for run, span in runs if run in held])
+    return [place for start, stop in blocks for place in range(start, stop)]
+
+
+def _runs(docs: DataFrame, min_words: int) -> DataFrame:
+    """Key and the shortest runs of every document: two hashes, first line and the line after the last; a blank line has no words."""
     picked = docs.select(*row_key(F.col("doc_id"), F.col("text")), F.col("text").cast("string").alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                links, lines, words = [], [], []
+                found: list[list] = [[], [], [], []]
                 for text in texts:
                     stripped = [line.strip() for line in text.split("\n")]
-                    raw = [line.encode("utf-8", "surrogatepass") for line in stripped]
-                    words.append([len(line.split()) for line in stripped])
-                    # Two independent hashes: a wrong link costs a comparison, not a line.
-                    links.append(list({run for run, _, _ in _runs([xxhash.xxh64_intdigest(line) for line in raw], words[-1], min_words)}))
-                    lines.append([xxhash.xxh64_intdigest(line, 1) - (1 << 63) for line in raw])
+                    spans = _spans([len(line.split()) for line in stripped], min_words)
+                    raw = [line.encode("utf-8", "surrogatepass") for line in stripped] if spans else []
+                    for seed, base in enumerate(_BASES):
+                        found[seed].append(_hashes([xxhash.xxh64_intdigest(line, seed) for line in raw], spans, base))
+                    found[2].append([start for start, _ in spans])
+                    found[3].append([stop for _, stop in spans])
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(k) for k in KEY], pa.array(links, pa.list_(pa.int64())), pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32()))],
-                    names=[*KEY, "links", "lines", "words"],
+                    [*[part.column(k) for k in KEY], *[pa.array(f, pa.list_(kind)) for f, kind in zip(found, kinds, strict=True)]],
+                    names=[*KEY, "link", "proof", "start", "stop"],
                 )
 
     return picked.mapInArrow(
-        hashed, "key_id bigint, key_null int, key_text bigint, links array<bigint>, lines array<bigint>, words array<int>"
+        hashed,
+        "key_id bigint, key_null int, key_text bigint, link array<bigint>, proof array<bigint>, start array<int>, stop array<int>",
     )
 
 
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key columns, deleted): the places of the lines that a document loses; only documents that lose some."""
-    # One row per document, stored: the joins below then have plain shuffles on both sides, so that
-    # Spark can split what a first holder shared by very many documents, or a hot run, brings together.
-    sequences = stored(_sequences(docs, min_words).dropDuplicates(list(KEY)))
-    order = F.struct("key_null", "key_id", "key_text")
-    holdings = sequences.select(*KEY, F.explode("links").alias("link"))
-    firsts = (
-        holdings.groupBy("link").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-        .where("first != last").select("link", *[F.col(f"first.{k}").alias(e) for k, e in zip(KEY, _EARLIER, strict=True)])
+    """(key columns, deleted): blocks of lines, from start to stop, that a document loses; only documents that lose some."""
+    runs = stored(_runs(docs, min_words))
+    holdings = runs.select(*KEY, F.inline(F.arrays_zip("link", "proof", "start", "stop")))
+    order = ("key_null", "key_id", "key_text")
+    # The first holder and where it has the run; a run that one document alone holds links nothing.
+    firsts = stored(
+        holdings.groupBy("link", "proof")
+        .agg(F.min(F.struct(*order, "start")).alias("first"), F.max(F.struct(*order)).alias("last"))
+        .where(F.struct(*[F.col(f"first.{k}").alias(k) for k in order]) != F.col("last"))
+        .select("link", "proof", *[F.col(f"first.{k}").alias(f"first_{k}") for k in (*order, "start")])
     )
-    firsts = stored(firsts)
-    other = F.struct(*KEY) != F.struct(*[F.col(c).alias(k) for k, c in zip(KEY, _EARLIER, strict=True)])
-    pairs = holdings.join(firsts, "link").where(other).select(*[F.col(k).alias(c) for k, c in zip(KEY, _LATER, strict=True)], *_EARLIER).distinct()
-
-    def side(names: list[str], *fields: str) -> DataFrame:
-        return sequences.select(*[F.col(k).alias(c) for k, c in zip(KEY, names, strict=True)], *[F.col(f).alias(f"{names[0][:4]}_{f}") for f in fields])
-
-    both = pairs.join(side(_LATER, "lines", "words"), _LATER).join(side(_EARLIER, "lines"), _EARLIER)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Both sides are plain shuffles, so that Spark can split what a hot run brings together.
+    other = F.struct(*KEY) != F.struct(*[F.col(f"first_{k}").alias(k) for k in KEY])
+    earlier = [f"first_{k}" for k in KEY]
+    linked = holdings.join(firsts, ["link", "proof"]).where(other)
+    # What a document shares with all earlier ones: at most its own runs.
+    shared = linked.groupBy(*KEY).agg(F.collect_set(F.struct(*earlier, "link", "proof", "start", "stop", "first_start")).alias("shared"))
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fields = [batch.column(c).to_pylist() for c in ("late_lines", "late_words", "earl_lines")]
-            lost = [shared_lines(a, words, b, min_words) for a, words, b in zip(*fields, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in _LATER], pa.array(lost, pa.list_(pa.int32()))], names=[*KEY, "lost"]
-            )
-
-    lost = both.select(*_LATER, "late_lines", "late_words", "earl_lines").mapInArrow(
-        compare, "key_id bigint, key_null int, key_text bigint, lost array<int>"
+            lists = batch.column("shared")
+            fields = [field.to_pylist() for field in lists.flatten().flatten()]
+            sizes = lists.value_lengths().to_pylist()
+            lost, at = [], 0
+            for size in sizes:
+                partners: dict[tuple, list[Common]] = defaultdict(list)
+                for row in zip(*[field[at : at + size] for field in fields], strict=True):
+                    partners[row[: len(KEY)]].append(row[len(KEY) :])
+                at += size
+                blocks = merged(block for common in partners.values() for block in common_blocks(common))
+                lost.append([{"start": start, "stop": stop} for start, stop in blocks])
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in KEY], pa.array(lost, kind)], names=[*KEY, "deleted"])
+
+    return shared.mapInArrow(
+        align, "key_id bigint, key_null int, key_text bigint, deleted array<struct<start: int, stop: int>>"
     )
-    return lost.select(*KEY, F.explode("lost").alias("line")).groupBy(*KEY).agg(F.collect_set("line").alias("deleted"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, deleted_column: str = "n_deleted") -> DataFrame:
@@ -212,10 +280,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, deleted_column: str
     lost = lost.select(*[F.col(c).alias(n) for c, n in names.items()])
     joined = keyed.join(lost, [names[k] for k in KEY], "left")
     dropped = F.col(names["deleted"])
-    lines = F.filter(F.split("text", "\n"), lambda line, place: ~F.array_contains(dropped, place))
+    lines = F.filter(F.split("text", "\n"), lambda _, n: ~F.exists(dropped, lambda b: (b["start"] <= n) & (n < b["stop"])))
+    count = F.aggregate(dropped, F.lit(0).cast("bigint"), lambda total, b: total + b["stop"] - b["start"])
     text = F.when(dropped.isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
     kept = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*kept, F.coalesce(F.size(dropped), F.lit(0)).cast("bigint").alias(added))
+    return joined.select(*kept, F.coalesce(count, F.lit(0)).cast("bigint").alias(added))
 
 
 ship(__name__)

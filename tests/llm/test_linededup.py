@@ -146,3 +146,38 @@ def test_equals_brute_force_on_short_shared_lines(spark):
     got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs_of(spark, texts)).collect()}
     assert got[3] == "own"
     assert [got[i] for i in range(len(texts))] == brute(texts, linededup.MIN_WORDS)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 30), max_size=20))
+def test_crossings_are_dealt_into_the_fewest_lists(places):
+    lists = linededup._dealt(list(enumerate(places)))
+    assert sorted(pair for one in lists for pair in one) == list(enumerate(places))
+    assert all(x[0] < y[0] and x[1] < y[1] for one in lists for x, y in zip(one, one[1:], strict=False))
+    # As many lists as pairs that cross one another in a row: fewer cannot be.
+    longest = [0] * len(places)
+    for i, place in enumerate(places):
+        longest[i] = 1 + max((longest[j] for j in range(i) if places[j] >= place), default=0)
+    assert len(lists) == max(longest, default=0)
+
+
+def test_blocks_of_an_alignment():
+    # Lines 0 to 3 and 6 to 7 of the later document stand in the earlier one, in the other order.
+    common = [(1, 1, 0, 2, 10), (2, 2, 1, 3, 11), (3, 3, 2, 4, 12), (4, 4, 6, 8, 3)]
+    assert linededup.common_blocks(common) == [(0, 4), (6, 8)]
+    assert linededup.common_blocks([]) == []
+    assert linededup.merged([(5, 9), (0, 2), (2, 3), (6, 7)]) == [(0, 3), (5, 9)]
+
+
+def test_long_documents_in_reversed_order_take_one_pass():
+    n = 60_000
+    assert linededup.common_blocks([(i, i, i, i + 1, n - i) for i in range(n)]) == [(0, n)]
+
+
+def test_linked_documents_are_aligned(spark, monkeypatch):
+    """The query's deletions come from the alignment: without aligned pairs and dealt ones there are none."""
+    docs = docs_of(spark, [PASSAGE, f"{PASSAGE}\nown"])
+    assert [r["n_deleted"] for r in linededup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 6]
+    monkeypatch.setattr(linededup, "aligned", lambda a, b: [])
+    monkeypatch.setattr(linededup, "_dealt", lambda pairs: [])
+    assert linededup.dedup_lines(docs).where("n_deleted > 0").count() == 0
