@@ -35,3 +35,32 @@ def test_any_rank(spark, values, rank):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     found = quantiles.order_statistics(df, {"x": [rank]}, {"x": (min(values), max(values))})
     assert found["x", rank] == sorted(values)[rank]
+
+
+def test_all_columns_take_two_scans(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    data = {"a": rng.normal(size=30_000), "b": rng.exponential(size=30_000) * 1e6, "c": rng.integers(0, 5, 30_000).astype(float)}
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*data.values(), strict=True)], "a double, b double, c double")
+    scans, rows = [], []
+    melted, selected = quantiles._melted, quantiles._selected
+
+    def counted(values, intervals):
+        rows.append(values.count())
+        return selected(values, intervals)
+
+    monkeypatch.setattr(quantiles, "_melted", lambda *given: scans.append(given[1]) or melted(*given))
+    monkeypatch.setattr(quantiles, "_selected", counted)
+    got = {r["column"]: r for r in quantiles.describe(df, ["a", "b", "c"], 9).collect()}
+    for c, values in data.items():
+        assert np.allclose([got[c][q] for q in ("q25", "q50", "q75")], np.percentile(values, [25, 50, 75]), rtol=1e-9, atol=1e-8)
+    # One scan after the sketch's, whatever the columns; another is for ranks that were missed, of which there are none.
+    assert scans == [["a", "b", "c"]]
+    # What ranks are selected from is a small part of the 90,000 values.
+    assert rows[0] < 90_000 * 2 * 3 * (quantiles.REACH + 1) / quantiles.ACCURACY + 10
+
+
+def test_brackets_that_miss_their_ranks_cost_scans_only(spark):
+    values = [float(x) for x in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for spans in ([(400.0, 420.0)], [(-5.0, -1.0)], [(10.0, 10.0), (249.0, 251.0)]):
+        assert quantiles._bracketed(df, {"x": [10, 250, 499]}, {"x": (0.0, 499.0)}, {"x": spans}) == {("x", r): float(r) for r in (10, 250, 499)}
