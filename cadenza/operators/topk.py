@@ -1,11 +1,11 @@
 """The k items with the largest inner product for every query, exactly.
 
-Items are hashed to blocks of about ``BLOCK_ITEMS`` and every query row is sent to every block,
-so what is shuffled is queries times blocks.  A task holds one block as a matrix, longest
+Items that fit one block of ``BLOCK_ITEMS`` lie in it; more are grouped around centres, and a query row is sent to the
+blocks that can hold one of its best (``balls``).  A task holds one block as a matrix, longest
 vectors first, streams that block's queries past it and keeps only the best k unseen items of
 each; pairs never leave a task.  No item can score above the product of both lengths, so a query
 is done with a block as soon as that falls below the k-th score it has there.  The bound skips
-work, never results, and there is one way for every size.
+work, never results.
 
 Seen pairs go to the block of their item, beside the queries of their user.  Where there are
 fewer blocks than partitions, blocks are copied and users divided over the copies.
@@ -27,6 +27,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadenza.operators import balls
+
 BLOCK_ITEMS = 65_536
 ITEMS_AT_ONCE, QUERIES_AT_ONCE = 4096, 256
 # A row's place packs its block, salt and some bits of its user's hash, 0 for items.
@@ -63,6 +65,11 @@ def top_k_dot(
     queries = queries.where(F.col("user_id").isNotNull() & complete(F.col("vector")))
     items = items.select("track_id", "vector").where(complete(F.col("vector")))
     chunks = max(1, ceil(items.count() / block_items))
+    if chunks > 1:
+        items, groups = balls.grouped(items, chunks, block_items)
+        queries = balls.asked(queries, seen, groups, k, spec.slack)
+        seen = None if seen is None else balls.known(seen, items)
+        chunks = int(groups.blocks.sum())
     partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = max(1, min(partitions // chunks, 1 << SALT_BITS))
     return _ranked(_scored(queries, items, seen, spec, chunks, copies), spec)
@@ -75,6 +82,11 @@ class _Spec:
     user_type: T.DataType
     track_type: T.DataType
 
+    @property
+    def slack(self) -> float:
+        """What rounding can move a score by."""
+        return 0.0 if self.digits is None else 10.0 ** -self.digits
+
 
 def _ranked(hits: DataFrame, spec: _Spec) -> DataFrame:
     score = F.col("score") if spec.digits is None else F.round("score", spec.digits)
@@ -90,7 +102,7 @@ def _scored(queries: DataFrame, items: DataFrame, seen: DataFrame | None, spec:
     """Best k per request and block.
 
     In a block the items come first, then each user's seen items, then the
-    user's requests.
+    user's requests.  Frames without ``chunk`` are dealt by the item's hash, queries to every block.
     """
     empty = {
         "track_id": F.lit(None).cast(spec.track_type), "user_id": F.lit(None).cast(spec.user_type),
@@ -108,12 +120,15 @@ def _scored(queries: DataFrame, items: DataFrame, seen: DataFrame | None, spec:
             *[F.col(c) if c in present else v.alias(c) for c, v in empty.items()],
         )
 
-    held = items.withColumn("chunk", chunk).withColumn("salt", _each(copies))
-    asked = queries.withColumns({"chunk": _each(chunks), "salt": salt})
+    def dealt(frame: DataFrame, place: Column) -> DataFrame:
+        return frame if "chunk" in frame.columns else frame.withColumn("chunk", place)
+
+    held = dealt(items, chunk).withColumn("salt", _each(copies))
+    asked = dealt(queries, _each(chunks)).withColumn("salt", salt)
     everything = rows(held, ITEM, F.lit(0)).unionByName(rows(asked, REQUEST, user_bits))
     if seen is not None:
-        known = seen.where("user_id is not null").select("user_id", "track_id")
-        everything = everything.unionByName(rows(known.withColumns({"chunk": chunk, "salt": salt}), SEEN, user_bits))
+        known = dealt(seen.where("user_id is not null"), chunk).select("user_id", "track_id", "chunk")
+        everything = everything.unionByName(rows(known.withColumn("salt", salt), SEEN, user_bits))
     schema = T.StructType([
         T.StructField("user_id", spec.user_type),
         T.StructField("probe", T.IntegerType()),
@@ -129,7 +144,7 @@ def _scored(queries: DataFrame, items: DataFrame, seen: DataFrame | None, spec:
 
 def _block_scorer(spec: _Spec):
     k, digits = spec.k, spec.digits
-    slack = 0.0 if digits is None else 10.0 ** -digits
+    slack = spec.slack
 
     def unpacked(rows_: pa.RecordBatch) -> np.ndarray:
         return rows_.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(rows_), -1)

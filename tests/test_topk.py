@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from cadenza.operators import topk
+from cadenza.operators import balls, topk
 
 
 def frames(spark, users, items, seen=None, text_ids=False):
@@ -130,3 +130,50 @@ def test_many_dimensions_plan_and_shuffle_little(spark):
     assert "Cartesian" not in text and "Join" not in text
     asked = topk._scored(q.selectExpr("user_id", "0 as probe", "vector"), t, None, topk._Spec(4, 9, q.schema[0].dataType, t.schema[0].dataType), 3, 1)
     assert asked.count() <= 50 * 3 * 4
+
+
+def clustered(seed, users=60, items=1200, groups=12, dims=64):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(groups, dims))
+    spread = lambda n: np.round(centres[rng.integers(0, groups, n)] + 0.05 * rng.normal(size=(n, dims)), 6)
+    vectors, queries = spread(items), spread(users)
+    return queries, vectors, {(int(u), int(i)) for u, i in zip(rng.integers(0, users, 900), rng.integers(0, items, 900))}
+
+
+def test_queries_are_sent_to_few_blocks_of_clustered_items(spark):
+    queries, items, seen = clustered(3)
+    q, t, s = frames(spark, queries, items, sorted(seen))
+    held, groups = balls.grouped(t, 12, 100)
+    sent = balls.asked(q, s, groups, 5, 1e-9)
+    # Every query to every block would be 60 rows a block, of 12 blocks at least.
+    assert groups.blocks.sum() >= 12 and sent.count() <= 60 * groups.blocks.sum() / 4
+    assert held.groupBy("chunk").count().agg({"count": "max"}).first()[0] <= 200
+    assert result(topk.top_k_dot(q, t, 5, s, block_items=100)) == brute(queries, items, seen, 5)
+
+
+def test_balls_hold_their_items_and_bounds_hold(spark):
+    queries, items, _ = clustered(4, users=20, items=300, groups=5, dims=6)
+    _, t, _ = frames(spark, queries, items)
+    held, groups = balls.grouped(t, 7, 50)
+    rows = held.collect()
+    assert sorted(r["track_id"] for r in rows) == list(range(300)) and groups.count.sum() == 300
+    of_block = np.repeat(np.arange(len(groups.blocks)), groups.blocks)
+    for r in rows:
+        ball = of_block[r["chunk"]]
+        assert np.linalg.norm(np.array(r["vector"]) - groups.centres[ball]) <= groups.radius[ball] + 1e-12
+    # The groups reached hold every one of the best.
+    place = {r["track_id"]: of_block[r["chunk"]] for r in rows}
+    for wanted in (1, 10, 299, 1000):
+        row, ball = balls._reached(queries, np.full(len(queries), wanted), groups, 1e-9)
+        reached = set(zip(row.tolist(), ball.tolist(), strict=True))
+        for u, best in brute(queries, items, set(), wanted).items():
+            assert all((u, place[i]) in reached for i in best)
+
+
+def test_vectors_of_no_and_of_endless_length(spark):
+    items = [[0.0, 0.0]] * 40 + [[1.0, float("inf")]] + [[float(i), 1.0] for i in range(40)]
+    q, t, _ = frames(spark, [[1.0, 0.0], [0.0, 0.0], [1.0, 1.0]], items)
+    got = result(topk.top_k_dot(q, t.where("track_id <> 40"), 3, block_items=10))
+    assert got == {0: [80, 79, 78], 1: [0, 1, 2], 2: [80, 79, 78]}
+    # An item of endless length hides no other.
+    assert result(topk.top_k_dot(q.where("user_id = 2"), t, 3, block_items=10)) == {2: [40, 80, 79]}
