@@ -6,8 +6,10 @@ sequence to its bucket's boundary costs least.  Within a bucket of boundary b, e
 ``budget // b`` consecutive sequences form a batch.
 
 The histogram has at most ``max_tokens`` bins however large the corpus is, and is all that
-reaches the driver.  Places within a bucket come from counts per (bucket, salt) and a window
-inside each salt, so no task sees a whole bucket.
+reaches the driver.  Equal sequences (those of repeated rows or of null ids) are counted and dealt out
+in portions.  Places within a bucket come from counts per (bucket, salt) and a running sum over the
+portions inside each salt, so no task sees a whole bucket or all copies of one row, and the result
+does not depend on how the table lies in files.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ MAX_TOKENS = 2048
 BUCKETS = 8
 BUDGET = 65_536
 ROWS_PER_SALT = 50_000
+PORTION = 1024
 
 
 def word_count(text: Column) -> Column:
@@ -92,33 +95,40 @@ def pack(
 
     ``length`` is a document's token count, by default its words.  A batch is unique within its
     bucket and holds at most ``max(1, budget // bucket)`` sequences; empty sequences go to the
-    first bucket.  Within a bucket sequences stand in the order of a hash of id, piece and the row's number as
-    the table is read; repeated rows are sequences of their own, null ids one id like any other.  A null
-    text or length is 0; an empty table gives no rows.  Other columns are not read.
+    first bucket.  Within a bucket sequences stand in the order of a hash of id, piece and length; equal
+    sequences lie together in portions of ``PORTION``.  Repeated rows are sequences of their own, null ids
+    one id like any other.  A null text or length is 0; an empty table gives no rows.  Other columns are
+    not read.
     """
     length = word_count(F.col("text")) if length is None else length
-    # The row's number keeps repeated and null ids apart, so that no salt can grow hot.
-    cut = stored(sequences(docs, length, max_tokens).withColumn("row", F.monotonically_increasing_id()))
-    histogram = {int(r["n_tokens"]): int(r["n"]) for r in cut.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()}
+    same = ["doc_id", "piece", "start", "n_tokens"]
+    cut = stored(sequences(docs, length, max_tokens).groupBy(*same).agg(F.count(F.lit(1)).alias("copies")))
+    histogram = {int(r["n_tokens"]): int(r["n"]) for r in cut.groupBy("n_tokens").agg(F.sum("copies").alias("n")).collect()}
     edges = boundaries(histogram, buckets)
     rows = sum(histogram.values())
     bucket = F.lit(edges[-1] if edges else 0)
     for edge in reversed(edges[:-1]):
         bucket = F.when(F.col("n_tokens") <= edge, edge).otherwise(bucket)
     salts = max(1, ceil(rows / rows_per_salt))
-    mark = F.xxhash64("doc_id", "piece", "row")
+    last = F.floor((F.col("copies") - 1) / PORTION).cast("bigint")
+    portions = cut.select(*same, "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("portion"))
+    mark = F.shiftrightunsigned(F.xxhash64("doc_id", "piece", "n_tokens", "portion"), 33).cast("bigint")
     # Salts are ranges of the hash, so that places follow the hash whatever their number.
-    salt = F.floor((F.shiftrightunsigned(mark, 33).cast("bigint") * salts) / (1 << 31)).cast("bigint")
-    placed = cut.withColumns({"bucket": bucket.cast("bigint"), "mark": F.shiftrightunsigned(mark, 33), "salt": salt})
-    before = placed.groupBy("bucket", "salt").agg(F.count(F.lit(1)).alias("n"))
+    salt = F.floor((F.col("mark") * salts) / (1 << 31)).cast("bigint")
+    size = F.least(F.col("copies") - F.col("portion") * PORTION, F.lit(PORTION)).cast("bigint")
+    placed = portions.withColumns({"bucket": bucket.cast("bigint"), "mark": mark, "size": size}).withColumn("salt", salt)
+    before = placed.groupBy("bucket", "salt").agg(F.sum("size").alias("n"))
     # One row per bucket and salt: a few per ROWS_PER_SALT sequences.
     offset = before.select(
         "bucket", "salt", (F.sum("n").over(W.partitionBy("bucket").orderBy("salt")) - F.col("n")).alias("offset")
     )
-    within = F.row_number().over(W.partitionBy("bucket", "salt").orderBy("mark", "doc_id", "piece", "row"))
-    numbered = placed.withColumn("within", within - 1).join(offset, ["bucket", "salt"])
+    order = W.partitionBy("bucket", "salt").orderBy("mark", *same, "portion").rowsBetween(W.unboundedPreceding, W.currentRow)
+    within = F.sum("size").over(order) - F.col("size")
+    numbered = placed.withColumn("within", within).join(offset, ["bucket", "salt"])
+    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1)).alias("copy")
+    numbered = numbered.select(*same, "bucket", "offset", "within", copy)
     capacity = F.greatest(F.floor(F.lit(budget) / F.greatest("bucket", F.lit(1))), F.lit(1)).cast("bigint")
-    place = F.col("offset") + F.col("within")
+    place = F.col("offset") + F.col("within") + F.col("copy")
     return numbered.select(
         "doc_id", "piece", "start", "n_tokens", "bucket", F.floor(place / capacity).cast("bigint").alias("batch"),
         (place % capacity).cast("bigint").alias("slot"), (F.col("bucket") - F.col("n_tokens")).alias("padding"),
