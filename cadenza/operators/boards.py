@@ -1,8 +1,8 @@
 """Genre, artist and subscription measures.
 
-Listener counts come from distinct (group, user) pairs and all other counts
-from per-track or per-user sums, so no step needs several distinct counts over
-the raw plays and no reducer sees the plays of one hot group.
+Plays are read once, into stored sums per (user, track).  Listener counts come from distinct
+(group, user) pairs of these and all other counts from their sums per track, so no step needs
+several distinct counts over the raw plays and no reducer sees the plays of one hot group.
 """
 
 from __future__ import annotations
@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import scalars as S
 from cadenza.operators.joins import lookup_join, null_safe_join
-from cadenza.operators.plays import completed, per_pair
+from cadenza.operators.plays import completed
 from cadenza.session import stored
 
 
-def _track_totals(plays: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    by_track = plays.groupBy("track_id").agg(
+def _pair_sums(plays: DataFrame) -> DataFrame:
+    """(user_id, track_id, n, done): all plays and completed ones, from one scan."""
+    return stored(plays.groupBy("user_id", "track_id").agg(
         F.count(F.lit(1)).alias("n"), S.count_where(S.is_completed()).alias("done")
-    )
+    ))
+
+
+def _track_totals(sums: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    by_track = sums.groupBy("track_id").agg(F.sum("n").alias("n"), F.sum("done").alias("done"))
     return (
         lookup_join(by_track, dim, "track_id", ["track_id"])
         .groupBy(*keys)
@@ -33,9 +38,9 @@ def _track_totals(plays: DataFrame, dim: DataFrame, keys: Sequence[str]) -> Data
     )
 
 
-def _listeners(plays: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _listeners(pairs: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
-        lookup_join(per_pair(plays, dim), dim, "track_id", ["user_id"], keys=plays)
+        lookup_join(pairs.select("user_id", "track_id"), dim, "track_id", ["user_id"])
         .select(*keys, "user_id")
         .distinct()
         .groupBy(*keys)
@@ -43,13 +48,13 @@ def _listeners(plays: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFra
     )
 
 
-def genre_popularity(plays: DataFrame, tracks: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def genre_popularity(plays: DataFrame, tracks: DataFrame) -> DataFrame:
     """Plays, listeners, tracks, completion and share of all plays per genre."""
     dim = tracks.select("track_id", "genre")
-    counted = plays if counted is None else counted
-    totals = _track_totals(counted, dim, ["genre"])
-    listeners = _listeners(plays, dim, ["genre"])
-    all_plays = counted.agg(F.count(F.lit(1))).scalar()
+    pairs = _pair_sums(plays)
+    totals = _track_totals(pairs, dim, ["genre"])
+    listeners = _listeners(pairs, dim, ["genre"])
+    all_plays = pairs.agg(F.sum("n")).scalar()
     return (
         null_safe_join(totals, listeners, ["genre"])
         .select(
@@ -64,11 +69,12 @@ def genre_popularity(plays: DataFrame, tracks: DataFrame, counted: DataFrame | N
     )
 
 
-def genre_skips(plays: DataFrame, tracks: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def genre_skips(plays: DataFrame, tracks: DataFrame) -> DataFrame:
     """Skip rate per genre; the share is of plays of known tracks."""
     dim = tracks.select("track_id", "genre")
-    totals = _track_totals(plays if counted is None else counted, dim, ["genre"])
-    listeners = _listeners(plays, dim, ["genre"])
+    pairs = _pair_sums(plays)
+    totals = _track_totals(pairs, dim, ["genre"])
+    listeners = _listeners(pairs, dim, ["genre"])
     known = totals.agg(F.sum("total_plays")).scalar()
     skipped = F.col("total_plays") - F.col("done")
     return (
@@ -84,24 +90,22 @@ def genre_skips(plays: DataFrame, tracks: DataFrame, counted: DataFrame | None =
     )
 
 
-def artist_leaderboard(
-    plays: DataFrame, tracks: DataFrame, n: int = 30, counted: DataFrame | None = None
-) -> DataFrame:
+def artist_leaderboard(plays: DataFrame, tracks: DataFrame, n: int = 30) -> DataFrame:
     """The ``n`` artists with most completed plays.
 
-    The board comes from per-track sums and is stored, ``n`` rows; listeners are
-    then counted for the tracks of those ``n`` artists only.
+    The board is stored, ``n`` rows; listeners are then counted for the tracks of
+    those ``n`` artists only.
     """
     keys = ["artist_id", "artist_name", "genre"]
-    done = completed(plays)
+    pairs = _pair_sums(completed(plays))
     dim = tracks.select("track_id", *keys)
     board = stored(
-        _track_totals(completed(plays if counted is None else counted), dim, keys)
+        _track_totals(pairs, dim, keys)
         .orderBy(F.desc("total_plays"), *keys)
         .limit(n)
     )
     on_board = null_safe_join(dim, F.broadcast(board), keys, "left_semi")
-    listeners = _listeners(done, on_board, keys)
+    listeners = _listeners(pairs, on_board, keys)
     return (
         null_safe_join(listeners, F.broadcast(board), keys)
         .select(*keys, "total_plays", "unique_listeners", "track_count")
@@ -112,8 +116,9 @@ def artist_leaderboard(
 def artist_names(plays: DataFrame, tracks: DataFrame, n: int = 15) -> DataFrame:
     """The ``n`` artist names with most completed plays; equal names count together."""
     dim = tracks.select("track_id", "artist_name")
+    sums = completed(plays).groupBy("track_id").agg(F.count(F.lit(1)).alias("n")).withColumn("done", F.col("n"))
     return (
-        _track_totals(completed(plays), dim, ["artist_name"])
+        _track_totals(sums, dim, ["artist_name"])
         .select("artist_name", F.col("total_plays").alias("plays"))
         .orderBy(F.desc("plays"), "artist_name")
         .limit(n)

@@ -12,24 +12,27 @@ from pyspark.sql import functions as F
 from cadenza.functions import scalars as S
 from cadenza.operators.joins import lookup_join
 from cadenza.operators.plays import completed, genre_counts, restricted_to, track_engagement
+from cadenza.session import stored
 
 
 def kpis(plays: DataFrame, tracks: DataFrame, users: DataFrame, premium: str = "premium") -> DataFrame:
-    """One row of headline figures."""
-    by_user = plays.groupBy("user_id").agg(
+    """One row of headline figures; the plays are read once, for their sums per user, per track and per hour."""
+    keys = ["user_id", "track_id", "hour_of_day"]
+    sums = stored(plays.groupingSets([[k] for k in keys], *keys).agg(
+        F.grouping_id().alias("others"),
         F.count(F.lit(1)).alias("n"),
         F.sum("skipped").alias("skips"),
         F.sum("play_duration_ms").alias("ms"),
         F.count("play_duration_ms").alias("timed"),
-    )
-    by_track = plays.groupBy("track_id").agg(F.count(F.lit(1)).alias("n"))
+    ))
+    # The id has a bit for each key that a row is not grouped by.
+    by_user, by_track, by_hour = (sums.where(F.col("others") == others) for others in (0b011, 0b101, 0b110))
     by_genre = (
-        lookup_join(by_track, tracks.select("track_id", "genre"), "track_id", ["track_id"])
+        lookup_join(by_track.select("track_id", "n"), tracks.select("track_id", "genre"), "track_id", ["track_id"])
         .groupBy("genre")
         .agg(F.sum("n").alias("n"))
     )
     top = by_genre.orderBy(F.desc("n"), "genre").limit(1)
-    by_hour = plays.groupBy("hour_of_day").agg(F.count(F.lit(1)).alias("n"))
     peak = by_hour.orderBy(F.desc("n"), "hour_of_day").limit(1)
     share = users.agg(S.percent(S.count_where(F.col("subscription_type") == premium), F.count(F.lit(1)), 1))
     return by_user.agg(

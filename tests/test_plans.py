@@ -2,7 +2,9 @@
 
 import pytest
 
+from cadenza.operators import boards, eda
 from cadenza.plans import catalog
+from cadenza.session import stored
 
 NO_PYTHON = [
     "top_tracks", "user_genre_affinity", "genre_popularity", "artist_leaderboard", "cohort_subscription",
@@ -47,3 +49,19 @@ def test_filters_reach_the_scan(spark, small):
 def test_plays_per_track_are_summed_before_the_join(spark, small):
     text = plan(spark, small, "top_tracks")
     assert text.index("BroadcastHashJoin") < text.index("HashAggregate")
+
+
+@pytest.mark.parametrize("name, fact, module", [
+    ("genre_popularity", "lineitem", boards), ("genre_skips", "lineitem", boards), ("artist_leaderboard", "lineitem", boards),
+    ("kpis", "events", eda),
+])
+def test_plays_are_scanned_once(spark, small, monkeypatch, name, fact, module):
+    scans = []
+
+    def watched(df):
+        scans.append(df._jdf.queryExecution().executedPlan().toString().count(f"{fact}.parquet"))
+        return stored(df)
+
+    monkeypatch.setattr(module, "stored", watched)
+    assert plan(spark, small, name).count(f"{fact}.parquet") == 0
+    assert sum(scans) == 1
