@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from cadenza.operators import (
 )
 from cadenza.session import own_path, stored
 from cadenza.sources import bindings as B
-from cadenza.sources import readers
-from cadenza.sources.schemas import AUDIO_FEATURES, TRACK_FEATURES
+from cadenza.sources import readers, sinks
+from cadenza.sources.schemas import AUDIO_FEATURES, EMBEDDED_FEATURES, PLAYS, TRACK_FEATURES
 from cadenza.streaming import activity, upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,9 +186,9 @@ def _hybrid_als(s: SparkSession, d: str) -> DataFrame:
     return hybrid.hybrid_recommendations(p, B.embedding_tracks(s, d), factors=(fit.users, fit.tracks))
 
 
-def _clustered(measure) -> Query:
+def _clustered(measure, features=EMBEDDED_FEATURES) -> Query:
     def run(s: SparkSession, d: str) -> DataFrame:
-        vectors = clusters.feature_vectors(B.embedding_tracks(s, d))
+        vectors = clusters.feature_vectors(B.embedding_tracks(s, d), features)
         return measure(vectors, clusters.fit_clusters(vectors))
 
     return run
@@ -267,7 +268,7 @@ def _cluster_checks(s: SparkSession, d: str) -> DataFrame:
     costs = clusters.elbow(vectors)
     rises = costs.select((F.col("inertia") > 1.02 * F.lag("inertia").over(W.orderBy("k"))).cast("int").alias("rise"))
     quality = clusters.silhouette(vectors, model).select((~F.col("silhouette").between(-1, 1)).cast("bigint"))
-    labels = clusters.cluster_labels(model, vectors).agg(F.count("label"))
+    labels = clusters.cluster_labels(model, vectors, EMBEDDED_FEATURES).agg(F.count("label"))
     return assigned.agg(F.count(F.lit(1)).alias("tracks"), F.count_if(~F.col("cluster").between(0, 5)).alias("bad_ids")).select(
         "*", profile.agg(F.sum("track_count").cast("bigint")).scalar().alias("profiled"),
         rises.agg(F.coalesce(F.sum("rise"), F.lit(0)).cast("bigint")).scalar().alias("rises"),
@@ -293,7 +294,68 @@ def _pca_checks(s: SparkSession, d: str) -> DataFrame:
 
 
 def _vectors(s: SparkSession, d: str) -> DataFrame:
-    return clusters.feature_vectors(B.embedding_tracks(s, d))
+    """Tracks with all their dimensions as one scaled vector."""
+    return clusters.feature_vectors(B.embedding_tracks(s, d), EMBEDDED_FEATURES)
+
+
+def _cluster_residuals(s: SparkSession, d: str) -> DataFrame:
+    """Tracks, those whose centre is not the nearest one, and whether clusters explain part of the squares."""
+    vectors = _vectors(s, d)
+    model = clusters.fit_clusters(vectors)
+    centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()])
+    gap = lambda c: F.aggregate(F.zip_with("v", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x)
+    # The features are standardised, so their squares are the distances from the mean.
+    whole = F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x)
+    away = model.transform(vectors).select("cluster", vector_to_array("features").alias("v")).select(
+        F.transform(centres, gap).alias("away"), "cluster", whole.alias("square")
+    ).withColumn("own", F.element_at("away", F.col("cluster") + 1))
+    return away.agg(
+        F.count(F.lit(1)).alias("tracks"), F.count_if(F.col("own") > F.array_min("away") + 1e-9).alias("not_nearest"),
+        (F.sum("own") < F.sum("square")).alias("explains"),
+    )
+
+
+def _als_residuals(s: SparkSession, d: str) -> DataFrame:
+    """Listeners of the fit, and those whose vector does not solve their normal equation against the track vectors."""
+    fit = factors.fit_als(B.event_plays(s, d))
+    solved = factors.fold_in(fit.tracks, fit.train.select("user_id", "track_id", "implicit_rating"))
+    size = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda t, x: t + x * x))
+    both = fit.users.join(solved.select("user_id", F.col("vector").alias("exact")), "user_id", "left")
+    off = size(F.zip_with("vector", "exact", lambda a, b: a - b)) / size("exact")
+    # The fit holds its vectors in single precision.
+    return both.agg(
+        F.count(F.lit(1)).alias("users"), F.count_if(F.col("exact").isNull() | (off > 1e-2)).alias("unsolved")
+    )
+
+
+def _round_trips(s: SparkSession, d: str) -> DataFrame:
+    """Rows and a sum of what each writer wrote, as its reader reads it."""
+    p, folder = B.event_plays(s, d), own_path(s, "round-trips")
+    ratings, counts = plays.implicit_ratings(p), plays.play_counts(p)
+    sinks.write_csv(ratings, f"{folder}/csv")
+    sinks.write_tsv(counts, f"{folder}/tsv")
+    sinks.write_parquet(ratings, f"{folder}/parquet")
+    sinks.write_plays_parquet(p, f"{folder}/months")
+    times = p.withColumn("timestamp", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    sinks.write_csv(times.select(*PLAYS.names), f"{folder}/plays")
+    months = readers.read_plays_parquet(s, f"{folder}/months")
+    readers.register_views(months, B.embedding_tracks(s, d), B.customer_users(s, d))
+    read = {
+        "csv": readers.read_csv(s, f"{folder}/csv", ratings.schema).select("implicit_rating"),
+        "tsv": s.read.schema(counts.schema).csv(f"{folder}/tsv", sep="\t").select("play_count"),
+        "parquet": s.read.parquet(f"{folder}/parquet").select("implicit_rating"),
+        "plays": readers.read_plays(s, f"{folder}/plays").valid.select("play_duration_ms"),
+        "lines": readers.read_play_lines(s, f"{folder}/plays").valid.select("play_duration_ms"),
+        "months": months.select("play_duration_ms"),
+        "view": s.sql("SELECT play_duration_ms FROM history JOIN tracks USING (track_id) JOIN users USING (user_id)"),
+    }
+    for view in ("history", "tracks", "users"):
+        s.catalog.dropTempView(view)
+    rows = [
+        df.toDF("value").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total")).select(F.lit(name).alias("written"), "*")
+        for name, df in read.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def _streamed(measure, *times: str) -> Query:
@@ -414,10 +476,13 @@ def queries() -> dict[str, Query]:
         "hybrid_als_checks": _hybrid_als_checks,
         "prediction_checks": _prediction_checks,
         "cluster_checks": _cluster_checks,
+        "cluster_residuals": _cluster_residuals,
+        "als_residuals": _als_residuals,
+        "round_trips": _round_trips,
         "pca_checks": _pca_checks,
         "kmeans_clusters": _clustered(clusters.track_clusters),
-        "cluster_profile": _clustered(clusters.cluster_profile),
-        "cluster_labels": _clustered(lambda v, m: clusters.cluster_labels(m, v)),
+        "cluster_profile": _clustered(clusters.cluster_profile, TRACK_FEATURES),
+        "cluster_labels": _clustered(lambda v, m: clusters.cluster_labels(m, v), TRACK_FEATURES),
         "silhouette": _clustered(clusters.silhouette),
         "elbow": lambda s, d: clusters.elbow(_vectors(s, d)),
         "pca2": lambda s, d: clusters.principal_components(_vectors(s, d))[0],

@@ -421,6 +421,17 @@ FROM islands GROUP BY user_id, island HAVING max(us) + 21600000000 <= ({_WATERMA
         "cluster_checks": """
 SELECT count(*) AS tracks, CAST(0 AS BIGINT) AS bad_ids, count(*) AS profiled, CAST(0 AS BIGINT) AS rises,
        CAST(0 AS BIGINT) AS bad_silhouettes, CAST(6 AS BIGINT) AS labels FROM embeddings""",
+        "cluster_residuals": "SELECT count(*) AS tracks, CAST(0 AS BIGINT) AS not_nearest, true AS explains FROM embeddings",
+        "als_residuals": split + """
+SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS unsolved FROM split WHERE part = 'train'""",
+        "round_trips": _with(E_PLAYS, RATINGS, COUNTS) + f"""
+, r AS (SELECT count(*) AS n_rows, {_n('sum(implicit_rating)')} AS total FROM ratings),
+p AS (SELECT count(*) AS n_rows, {_n('sum(play_duration_ms)')} AS total FROM e_plays)
+SELECT written, r.* FROM r, (VALUES ('csv'), ('parquet')) v(written)
+UNION ALL SELECT 'tsv', count(*), {_n('sum(play_count)')} FROM counts
+UNION ALL SELECT written, p.* FROM p, (VALUES ('plays'), ('lines'), ('months')) v(written)
+UNION ALL SELECT 'view', count(*), {_n('sum(play_duration_ms)')} FROM e_plays
+  JOIN embeddings ON vec_id = track_id JOIN customer ON c_custkey = user_id""",
         "pca_checks": """
 SELECT count(*) AS tracks, CAST(0 AS BIGINT) AS correlated, CAST(0 AS BIGINT) AS not_centred, CAST(0 AS BIGINT) AS wrong_shares
 FROM embeddings""",

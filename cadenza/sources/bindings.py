@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.sources.schemas import AUDIO_FEATURES
+from cadenza.sources.schemas import AUDIO_FEATURES, EMBEDDED_FEATURES
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -47,7 +47,7 @@ def event_play_stream(spark: SparkSession, base: str) -> DataFrame:
 
 
 def embedding_tracks(spark: SparkSession, base: str) -> DataFrame:
-    """Tracks from ``embeddings``: the first eight dimensions are the features."""
+    """Tracks from ``embeddings``: the first eight dimensions are the named features, all of them ``dim_1`` and so on."""
     dim = lambda i: F.element_at("embedding", i).cast("double")
     features = [dim(i + 1).alias(name) for i, name in enumerate(AUDIO_FEATURES)]
     return table(spark, base, "embeddings").select(
@@ -60,6 +60,7 @@ def embedding_tracks(spark: SparkSession, base: str) -> DataFrame:
         *features,
         (130 + 70 * dim(7)).alias("tempo"),
         (-20 + 20 * dim(8)).alias("loudness"),
+        *[dim(i + 1).alias(name) for i, name in enumerate(EMBEDDED_FEATURES)],
     )
 
 

@@ -7,6 +7,8 @@ AUDIO_FEATURES = [
     "energy", "danceability", "acousticness", "valence", "instrumentalness", "speechiness",
 ]
 TRACK_FEATURES = AUDIO_FEATURES + ["tempo", "loudness"]
+# All dimensions of a track's embedding, as features.
+EMBEDDED_FEATURES = [f"dim_{i}" for i in range(1, 65)]
 
 TRACKS = T.StructType([
     T.StructField("track_id", T.StringType()),
