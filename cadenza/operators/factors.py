@@ -29,6 +29,8 @@ OVERSAMPLED, MAX_STEPS, SETTLED, HELD_BLOCKS = 10, 40, 1e-7, 3
 CELL_ROWS, SUM_TASKS = 65_536, 16
 # Ratings of one listener that one task sums at most.
 PAIRS_PER_SUM = 100_000
+# Stands for no vector: an Arrow list column of nulls takes Spark many times as long to hand to Python as empty lists.
+NO_VECTOR = "CAST(array() AS array<double>)"
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -224,19 +226,24 @@ def _product(ratings: DataFrame, vectors: DataFrame, by: str, to: str, sizes: di
         if sums is not None:
             yield sums.rows(to, to_blocks, cell // from_blocks)
 
+    dealt = _cells(ratings, vectors, by, to, from_blocks, to_blocks)
+    parts = dealt.mapInArrow(multiply, f"{to} int, vector array<double>")
+    return parts if from_blocks == 1 else _array_sums(parts, to, to_blocks, width)
+
+
+def _cells(ratings: DataFrame, vectors: DataFrame, by: str, to: str, from_blocks: int, to_blocks: int) -> DataFrame:
+    """Rows (cell, source, target, w, vector) by cell, a cell's vectors, without target, before its ratings."""
     source, target = F.col(by).cast("bigint"), F.col(to).cast("bigint")
     rated = ratings.select(
         (target % to_blocks * from_blocks + source % from_blocks).alias("cell"), source.alias("source"), target.alias("target"),
-        F.col("implicit_rating").cast("double").alias("w"), F.lit(None).cast("array<double>").alias("vector"),
+        F.col("implicit_rating").cast("double").alias("w"), F.expr(NO_VECTOR).alias("vector"),
     )
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(to_blocks - 1).cast("bigint")))
     sent = vectors.select(source.alias("source"), "vector", copies.alias("row")).select(
         (F.col("row") * from_blocks + F.col("source") % from_blocks).alias("cell"), "source", F.lit(None).cast("bigint").alias("target"),
         F.lit(None).cast("double").alias("w"), "vector",
     )
-    dealt = sent.unionByName(rated).repartition("cell").sortWithinPartitions("cell", F.col("target").isNotNull())
-    parts = dealt.mapInArrow(multiply, f"{to} int, vector array<double>")
-    return parts if from_blocks == 1 else _array_sums(parts, to, to_blocks, width)
+    return sent.unionByName(rated).repartition("cell").sortWithinPartitions("cell", F.col("target").isNotNull())
 
 
 def _whitener(gram: np.ndarray, least: float = 1e-12) -> np.ndarray:
