@@ -59,6 +59,7 @@ def hybrid_recommendations(
     items = lookup_join(items, signal, "track_id", ["track_id"], how="left").select(
         "track_id", F.concat("vector", signal_or_none, one).alias("vector")
     )
+    parts = [len(features), width, 1]
     users = stored(users.select("user_id", F.col("vector").alias("content"), signal_or_none.alias("signal")))
 
     def blended(content, other, constant):
@@ -72,7 +73,7 @@ def hybrid_recommendations(
 
     ends = F.array(probe(0, 1.0, 0.0), probe(1, -1.0, 0.0), probe(2, 0.0, 1.0), probe(3, 0.0, -1.0))
     end_queries = users.select("user_id", F.explode(ends).alias("q")).select("user_id", "q.*")
-    extremes = top_k_dot(end_queries, items, 1, seen=ratings, digits=None)
+    extremes = top_k_dot(end_queries, items, 1, seen=ratings, digits=None, widths=parts, tied=False)
     value = lambda number: F.max(F.when(F.col("probe") == number, F.col("score")))
     scale = extremes.groupBy("user_id").agg(
         value(0).alias("high"), (-value(1)).alias("low"), value(2).alias("cf_high"), (-value(3)).alias("cf_low")
@@ -90,7 +91,7 @@ def hybrid_recommendations(
     blend = users.join(scale, "user_id").select(
         "user_id", F.lit(0).alias("probe"), blended(F.col("a"), F.col("b"), constant).alias("vector")
     )
-    best = top_k_dot(blend, items, k, seen=ratings)
+    best = top_k_dot(blend, items, k, seen=ratings, widths=parts)
     return with_metadata(best, tracks, META).select(
         "user_id", "rank", "track_id", *META, F.round("score", digits).alias("hybrid_score")
     )

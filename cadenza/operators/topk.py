@@ -1,11 +1,11 @@
 """The k items with the largest inner product for every query, exactly.
 
 Items that fit one block of ``BLOCK_ITEMS`` lie in it; more are grouped around centres, and a query row is sent to the
-blocks that can hold one of its best (``balls``).  A task holds one block as a matrix, longest
-vectors first, streams that block's queries past it and keeps only the best k unseen items of
-each; pairs never leave a task.  No item can score above the product of both lengths, so a query
-is done with a block as soon as that falls below the k-th score it has there.  The bound skips
-work, never results.
+blocks that can hold one of its best (``balls``).  A task holds one block as a matrix,
+streams that block's queries past it and keeps only the best k unseen items of
+each; pairs never leave a task.  Similar queries make a bundle (``bundles``), for which every item has a bound, so
+they are multiplied with the most promising items first and with no item whose bound lies below the k-th score they
+have.  The bound skips work, never results.
 
 Seen pairs go to the block of their item, beside the queries of their user.  Where there are
 fewer blocks than partitions, blocks are copied and users divided over the copies.
@@ -14,7 +14,7 @@ fewer blocks than partitions, blocks are copied and users divided over the copie
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import ceil
 
@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.operators import balls
+from cadenza.operators.bundles import Bundles
 
 BLOCK_ITEMS = 65_536
-ITEMS_AT_ONCE, QUERIES_AT_ONCE = 4096, 256
+ITEMS_AT_ONCE, QUERIES_AT_ONCE, FIRST_ITEMS = 4096, 256, 512
 # A row's place packs its block, salt and some bits of its user's hash, 0 for items.
 SALT_BITS, USER_BITS = 14, 17
 ITEM, SEEN, REQUEST = 0, 1, 2  # kinds of rows in a block, in their order
@@ -51,6 +52,8 @@ def top_k_dot(
     seen: DataFrame | None = None,
     digits: int | None = 9,
     block_items: int = BLOCK_ITEMS,
+    widths: Sequence[int] | None = None,
+    tied: bool = True,
 ) -> DataFrame:
     """(user_id, probe, track_id, score, rank) of the best ``k`` items per query.
 
@@ -59,8 +62,11 @@ def top_k_dot(
     left out.  So are the pairs in ``seen`` (user_id, track_id; each best given
     once).  Items rank by score rounded to ``digits``, then by track_id, so that
     floating-point noise does not order equal scores.
+
+    ``widths`` tells the parts a vector is made of, if they are several; it changes the work only.  With
+    ``tied`` False, of items whose scores differ by rounding alone any may be given, for callers that want scores.
     """
-    spec = _Spec(k, digits, queries.schema["user_id"].dataType, items.schema["track_id"].dataType)
+    spec = _Spec(k, digits, queries.schema["user_id"].dataType, items.schema["track_id"].dataType, tuple(widths or ()), tied)
     queries = queries.select("user_id", F.col("probe").cast("int").alias("probe"), "vector")
     queries = queries.where(F.col("user_id").isNotNull() & complete(F.col("vector")))
     items = items.select("track_id", "vector").where(complete(F.col("vector")))
@@ -81,6 +87,8 @@ class _Spec:
     digits: int | None
     user_type: T.DataType
     track_type: T.DataType
+    widths: tuple[int, ...] = ()
+    tied: bool = True
 
     @property
     def slack(self) -> float:
@@ -106,7 +114,8 @@ def _scored(queries: DataFrame, items: DataFrame, seen: DataFrame | None, spec:
     """
     empty = {
         "track_id": F.lit(None).cast(spec.track_type), "user_id": F.lit(None).cast(spec.user_type),
-        "probe": F.lit(None).cast("int"), "vector": F.lit(None).cast("array<double>"),
+        # Spark hands empty lists to Python many times as fast as null ones.
+        "probe": F.lit(None).cast("int"), "vector": F.expr("CAST(array() AS array<double>)"),
     }
     chunk = F.pmod(F.xxhash64("track_id"), F.lit(chunks))
     salt = F.pmod(F.xxhash64("user_id"), F.lit(copies))
@@ -150,15 +159,15 @@ def _block_scorer(spec: _Spec):
         return rows_.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(rows_), -1)
 
     class Block:
-        """The items of one block, longest first; ``place`` is their order by track_id."""
+        """The items of one block by track_id.  What all have in common moves every score of a query alike."""
 
         def __init__(self, ids: list[pa.Array], parts: list[np.ndarray]) -> None:
-            vectors = np.concatenate(parts)
-            lengths = np.linalg.norm(vectors, axis=1)
-            self.place = np.argsort(-lengths, kind="stable")
-            self.ids, self.vectors, self.lengths = pa.concat_arrays(ids), vectors[self.place], lengths[self.place]
-            self.row = np.empty_like(self.place)
-            self.row[self.place] = np.arange(len(self.place))
+            self.ids, self.vectors = pa.concat_arrays(ids), np.concatenate(parts)
+            self.longest = np.linalg.norm(self.vectors, axis=1).max()
+            same = (self.vectors == self.vectors[0]).all(axis=0)
+            self.common = np.where(same, self.vectors[0], 0.0)
+            self.own = np.where(same, 0.0, self.vectors)
+            self.varies = ~same
 
     def best(rows_: pa.RecordBatch, block: Block) -> pa.RecordBatch | None:
         """The best unseen items of one block for whole users, some requests and items at a time."""
@@ -167,49 +176,72 @@ def _block_scorer(spec: _Spec):
         if len(asked) == 0:
             return None
         run = rows_.take(pa.array(asked))
-        queries, n = unpacked(run), len(block.ids)
+        queries = unpacked(run)
+        n, own = len(block.ids), queries * block.varies
+        size = np.linalg.norm(own, axis=1)
+        size[~(np.isfinite(size) & (size > 0))] = 1.0
+        bundles = Bundles(own / size[:, None], QUERIES_AT_ONCE, spec.widths)
+        turn, turned = bundles.order, np.empty_like(bundles.order)
+        turned[turn] = np.arange(len(turn))
+        # Room for rounding; without regard to ties an item must promise more than rounding.
+        reach = np.linalg.norm(queries, axis=1) * block.longest
+        offset = queries @ block.common + np.nan_to_num(slack + 1e-9 * reach if spec.tied else -1e-12 * reach, nan=0.0)
         user = rows_.column("user_id").dictionary_encode().indices.to_numpy()
         seen = np.flatnonzero(kind == SEEN)
         places = pc.index_in(rows_.column("track_id").take(pa.array(seen)), value_set=block.ids)
         seen = seen[pc.is_valid(places).to_numpy(zero_copy_only=False)]
-        columns = block.row[pc.drop_null(places).to_numpy()]
+        columns = pc.drop_null(places).to_numpy()
         # A user's requests lie side by side; every one of them leaves out the user's seen items.
         first, last = (np.searchsorted(user[asked], user[seen], side=side) for side in ("left", "right"))
         times = last - first
         within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        seen_rows, seen_columns = np.repeat(first, times) + within, np.repeat(columns, times)
+        seen_rows, seen_columns = turned[np.repeat(first, times) + within], np.repeat(columns, times)
         found_rows, found_columns, found_scores = [], [], []
-        for start in range(0, len(run), QUERIES_AT_ONCE):
-            part = queries[start : start + QUERIES_AT_ONCE]
+        for bundle, (start, members) in enumerate(zip(bundles.starts.tolist(), bundles.sizes.tolist(), strict=True)):
+            these = turn[start : start + members]
+            part = queries[these]
             mine = (seen_rows >= start) & (seen_rows < start + len(part))
             hidden_rows, hidden_columns = seen_rows[mine] - start, seen_columns[mine]
-            reach = np.linalg.norm(part, axis=1)
             held = np.full((len(part), k), -np.inf)
-            active = np.arange(len(part))
+            upper = bundles.upper(block.own, bundle)
+            left, step, sorted_ = np.arange(n), min(FIRST_ITEMS, ITEMS_AT_ONCE), False
             rows, cols, kept = [], [], []
-            for low in range(0, n, ITEMS_AT_ONCE):
-                # What is left cannot score above the product of lengths; room for rounding.
-                most = reach[active] * block.lengths[low]
-                active = active[most * (1 + 1e-9) + slack >= held[active].min(axis=1)]
-                if len(active) == 0:
-                    break
-                scores = part[active] @ block.vectors[low : low + ITEMS_AT_ONCE].T
-                near = (hidden_columns >= low) & (hidden_columns < low + scores.shape[1])
+            while len(left):
+                if not sorted_ and len(left) > step:
+                    # The most promising items tell how few of the others need an order.
+                    parted = left[np.argpartition(-upper[left], step)]
+                    now, left = parted[:step], parted[step:]
+                else:
+                    now, left = left[:step], left[step:]
+                needed = (held.min(axis=1) - offset[these]) / size[these]
+                active = np.flatnonzero(~(needed > upper[now].max()))
+                at_once = np.sort(now)
+                scores = part[active] @ block.vectors[at_once].T
+                column = np.minimum(np.searchsorted(at_once, hidden_columns), len(at_once) - 1)
+                near = at_once[column] == hidden_columns
                 at = np.searchsorted(active, hidden_rows[near])
                 there = (at < len(active)) & (active[np.minimum(at, len(active) - 1)] == hidden_rows[near])
-                scores[at[there], hidden_columns[near][there] - low] = -np.inf
-                top = np.concatenate([held[active], scores], axis=1)
-                held[active] = np.partition(top, top.shape[1] - k, axis=1)[:, top.shape[1] - k :]
+                scores[at[there], column[near][there]] = -np.inf
+                # Most rows of a late step hold nothing that changes their best.
+                better = np.flatnonzero((scores > held[active].min(axis=1)[:, None]).any(axis=1))
+                if len(better):
+                    top = np.concatenate([held[active[better]], scores[better]], axis=1)
+                    held[active[better]] = np.partition(top, top.shape[1] - k, axis=1)[:, top.shape[1] - k :]
                 floor = held[active].min(axis=1)
                 row, col = np.nonzero((scores >= floor[:, None] - slack) & (scores > -np.inf))
                 rows.append(active[row])
-                cols.append(block.place[low + col])
+                cols.append(at_once[col])
                 kept.append(scores[row, col])
+                needed = ((held.min(axis=1) - offset[these]) / size[these]).min()
+                left = left[~(upper[left] < needed)]
+                if not sorted_ and needed > -np.inf:
+                    left, sorted_ = left[np.argsort(-upper[left], kind="stable")], True
+                step = min(2 * step, ITEMS_AT_ONCE)
             rows, cols, kept = (np.concatenate(x) if x else np.zeros(0, dtype=int) for x in (rows, cols, kept))
             order = np.lexsort((cols, -(kept if digits is None else np.round(kept, digits)), rows))
             rows = rows[order]
             chosen = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
-            found_rows.append(rows[chosen] + start)
+            found_rows.append(turn[rows[chosen] + start])
             found_columns.append(cols[order[chosen]])
             found_scores.append(kept[order[chosen]].astype(float))
         rows = pa.array(np.concatenate(found_rows))

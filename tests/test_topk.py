@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from cadenza.operators import balls, topk
+from cadenza.operators import balls, bundles, topk
 
 
 def frames(spark, users, items, seen=None, text_ids=False):
@@ -177,3 +177,37 @@ def test_vectors_of_no_and_of_endless_length(spark):
     assert got == {0: [80, 79, 78], 1: [0, 1, 2], 2: [80, 79, 78]}
     # An item of endless length hides no other.
     assert result(topk.top_k_dot(q.where("user_id = 2"), t, 3, block_items=10)) == {2: [40, 80, 79]}
+
+
+def test_bundles_bound_their_scores_and_spare_most_items():
+    rng = np.random.default_rng(5)
+    unit = rng.normal(1.0, 0.2, size=(20_000, 6))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    played = np.where(np.arange(20_000) < 50, rng.uniform(0.5, 1, 20_000), 0.0)
+    items = np.column_stack([unit, played])
+    # Profiles, which are means of many items, the same turned round, the popularity either way, both signals, and nothing.
+    near = np.array([unit[rng.choice(20_000, 50)].mean(axis=0) for _ in range(40)])
+    near /= np.linalg.norm(near, axis=1)[:, None]
+    kinds = [np.column_stack([f * near, np.full(40, p)]) for f, p in ((1, 0), (-1, 0), (0, 1), (0, -1), (1, 0.2), (0, 0))]
+    for kind, queries in enumerate(kinds):
+        held = bundles.Bundles(queries, 40, [6, 1])
+        assert sorted(held.order) == list(range(40)) and held.sizes.tolist() == [40]
+        scores, upper = queries @ items.T, held.upper(items, 0)
+        assert (scores.max(axis=0) <= upper + 1e-12).all()
+        # By the product of lengths, every item may be the nearest of unit vectors.
+        if kind not in (3, 5):
+            assert (upper >= np.sort(scores, axis=1)[:, -10].min()).sum() < 2_000
+    mixed = bundles.Bundles(np.concatenate(kinds), 40, [6, 1])
+    assert mixed.sizes.max() <= 40 and mixed.sizes.sum() == 240
+    for i, (low, n) in enumerate(zip(mixed.starts, mixed.sizes, strict=True)):
+        rows = np.concatenate(kinds)[mixed.order[low : low + n]]
+        assert ((rows @ items.T).max(axis=0) <= mixed.upper(items, i) + 1e-12).all()
+
+
+def test_parts_change_no_result(spark):
+    queries, items, seen = data(11)
+    q, t, s = frames(spark, queries, items, sorted(seen))
+    assert result(topk.top_k_dot(q, t, 5, s, widths=[2, 1])) == {u: w for u, w in brute(queries, items, seen, 5).items() if w}
+    some = {r["user_id"]: r["score"] for r in topk.top_k_dot(q, t, 1, s, digits=None, tied=False).collect()}
+    for u, best in brute(queries, items, seen, 1).items():
+        assert not best or some[u] == pytest.approx(float(items[best[0]] @ queries[u]), abs=1e-11)
