@@ -15,8 +15,11 @@ from cadenza.session import stored
 
 
 def with_metadata(recs: DataFrame, tracks: DataFrame, columns: Sequence[str] = ("name", "artist_name", "genre")) -> DataFrame:
-    """Add track metadata; a track recommended to very many users does not skew."""
-    return lookup_join(recs, tracks.select("track_id", *columns), "track_id", ["user_id"])
+    """Add track metadata; a track recommended to very many users does not skew.
+
+    The lists are stored, as the join asks a sketch of them first and would make them twice.
+    """
+    return lookup_join(stored(recs), tracks.select("track_id", *columns), "track_id", ["user_id"])
 
 
 def content_recommendations(

@@ -243,6 +243,13 @@ def test_content_lists(listening):
     assert content.content_recommendations(p, t, 3, users=few).count() == 6
 
 
+def test_lists_are_made_once(spark, listening):
+    _, t = listening
+    made = spark.range(5).selectExpr("id AS user_id", "id AS track_id").mapInArrow(lambda batches: batches, "user_id bigint, track_id bigint")
+    named = content.with_metadata(made, t)
+    assert "MapInArrow" not in named._jdf.queryExecution().optimizedPlan().toString() and named.count() == 5
+
+
 def test_hybrid_lists(listening, als):
     p, t = listening
     near = hybrid.hybrid_recommendations(p, t, 5)
